@@ -145,25 +145,28 @@ class Tables:
             F.col("value").cast("string").alias("latitude"),
             F.lit("n/a").alias("longitude"),
             F.col("ts").cast("timestamp").alias("event_time"),
+            F.col("event_type").alias("kind"),
         )
 
     def messages(self) -> DataFrame:
         """Messages of all events; the event type decides how a message is broken."""
-        made = ops.to_event_messages(self.event_rows(), F.col("event_time"))
-        body = F.col("value").cast("string")
-        kind = F.get_json_object(body, "$.primary_type")
+        rows = self.event_rows()
+        made = ops.to_event_messages(rows, F.col("event_time"), ("event_time", "id", "kind"))
+        body, kind = F.col("value").cast("string"), F.col("kind")
+        blank = F.regexp_replace(body, r'"district":"\d+"', '"district":" "')
+        zero = F.regexp_replace(body, r'"district":"\d+"', '"district":0')
         broken = (
             F.when(kind == "error", F.rtrim(body, F.lit("}")))
             .when(kind == "signup", F.concat(F.lit("["), body, F.lit("]")))
-            .when(kind == "view", F.regexp_replace(body, r'"district":"\d+"', '"district":" "'))
-            .when(kind == "purchase", F.regexp_replace(body, r'"district":"\d+"', '"district":0'))
+            .when(kind == "view", blank)
+            .when(kind == "purchase", zero)
             .otherwise(body)
         )
         return made.select(
             "key",
             broken.cast("binary").alias("value"),
-            F.get_json_object(body, "$.ingested_at").cast("timestamp").alias("timestamp"),
-            F.lpad(F.get_json_object(body, "$.id"), 20, "0").alias("message_id"),
+            F.col("event_time").alias("timestamp"),
+            F.lpad("id", 20, "0").alias("message_id"),
         )
 
     def points(self) -> DataFrame:

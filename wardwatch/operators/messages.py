@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from wardwatch.functions import route_key, strip
 from wardwatch.schemas import EVENT_BOOLEANS, EVENT_DOUBLES, EVENT_FIELDS, EVENT_REQUIRED
 
+FIELDS_AS_VARIANTS = f"struct<{','.join(f'{name}:variant' for name in EVENT_FIELDS)}>"
+
 # Text that counts as a number; a cast alone would take a type suffix such as "1d" too.
 NUMBER_TEXT = r"(?i)^[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|nan|inf|infinity)$"
 
@@ -20,11 +22,13 @@ def _number(text: Column) -> Column:
     return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
 
 
-def to_event_messages(rows: DataFrame, ingested_at: Column | None = None) -> DataFrame:
+def to_event_messages(
+    rows: DataFrame, ingested_at: Column | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Key and JSON value for every row that has a case number and a type.
 
     Text is stripped and a missing column or NULL becomes an empty text. The key is the
-    district, NULL where that is blank.
+    district, NULL where that is blank. Columns of ``keep`` stay beside the message.
     """
     present = {name: strip(F.col(name).cast("string")) for name in rows.columns}
     fields = {
@@ -41,6 +45,7 @@ def to_event_messages(rows: DataFrame, ingested_at: Column | None = None) -> Dat
     return rows.filter((fields["case_number"] != "") & (fields["primary_type"] != "")).select(
         F.nullif(fields["district"], F.lit("")).alias("key"),
         F.to_json(body, {"ignoreNullFields": "false"}).cast("binary").alias("value"),
+        *keep,
     )
 
 
@@ -53,20 +58,22 @@ def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
 
     An absent field is an empty text and an explicit null stays NULL. Coordinates that
     are no number are NULL, flags are true only for true or the text "true". A district
-    that is not text and empty-like (0, false) is an empty text, so it is routed as
+    that is empty but no text (0, false, [], {}) is an empty text, so it is routed as
     unknown. JSON with a repeated key or a bare NaN counts as malformed.
     """
     kept = [name for name in messages.columns if name != value]
     text = F.when(F.is_valid_utf8(F.col(value)), F.col(value).cast("string"))
-    json = messages.select(*kept, F.try_parse_json(text).alias("_json"))
-    is_object = F.try_variant_get("_json", "$", "map<string,variant>").isNotNull()
+    # The fields are taken out once, as variants: NULL if absent, a variant null if null.
+    json = messages.select(*kept, _once(F.try_parse_json(text)).alias("_json"))
+    fields_only = F.try_variant_get("_json", "$", FIELDS_AS_VARIANTS)
+    json = json.select("*", _once(fields_only).alias("_fields"))
     blank = [F.coalesce(strip(_text(name)), F.lit("")) == "" for name in EVENT_REQUIRED]
     missing = blank[0]
     for one in blank[1:]:
         missing = missing | one
     rejected = (
         F.when(F.col("_json").isNull(), "malformed")
-        .when(~is_object, "not_object")
+        .when(F.col("_fields").isNull(), "not_object")
         .when(missing, "missing_fields")
     )
     fields = {name: _optional(name) for name in EVENT_FIELDS}
@@ -74,18 +81,24 @@ def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
     fields |= {
         name: F.coalesce(F.lower(_text(name)) == "true", F.lit(False)) for name in EVENT_BOOLEANS
     }
-    fields["district"] = F.when(_is_zero("district"), "").otherwise(fields["district"])
+    fields["district"] = F.when(_is_empty("district"), "").otherwise(fields["district"])
     return json.select(
         *kept, *[column.alias(name) for name, column in fields.items()], rejected.alias("rejected")
     )
 
 
+def _once(column: Column) -> Column:
+    """Evaluated once per row: a filter on what follows from it would otherwise be moved
+    before it with a copy of the column for every mention."""
+    return F.explode(F.array(column))
+
+
 def _part(name: str) -> Column:
-    return F.try_variant_get("_json", f"$.{name}", "variant")
+    return F.col(f"_fields.{name}")
 
 
 def _text(name: str) -> Column:
-    return F.try_variant_get("_json", f"$.{name}", "string")
+    return _part(name).try_cast("string")
 
 
 def _optional(name: str) -> Column:
@@ -97,13 +110,17 @@ def _is_text(name: str) -> Column:
 
 
 def _double(name: str) -> Column:
-    number = F.try_variant_get("_json", f"$.{name}", "double")
-    return F.when(_is_text(name), _number(_text(name))).otherwise(number)
+    return F.when(_is_text(name), _number(_text(name))).otherwise(
+        _part(name).try_cast("double")
+    )
 
 
-def _is_zero(name: str) -> Column:
-    zero = F.try_variant_get("_json", f"$.{name}", "double") == 0
-    return F.coalesce(zero & ~_is_text(name), F.lit(False))
+def _is_empty(name: str) -> Column:
+    """A value other than text that counts as none: 0, false, [] or {}."""
+    zero = _part(name).try_cast("double") == 0
+    hollow = _text(name).isin("[]", "{}")
+    empty = F.coalesce(zero, F.lit(False)) | F.coalesce(hollow, F.lit(False))
+    return empty & F.coalesce(~_is_text(name), F.lit(False))
 
 
 def route_events(events: DataFrame, key: str = "district") -> DataFrame:

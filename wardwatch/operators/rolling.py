@@ -97,13 +97,14 @@ def _marks(events: DataFrame, key: str, ts: str, event_id: str, width: int) -> D
     # Events without a time are in no window; their ids spread them over groups.
     spread = F.xxhash64(F.col(event_id))
     event = F.struct(*[F.col(f"`{name}`") for name in events.columns])
+    # Expiries keep the id, too: it lets a cut fall between those of one instant.
     arrival = [at, F.coalesce(start, spread), timed, F.lit(0), F.col(event_id), event]
     expiry = [
         at + width,
         F.coalesce(start + width, spread),
         F.lit(0),
         timed,
-        F.lit(None).cast(events.schema[event_id].dataType),
+        F.col(event_id),
         F.when(F.lit(False), event),
     ]
     names = ["_at", "_block", "_arrives", "_expires", "_id", "_event"]
@@ -128,18 +129,20 @@ def _sweep(marks: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
-def _sweep_pieces(marks: DataFrame, pieces: int) -> DataFrame:
-    """The same for groups too large for a task, cut into pieces by range.
+def _range_pieces(marks: DataFrame, pieces: int) -> DataFrame:
+    """Marks with the piece of their group that they lie in, as ``_place``.
 
     The cut depends on a sample that Spark draws, so it is stored before use: every
     later step, and a retry of it, has to see the same pieces.
     """
-    order = ["_key", "_block", "_at", "_arrives", "_id"]
-    laid = checkpointed(
-        marks.repartitionByRange(pieces, *order).select(
-            "*", F.struct("_key", "_block", F.spark_partition_id().alias("piece")).alias("_place")
-        )
-    )
+    laid = marks.repartitionByRange(pieces, "_key", "_block", "_at", "_arrives", "_id")
+    piece = F.spark_partition_id().alias("piece")
+    return checkpointed(laid.select("*", F.struct("_key", "_block", piece).alias("_place")))
+
+
+def _sweep_pieces(marks: DataFrame, pieces: int) -> DataFrame:
+    """The same for groups too large for a task, cut into pieces."""
+    laid = _range_pieces(marks, pieces)
     totals = laid.groupBy("_place").agg(
         F.sum("_arrives").alias("_arrivals"), F.sum("_expires").alias("_expiries")
     )
