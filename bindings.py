@@ -26,6 +26,7 @@ from wardwatch.streaming import alert_query, alert_sink, rolling_count_stream
 WINDOW = 86_400
 SLIDE = 21_600
 THRESHOLD = 2
+KIND = "victimization_primary"
 AS_OF = datetime(2024, 1, 15, 12, 0, 0)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,22 +43,22 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return read_table(self.spark, f"{self.folder}/{name}.parquet")
 
-    def crimes(self) -> DataFrame:
-        """Orders with the customer's segment and nation."""
-        nation = self.read("nation").select("n_nationkey", "n_name")
-        customer = self.read("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-        return (
-            self.read("orders")
-            .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .select(
-                F.col("o_orderkey").alias("case_number"),
-                F.col("o_orderdate").alias("date"),
-                F.col("n_name").alias("primary_type"),
-                F.col("c_mktsegment").alias("district"),
-                (F.col("o_orderstatus") == "F").alias("arrest"),
-            )
-        )
+    def crimes(self, *columns: str) -> DataFrame:
+        """Orders, with the customer's segment and nation if asked for."""
+        rows = self.read("orders")
+        values = {
+            "case_number": F.col("o_orderkey"),
+            "date": F.col("o_orderdate"),
+            "primary_type": F.col("n_name"),
+            "district": F.col("c_mktsegment"),
+        }
+        if {"primary_type", "district"} & set(columns):
+            customer = self.read("customer")
+            rows = rows.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+        if "primary_type" in columns:
+            nation = self.read("nation")
+            rows = rows.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        return rows.select(*[values[name].alias(name) for name in columns])
 
     def arrests(self) -> DataFrame:
         """Lines of the orders, several per order; only returned ones have a race."""
@@ -66,33 +67,36 @@ class Tables:
             F.col("l_orderkey").alias("case_number"), race.alias("race")
         )
 
-    def _lines(self) -> DataFrame:
-        supplier = self.read("supplier").select("s_suppkey", "s_nationkey")
-        return self.read("lineitem").join(
-            supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left"
-        )
+    def _lines(self, values: dict, columns: tuple[str, ...]) -> DataFrame:
+        """Columns of the lines; the district is that of the supplier."""
+        rows = self.read("lineitem")
+        if "district" in columns:
+            supplier = self.read("supplier")
+            rows = rows.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        values = {"district": F.col("s_nationkey"), **values}
+        return rows.select(*[values[name].alias(name) for name in columns])
 
-    def placed_crimes(self) -> DataFrame:
+    def placed_crimes(self, *columns: str) -> DataFrame:
         """Lines with a block (part), a district and a community area."""
-        return self._lines().select(
-            F.col("l_partkey").alias("block"),
-            F.col("s_nationkey").alias("district"),
-            F.col("l_quantity").cast("int").alias("community_area"),
-            (F.col("l_linestatus") == "F").alias("arrest"),
-        )
-
-    def violence(self) -> DataFrame:
-        return self._lines().select(
-            F.month("l_shipdate").alias("month"),
-            F.col("s_nationkey").alias("district"),
-            F.nullif(F.col("l_quantity").cast("int"), F.lit(50)).alias("community_area"),
-            F.when(F.col("l_returnflag") == "R", reports.HOMICIDE)
-            .otherwise(F.col("l_returnflag"))
-            .alias("victimization_primary"),
-            F.when(F.col("l_linestatus") == "F", reports.GUNSHOT)
-            .otherwise("NO")
-            .alias("gunshot_injury_i"),
-        )
+        values = {
+            "block": F.col("l_partkey"),
+            "community_area": F.col("l_quantity").cast("int"),
+            "arrest": F.col("l_linestatus") == "F",
+        }
+        return self._lines(values, columns)
+
+    def violence(self, *columns: str) -> DataFrame:
+        values = {
+            "month": F.month("l_shipdate"),
+            "community_area": F.nullif(F.col("l_quantity").cast("int"), F.lit(50)),
+            "victimization_primary": F.when(
+                F.col("l_returnflag") == "R", reports.HOMICIDE
+            ).otherwise(F.col("l_returnflag")),
+            "gunshot_injury_i": F.when(F.col("l_linestatus") == "F", reports.GUNSHOT).otherwise(
+                "NO"
+            ),
+        }
+        return self._lines(values, columns)
 
     def offenders(self) -> DataFrame:
         return self.read("part").select(
@@ -181,7 +185,8 @@ class Tables:
     # Frames that several queries start from
 
     def arrest_facts(self, *dims: str) -> DataFrame:
-        return reports.arrest_facts(self.crimes(), self.arrests(), list(dims))
+        crimes = self.crimes("case_number", *dims)
+        return reports.arrest_facts(crimes, self.arrests(), list(dims))
 
     def counted(self) -> DataFrame:
         return ops.rolling_count(self.events(), "routed_district", "ts", "event_id", WINDOW)
@@ -193,10 +198,45 @@ class Tables:
         return ops.cluster_sizes(*ops.fit_hotspots(self.points()))
 
     def density(self) -> DataFrame:
-        return reports.offender_density(self.offenders(), self.placed_crimes(), self.stations())
+        crimes = self.placed_crimes("block", "district")
+        return reports.offender_density(self.offenders(), crimes, self.stations())
+
+    def by_type_rates(self) -> DataFrame:
+        return reports.rate_by_type(self.arrest_facts("primary_type"))
+
+    def by_district_rates(self) -> DataFrame:
+        return reports.rate_by_district(self.arrest_facts("district"))
+
+    def gunshot(self) -> DataFrame:
+        return reports.gunshot_overall(self.violence("gunshot_injury_i"))
+
+    def gunshot_by_district(self) -> DataFrame:
+        return reports.gunshot_by_district(self.violence("district", "gunshot_injury_i"))
+
+    def violence_by_month(self) -> DataFrame:
+        return reports.violence_by_month(self.violence("month", KIND))
+
+    def violence_by_district(self) -> DataFrame:
+        return reports.violence_by_district(self.violence("district", KIND))
+
+    def violence_by_community(self) -> DataFrame:
+        return reports.violence_by_community(self.violence("community_area", KIND))
+
+    def community_corr(self) -> DataFrame:
+        crimes = self.placed_crimes("block", "community_area")
+        return reports.community_corr(crimes, self.offenders())
+
+    def by_month(self) -> DataFrame:
+        return reports.trends_by_month(self.crimes("date"))
+
+    def by_dow(self) -> DataFrame:
+        return reports.trends_by_dow(self.events(), "ts")
+
+    def by_hour(self) -> DataFrame:
+        return reports.trends_by_hour(self.events(), "ts")
 
     def top_rates(self) -> DataFrame:
-        return reports.top_types(reports.rate_by_type(self.arrest_facts("primary_type")))
+        return reports.top_types(self.by_type_rates())
 
 
 def _local(df: DataFrame, *columns: str) -> DataFrame:
@@ -341,11 +381,11 @@ def _report(build: Callable[[Tables], DataFrame]) -> Query:
 
 def _kpis(t: Tables) -> DataFrame:
     return views.v_kpis(
-        reports.trends_by_year(t.crimes()),
+        reports.trends_by_year(t.crimes("date")),
         t.alerts(),
         t.hotspots(),
-        reports.rate_by_district(t.arrest_facts("district")),
-        reports.gunshot_overall(t.violence()),
+        t.by_district_rates(),
+        t.gunshot(),
     )
 
 
@@ -354,7 +394,7 @@ def _read_result(t: Tables) -> DataFrame:
         t.spark,
         "SELECT primary_type, total_crimes FROM {rates} WHERE total_crimes >= :least",
         {"least": reports.NOISE_FLOOR},
-        rates=reports.rate_by_type(t.arrest_facts("primary_type")),
+        rates=t.by_type_rates(),
     )
 
 
@@ -388,34 +428,42 @@ QUERIES: dict[str, Query] = {
     name: _report(build)
     for name, build in {
         # Trends
-        "trends_by_year": lambda t: reports.trends_by_year(t.crimes()),
-        "trends_by_month": lambda t: reports.trends_by_month(t.crimes()),
-        "trends_by_dow": lambda t: reports.trends_by_dow(t.events(), "ts"),
-        "trends_by_hour": lambda t: reports.trends_by_hour(t.events(), "ts"),
+        "trends_by_year": lambda t: reports.trends_by_year(t.crimes("date")),
+        "trends_by_month": lambda t: t.by_month(),
+        "trends_by_dow": lambda t: t.by_dow(),
+        "trends_by_hour": lambda t: t.by_hour(),
         "trend_facts": lambda t: batch.trend_facts(t.events().withColumnRenamed("ts", "date")),
         # Arrest rates
         "arrest_facts": lambda t: t.arrest_facts("primary_type", "district"),
-        "rate_by_type": lambda t: reports.rate_by_type(t.arrest_facts("primary_type")),
+        "rate_by_type": lambda t: t.by_type_rates(),
         "top_types": lambda t: t.top_rates(),
-        "rate_by_district": lambda t: reports.rate_by_district(t.arrest_facts("district")),
+        "rate_by_district": lambda t: t.by_district_rates(),
         "matches_by_race": lambda t: reports.matches_by_race(t.arrest_facts()),
         # Violence
-        "violence_by_month": lambda t: reports.violence_by_month(t.violence()),
-        "violence_by_district": lambda t: reports.violence_by_district(t.violence()),
-        "gunshot_overall": lambda t: reports.gunshot_overall(t.violence()),
-        "gunshot_by_district": lambda t: reports.gunshot_by_district(t.violence()),
-        "violence_by_community": lambda t: reports.violence_by_community(t.violence()),
-        "violence_facts": lambda t: batch.violence_facts(t.violence()),
+        "violence_by_month": lambda t: t.violence_by_month(),
+        "violence_by_district": lambda t: t.violence_by_district(),
+        "gunshot_overall": lambda t: t.gunshot(),
+        "gunshot_by_district": lambda t: t.gunshot_by_district(),
+        "violence_by_community": lambda t: t.violence_by_community(),
+        "violence_facts": lambda t: batch.violence_facts(
+            t.violence("month", "district", "community_area", KIND, "gunshot_injury_i")
+        ),
         # Lookups, offenders, cross-dataset rates
-        "mode_lookup": lambda t: ops.mode_lookup(t.placed_crimes(), "block", "district"),
+        "mode_lookup": lambda t: ops.mode_lookup(
+            t.placed_crimes("block", "district"), "block", "district"
+        ),
         "mode_lookup_community": lambda t: ops.mode_lookup(
-            t.placed_crimes(), "block", "community_area"
+            t.placed_crimes("block", "community_area"), "block", "community_area"
         ),
         "density": lambda t: t.density(),
         "minor_victims": lambda t: reports.minor_victims(t.offenders()),
-        "district_corr": lambda t: reports.district_corr(t.placed_crimes(), t.violence()),
-        "community_corr": lambda t: reports.community_corr(t.placed_crimes(), t.offenders()),
-        "place_facts": lambda t: batch.place_facts(t.placed_crimes()),
+        "district_corr": lambda t: reports.district_corr(
+            t.placed_crimes("district", "arrest"), t.violence("district")
+        ),
+        "community_corr": lambda t: t.community_corr(),
+        "place_facts": lambda t: batch.place_facts(
+            t.placed_crimes("block", "district", "community_area", "arrest")
+        ),
         # Counts over time and alerts
         "rolling_count": lambda t: t.counted().select(
             "event_id", "routed_district", "window_count", "window_seconds"
@@ -457,40 +505,38 @@ QUERIES: dict[str, Query] = {
         # Views
         "read_result": _read_result,
         "v_kpis": _kpis,
-        "v_monthly": lambda t: views.v_monthly(reports.trends_by_month(t.crimes())),
-        "v_by_hour": lambda t: views.v_by_hour(reports.trends_by_hour(t.events(), "ts")),
-        "v_by_dow_named": lambda t: views.v_by_dow_named(reports.trends_by_dow(t.events(), "ts")),
-        "v_peak_hours": lambda t: views.v_peak_hours(reports.trends_by_hour(t.events(), "ts")),
+        "v_monthly": lambda t: views.v_monthly(t.by_month()),
+        "v_by_hour": lambda t: views.v_by_hour(t.by_hour()),
+        "v_by_dow_named": lambda t: views.v_by_dow_named(t.by_dow()),
+        "v_peak_hours": lambda t: views.v_peak_hours(t.by_hour()),
         "v_rate_pct_top": lambda t: views.v_rate_pct(t.top_rates(), "primary_type"),
         "v_race": lambda t: views.v_race(reports.matches_by_race(t.arrest_facts())),
         "v_rate_pct_district": lambda t: views.v_rate_pct(
-            reports.rate_by_district(t.arrest_facts("district")), "district"
+            t.by_district_rates(), "district"
         ),
         "v_rate_pct_all": lambda t: views.v_rate_pct(
-            reports.rate_by_type(t.arrest_facts("primary_type")), "primary_type", 2
+            t.by_type_rates(), "primary_type", 2
         ),
         "v_gunshot_overall": lambda t: views.v_gunshot_overall(
-            reports.gunshot_overall(t.violence())
+            t.gunshot()
         ),
         "v_violence_by_type": lambda t: views.v_violence_by_type(
-            reports.violence_by_month(t.violence())
+            t.violence_by_month()
         ),
         "v_violence_top_districts": lambda t: views.v_violence_top_districts(
-            reports.violence_by_district(t.violence())
+            t.violence_by_district()
         ),
         "v_gunshot_top": lambda t: views.v_gunshot_top(
-            reports.gunshot_by_district(
-                t.violence().withColumn("district", F.col("district").cast("string"))
-            )
+            t.gunshot_by_district().withColumn("district", F.col("district").cast("string"))
         ),
         "v_community_top": lambda t: views.v_community_top(
-            reports.violence_by_community(t.violence())
+            t.violence_by_community()
         ),
         "v_hotspot_map": lambda t: views.v_hotspot_map(t.hotspots()),
         "v_cluster_stats": lambda t: views.v_cluster_stats(t.hotspots()),
         "v_density_top": lambda t: views.v_density_top(t.density()),
         "v_density_scatter": lambda t: views.v_density_scatter(
-            reports.community_corr(t.placed_crimes(), t.offenders())
+            t.community_corr()
         ),
         "v_minor_priority": lambda t: views.v_minor_priority(
             reports.minor_victims(t.offenders())

@@ -141,7 +141,30 @@ def test_event_source_needs_a_place(spark, tmp_path):
     assert stream.isStreaming and stream.schema == MESSAGE_SCHEMA
 
 
-def test_scratch_is_in_the_folder_the_session_names(spark):
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+class Session:
+    """As much of a session as the choice of the shared folder looks at."""
+
+    def __init__(self, master, configured=None, checkpoints=None):
+        self.conf = {"spark.checkpoint.dir": configured}
+        self.sparkContext = self
+        self.master, self.checkpoints = master, checkpoints
+
+    def getCheckpointDir(self):
+        return self.checkpoints
+
+    def setCheckpointDir(self, folder):
+        self.checkpoints = folder
+
+
+def test_choice_of_the_shared_folder(tmp_path, monkeypatch):
+    monkeypatch.setattr("tempfile.tempdir", str(tmp_path))
+    assert shared_dir(Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    assert shared_dir(Session("yarn", None, "hdfs:///set")) == "hdfs:///set"
+    assert shared_dir(Session("local[2]")).startswith(str(tmp_path))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session("yarn"))
+
+
+def test_scratch_is_in_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark) + "/x-")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")

@@ -7,6 +7,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardwatch.session import checkpointed
+
 
 def located(df: DataFrame, latitude: str, longitude: str) -> DataFrame:
     """Rows with both coordinates."""
@@ -36,10 +38,12 @@ def fit_hotspots(
 
     Positions recur (they are given per street block), so the model is fitted to the
     distinct ones weighted by their count. Cost and centres mean the same, and the
-    iterations run over as many rows as there are positions, not incidents. Only the k
-    centres reach the driver.
+    iterations run over as many rows as there are positions, not incidents. The positions
+    are stored in the shared folder, so iterations after a lost executor start from there.
+    Only the k centres reach the driver.
     """
-    positions = _featured(_weighted(points, latitude, longitude), latitude, longitude)
+    weighted = checkpointed(_weighted(points, latitude, longitude))
+    positions = _featured(weighted, latitude, longitude)
     kmeans = KMeans(
         k=k,
         seed=seed,
@@ -48,12 +52,7 @@ def fit_hotspots(
         weightCol="weight",
         **params,
     )
-    positions = positions.persist()
-    try:
-        model = kmeans.fit(positions)
-    finally:
-        positions.unpersist()
-    return model, positions
+    return kmeans.fit(positions), positions
 
 
 def cluster_sizes(model: KMeansModel, positions: DataFrame, name: str = "crime_count") -> DataFrame:

@@ -47,8 +47,12 @@ def rolling_count(
     width = window_seconds * SECOND
     marks = _marks(events, key, ts, event_id, width)
     whole_groups = marks.withColumn("_before", F.lit(0))
+
+    def finish(counted: DataFrame) -> DataFrame:
+        return _with_count(counted, events.columns, key, event_id, window_seconds)
+
     if 2 * _busiest_block(events, key, ts, width) <= marks_per_task:
-        return _with_count(_sweep(whole_groups, ["_key", "_block"]), window_seconds)
+        return finish(_sweep(whole_groups, ["_key", "_block"]))
     sizes = marks.groupBy("_key", "_block").agg(F.count("*").alias("_size"))
     large = checkpointed(sizes.filter(F.col("_size") > marks_per_task))
     found = large.agg(F.count("*").alias("groups"), F.sum("_size").alias("rows")).first()
@@ -68,12 +72,15 @@ def rolling_count(
         # The list of large groups is long itself: lay the whole table out by range.
         total = sizes.agg(F.sum("_size").alias("rows")).first()["rows"]
         counted = _sweep_pieces(marks, math.ceil(total / marks_per_task) + 1)
-    return _with_count(counted, window_seconds)
+    return finish(counted)
 
 
-def _with_count(counted: DataFrame, window_seconds: int) -> DataFrame:
+def _with_count(
+    counted: DataFrame, columns: list[str], key: str, event_id: str, window_seconds: int
+) -> DataFrame:
+    own = {key: "_key", event_id: "_id"}
     return counted.select(
-        "_event.*",
+        *[F.col(own.get(name, f"`{name}`")).alias(name) for name in columns],
         F.when(F.col("_at").isNotNull(), F.col("_count")).cast("int").alias("window_count"),
         F.lit(window_seconds).alias("window_seconds"),
     )
@@ -91,25 +98,26 @@ def _busiest_block(events: DataFrame, key: str, ts: str, width: int) -> int:
 
 
 def _marks(events: DataFrame, key: str, ts: str, event_id: str, width: int) -> DataFrame:
+    """Two rows per event; only the arrival carries the event's other columns."""
     at = micros(ts)
-    start = _block_start(at, width)
-    timed = at.isNotNull().cast("int")
+    both = events.select("*", at.alias("_arrival"), (at + width).alias("_expiry")).unpivot(
+        [F.col(f"`{name}`") for name in events.columns], ["_arrival", "_expiry"], "_mark", "_at"
+    )
+    arrival = F.col("_mark") == "_arrival"
+    timed = F.col("_at").isNotNull()
     # Events without a time are in no window; their ids spread them over groups.
     spread = F.xxhash64(F.col(event_id))
-    event = F.struct(*[F.col(f"`{name}`") for name in events.columns])
-    # Expiries keep the id, too: it lets a cut fall between those of one instant.
-    arrival = [at, F.coalesce(start, spread), timed, F.lit(0), F.col(event_id), event]
-    expiry = [
-        at + width,
-        F.coalesce(start + width, spread),
-        F.lit(0),
-        timed,
-        F.col(event_id),
-        F.when(F.lit(False), event),
-    ]
-    names = ["_at", "_block", "_arrives", "_expires", "_id", "_event"]
-    return events.select(
-        F.col(key).alias("_key"), F.stack(F.lit(2), *arrival, *expiry).alias(*names)
+    others = [name for name in events.columns if name not in (key, event_id)]
+    return both.select(
+        F.col(key).alias("_key"),
+        F.coalesce(_block_start(F.col("_at"), width), spread).alias("_block"),
+        "_at",
+        (arrival & timed).cast("int").alias("_arrives"),
+        (~arrival & timed).cast("int").alias("_expires"),
+        # Expiries keep the id, too: it lets a cut fall between those of one instant.
+        F.col(event_id).alias("_id"),
+        arrival.alias("_is_event"),
+        *[F.when(arrival, F.col(f"`{name}`")).alias(name) for name in others],
     )
 
 
@@ -124,8 +132,8 @@ def _sweep(marks: DataFrame, group: list[str]) -> DataFrame:
     to_expire = F.sum("_expires").over(whole) - F.sum("_expires").over(so_far)
     return (
         marks.withColumn("_count", F.sum("_arrives").over(so_far) + to_expire + F.col("_before"))
-        .filter(F.col("_event").isNotNull())
-        .select("_at", "_event", "_count")
+        .filter("_is_event")
+        .drop("_before", "_place")
     )
 
 

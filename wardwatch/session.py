@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Checkpoints go away with the frames that use them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -28,17 +30,19 @@ def build_session(name: str = "wardwatch", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Where it is unset, a local session (as in tests) gets a folder of its own. On a
-    cluster a machine-local folder would be lost with its machine, so we refuse.
+    Where it is unset, a checkpoint folder set on the context does as well, and a local
+    session (as in tests) gets a folder of its own. On a cluster a machine-local folder
+    would be lost with its machine, so we refuse.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -49,6 +53,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` stored in the shared folder, so later steps survive a lost executor."""
     context = df.sparkSession.sparkContext
+    folder = shared_dir(df.sparkSession)
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
+        context.setCheckpointDir(folder)
     return df.checkpoint()

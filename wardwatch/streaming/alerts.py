@@ -76,7 +76,8 @@ def alert_sink(
             if table:
                 stored.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
             if documents:
-                stored.write.mode("overwrite").json(f"{documents}/batch_id={batch_id}")
+                place = f"{documents}/batch_id={batch_id}"
+                stored.write.mode("overwrite").json(place, ignoreNullFields=False)
             if jdbc:
                 _append_new(stored, jdbc)
         finally:

@@ -51,7 +51,7 @@ def rolling_count_stream(
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        new = batch.filter(F.col(ts).isNotNull()).dropDuplicates([event_id])
+        new = _distinct(batch.filter(F.col(ts).isNotNull()), event_id)
         new = new.withColumn("emitted", F.lit(False))
         if batch_id > 0:
             kept = spark.read.parquet(_slot(state_dir, batch_id - 1))
@@ -90,5 +90,11 @@ def rolling_count_stream(
     return writer.start()
 
 
+def _distinct(events: DataFrame, event_id: str) -> DataFrame:
+    """One event per id; those without an id are all different."""
+    other = F.when(F.col(event_id).isNull(), F.monotonically_increasing_id())
+    return events.withColumn("_other", other).dropDuplicates([event_id, "_other"]).drop("_other")
+
+
 def _slot(state_dir: str, batch_id: int) -> str:
     return f"{state_dir}/slot-{batch_id % 2}"
