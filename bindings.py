@@ -19,7 +19,8 @@ from wardwatch.schemas import COLUMNS
 from wardwatch.session import DEFAULTS, scratch_path
 from wardwatch.sources import event_source, read_csv_dataset, read_result, read_table
 from wardwatch.sources import write_parquet
-from wardwatch.streaming import alert_query, alert_sink, rolling_count_stream
+from wardwatch.streaming import alert_query, alert_sink, append_table, replace_table
+from wardwatch.streaming import rolling_count_stream
 
 # Users post about twice a day here, so a window of a day and a threshold of two give
 # alerts of every severity.
@@ -29,6 +30,9 @@ THRESHOLD = 2
 KIND = "victimization_primary"
 AS_OF = datetime(2024, 1, 15, 12, 0, 0)
 
+# Read what there is, then stop.
+NOW = {"availableNow": True}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -321,10 +325,31 @@ def csv_violence(t: Tables) -> DataFrame:
 # Streams: the whole table goes through a streaming query, its output is a table
 
 
+def _event_stream(t: Tables, run: str) -> DataFrame:
+    write_parquet(t.events(), f"{run}/in")
+    return t.spark.readStream.schema(t.events().schema).parquet(f"{run}/in")
+
+
+def stream_totals(t: Tables) -> DataFrame:
+    run = scratch_path(t.spark, "totals")
+    totals = ops.key_totals(_event_stream(t, run), "routed_district")
+    replace_table(totals, f"{run}/out", f"{run}/checkpoint", NOW).awaitTermination()
+    return read_table(t.spark, f"{run}/out")
+
+
+def stream_windows(t: Tables) -> DataFrame:
+    """Windows that are closed when the stream has been read."""
+    run = scratch_path(t.spark, "windows")
+    windows = ops.sliding_counts(
+        _event_stream(t, run), "routed_district", "ts", WINDOW, SLIDE, "10 minutes"
+    )
+    append_table(windows, f"{run}/out", f"{run}/checkpoint", NOW).awaitTermination()
+    return _local(read_table(t.spark, f"{run}/out"), "window_start", "window_end")
+
+
 def stream_counts(t: Tables) -> DataFrame:
     run = scratch_path(t.spark, "counts")
-    write_parquet(t.events(), f"{run}/in")
-    events = t.spark.readStream.schema(t.events().schema).parquet(f"{run}/in")
+    events = _event_stream(t, run)
 
     def emit(counted: DataFrame, batch_id: int) -> None:
         write_parquet(counted, f"{run}/out/batch_id={batch_id}")
@@ -338,7 +363,7 @@ def stream_counts(t: Tables) -> DataFrame:
         state_dir=f"{run}/state",
         checkpoint_dir=f"{run}/checkpoint",
         window_seconds=WINDOW,
-        trigger={"availableNow": True},
+        trigger=NOW,
     ).awaitTermination()
     counted = read_table(t.spark, f"{run}/out")
     return counted.select("event_id", "routed_district", "window_count")
@@ -354,7 +379,7 @@ def _alert_run(t: Tables, **targets: str) -> str:
         checkpoint_dir=f"{run}/checkpoint",
         window_seconds=WINDOW,
         threshold=THRESHOLD,
-        trigger={"availableNow": True},
+        trigger=NOW,
     ).awaitTermination()
     return run
 
@@ -493,6 +518,8 @@ QUERIES: dict[str, Query] = {
         "clean_offenders": csv_offenders,
         "clean_violence": csv_violence,
         # Streams
+        "key_totals_stream": stream_totals,
+        "sliding_counts_stream": stream_windows,
         "rolling_count_stream": stream_counts,
         "alert_query": stream_alerts,
         "alert_documents": stream_documents,

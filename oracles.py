@@ -207,6 +207,19 @@ COMMUNITY_CORR = f"""
           WHERE community_area IS NOT NULL GROUP BY community_area)
     LEFT JOIN ({offenders_by("community_area")}) USING (community_area)
 """
+SLIDING = f"""
+    SELECT CAST(user_id AS VARCHAR) AS routed_district,
+           make_timestamp((epoch_us(ts) // {SLIDE_US} - i) * {SLIDE_US}) AS window_start,
+           make_timestamp((epoch_us(ts) // {SLIDE_US} - i) * {SLIDE_US} + {WINDOW_US})
+               AS window_end,
+           count(*) AS event_count
+    FROM events CROSS JOIN (VALUES (0), (1), (2), (3)) AS v(i)
+    GROUP BY ALL
+"""
+KEY_TOTALS = """
+    SELECT CAST(user_id AS VARCHAR) AS routed_district, count(*) AS event_count
+    FROM events GROUP BY user_id
+"""
 MESSAGE_TIME = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
 
 ORACLES = {
@@ -256,7 +269,7 @@ ORACLES = {
     """,
     "detect_anomalies": ALERTS,
     "alert_stats": f"""
-        SELECT count(*) AS routed,
+        SELECT count(*) AS routed, count(DISTINCT routed_district) AS active_districts,
                count(*) FILTER (WHERE routed_district = 'UNKNOWN') AS unknown_district,
                count(window_count) AS events_checked,
                count(*) FILTER (WHERE window_count >= {THRESHOLD}) AS anomalies_detected
@@ -273,19 +286,13 @@ ORACLES = {
         WHERE ts > TIMESTAMP '2024-01-14 12:00:00' AND ts <= TIMESTAMP '2024-01-15 12:00:00'
         GROUP BY user_id
     """,
-    "sliding_counts": f"""
-        SELECT CAST(user_id AS VARCHAR) AS routed_district,
-               make_timestamp((epoch_us(ts) // {SLIDE_US} - i) * {SLIDE_US}) AS window_start,
-               make_timestamp((epoch_us(ts) // {SLIDE_US} - i) * {SLIDE_US} + {WINDOW_US})
-                   AS window_end,
-               count(*) AS event_count
-        FROM events CROSS JOIN (VALUES (0), (1), (2), (3)) AS v(i)
-        GROUP BY ALL
-    """,
-    "key_totals": """
-        SELECT CAST(user_id AS VARCHAR) AS routed_district, count(*) AS event_count
-        FROM events GROUP BY user_id
+    "sliding_counts": SLIDING,
+    "sliding_counts_stream": f"""
+        SELECT * FROM ({SLIDING})
+        WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTES
     """,
+    "key_totals": KEY_TOTALS,
+    "key_totals_stream": KEY_TOTALS,
     "to_event_messages": f"""
         SELECT CAST(user_id AS VARCHAR) AS key,
                '{{"id":"' || event_id || '","case_number":"' || event_id || '","date":"'

@@ -163,4 +163,4 @@ def test_anomalies_from_the_threshold_on(spark):
         (8, "MEDIUM"),
     ]
     assert len(alerts.columns) == 13
-    assert rows(ops.alert_stats(counted, 5)) == [(5, 0, 5, 4)]
+    assert rows(ops.alert_stats(counted, 5)) == [(5, 1, 0, 5, 4)]

@@ -6,7 +6,7 @@ import pytest
 
 from wardwatch.plans import cleaning
 from wardwatch.schemas import COLUMNS, DATASETS, clean_schema, raw_schema
-from wardwatch.session import scratch_path, shared_dir
+from wardwatch.session import scratch_path, shared_dir, sized_for
 from wardwatch.sources import (
     event_source,
     read_csv_dataset,
@@ -165,6 +165,11 @@ def test_choice_of_the_shared_folder(tmp_path, monkeypatch):
         shared_dir(Session("yarn"))
 
 
+def test_partitions_grow_with_the_shuffle():
+    assert sized_for(10**9) == {"spark.sql.shuffle.partitions": "200"}
+    assert sized_for(10 * 1024**4) == {"spark.sql.shuffle.partitions": "40960"}
+
+
 def test_scratch_is_in_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark) + "/x-")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")

@@ -45,9 +45,10 @@ def detect_anomalies(
 
 
 def alert_stats(counted: DataFrame, threshold: int = 5, key: str = "routed_district") -> DataFrame:
-    """Counters of the chain: events routed, of those without a key, checked, alerted."""
+    """Counters of the chain: events routed, of those without a key, keys, checked, alerted."""
     return counted.agg(
         F.count("*").alias("routed"),
+        F.count_distinct(F.col(key)).alias("active_districts"),
         F.count_if(F.col(key) == "UNKNOWN").alias("unknown_district"),
         F.count_if(F.col("window_count").isNotNull()).alias("events_checked"),
         F.count_if(F.col("window_count") >= threshold).alias("anomalies_detected"),

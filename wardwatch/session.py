@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -19,6 +20,21 @@ DEFAULTS = {
 }
 
 
+# Bytes of one shuffle partition that sort well in an executor's memory.
+PARTITION_BYTES = 256 * 1024**2
+FEWEST_PARTITIONS = 200
+
+
+def sized_for(shuffled_bytes: int) -> dict[str, str]:
+    """Shuffle partitions for a job that shuffles about this much at once.
+
+    Adaptive execution joins partitions that come out small, but it cannot cut those of
+    an aggregate or a window, so a large job has to start with enough of them.
+    """
+    count = max(FEWEST_PARTITIONS, math.ceil(shuffled_bytes / PARTITION_BYTES))
+    return {"spark.sql.shuffle.partitions": str(count)}
+
+
 def build_session(name: str = "wardwatch", **conf: str) -> SparkSession:
     """A session with our defaults; ``conf`` adds to them or replaces them."""
     builder = SparkSession.builder.appName(name)
