@@ -201,6 +201,15 @@ class Tables:
     def hotspots(self) -> DataFrame:
         return ops.cluster_sizes(*ops.fit_hotspots(self.points()))
 
+    def labelled_spots(self) -> DataFrame:
+        """A table like that of the hotspots with the given labels as clusters."""
+        located = ops.located(self.points(), "latitude", "longitude")
+        return located.groupBy(F.col("primary_type").alias("cluster_id")).agg(
+            F.min("latitude").alias("centroid_latitude"),
+            F.min("longitude").alias("centroid_longitude"),
+            F.count("*").alias("crime_count"),
+        )
+
     def density(self) -> DataFrame:
         crimes = self.placed_crimes("block", "district")
         return reports.offender_density(self.offenders(), crimes, self.stations())
@@ -561,6 +570,8 @@ QUERIES: dict[str, Query] = {
         ),
         "v_hotspot_map": lambda t: views.v_hotspot_map(t.hotspots()),
         "v_cluster_stats": lambda t: views.v_cluster_stats(t.hotspots()),
+        "v_hotspot_map_by_label": lambda t: views.v_hotspot_map(t.labelled_spots()),
+        "v_cluster_stats_by_label": lambda t: views.v_cluster_stats(t.labelled_spots()),
         "v_density_top": lambda t: views.v_density_top(t.density()),
         "v_density_scatter": lambda t: views.v_density_scatter(
             t.community_corr()

@@ -220,6 +220,12 @@ KEY_TOTALS = """
     SELECT CAST(user_id AS VARCHAR) AS routed_district, count(*) AS event_count
     FROM events GROUP BY user_id
 """
+SPOTS = """
+    SELECT label AS cluster_id, CAST(min(embedding[1]) AS DOUBLE) AS lat,
+           CAST(min(embedding[2]) AS DOUBLE) AS lon, count(*) AS crime_count
+    FROM embeddings WHERE embedding[1] IS NOT NULL AND embedding[2] IS NOT NULL
+    GROUP BY label
+"""
 MESSAGE_TIME = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
 
 ORACLES = {
@@ -436,6 +442,18 @@ ORACLES = {
         SELECT * FROM ({VIOLENCE_BY_COMMUNITY})
         ORDER BY total_incidents DESC, community_area LIMIT 15
     """,
+    "v_hotspot_map_by_label": f"""
+        SELECT cluster_id, lat, lon, crime_count,
+               crime_count / max(crime_count) OVER () * 50 AS size,
+               'Cluster ' || cluster_id || ' — ' || format('{{:,}}', crime_count) || ' crimes'
+                   AS label
+        FROM ({SPOTS})
+    """,
+    "v_cluster_stats_by_label": f"""
+        SELECT cluster_id, lat, lon, format('{{:,}}', crime_count) AS crimes_assigned,
+               round_even(crime_count / sum(crime_count) OVER () * 100, 1) || '%' AS pct_of_total
+        FROM ({SPOTS})
+    """,
     "v_density_top": f"""
         SELECT district, offender_count FROM ({DENSITY}) WHERE district IS NOT NULL
         ORDER BY offender_count DESC, district LIMIT 15

@@ -6,8 +6,8 @@ from datetime import datetime, timedelta
 import pytest
 from helpers import rows
 
-from wardwatch.plans import batch, reports
-from wardwatch.schemas import clean_schema
+from wardwatch.plans import batch, reports, views
+from wardwatch.schemas import ALERT_SCHEMA, clean_schema
 
 
 def frame(spark, dataset, data):
@@ -115,3 +115,15 @@ def test_clustered_tables(inputs, written):
     located = inputs["crimes"].filter("latitude is not null and longitude is not null").count()
     assert sum(r["crime_count"] for r in written["hotspots"].collect()) == located
     assert written["crimes_with_clusters"].count() == located
+
+
+def test_dashboard_over_the_written_tables(spark, written):
+    shown = views.dashboard(written, spark.createDataFrame([], ALERT_SCHEMA))
+    counts = {name: view.count() for name, view in shown.items()}
+    one_row = {"kpis", "peak_hours", "gunshot_overall", "severity_tiles"}
+    assert {name for name in one_row if counts[name] != 1} == set()
+    no_alerts = {"alerts_by_severity", "alerts_by_district", "alert_districts", "alert_feed"}
+    assert {name for name, n in counts.items() if n == 0} == no_alerts
+    kpis = shown["kpis"].first()
+    assert kpis["total_crimes"] == 300 and kpis["total_alerts"] == 0
+    assert kpis["hotspot_count"] == 3

@@ -97,3 +97,10 @@ def test_rolling_count_shuffles_once(tables):
     text = plan(ops.rolling_count(crimes, "district", "date", "id"))
     assert text.count("Exchange") == 1
     assert "hashpartitioning(_key" in text and "_block" in text
+
+
+def test_large_groups_are_told_apart_by_hash_join(spark):
+    events = spark.range(1000).selectExpr("'k' AS k", "timestamp_seconds(0) AS ts", "id")
+    text = plan(ops.rolling_count(events, "k", "ts", "id", marks_per_task=100))
+    assert "BroadcastHashJoin" in text and "LeftAnti" in text
+    assert not [word for word in NEVER if word in text]

@@ -93,6 +93,12 @@ def test_the_list_of_large_groups_may_be_long(spark, monkeypatch):
     assert count(spark, events, 30, marks_per_task=10) == brute_force(events, 30)
 
 
+def test_pieces_are_bounded_but_results_whole(spark, monkeypatch):
+    monkeypatch.setattr(rolling, "MOST_PIECES", 3)
+    events = random_events(8, 300)
+    assert count(spark, events, 300, marks_per_task=5) == brute_force(events, 300)
+
+
 def test_a_hot_group_is_spread_over_tasks(spark):
     """One key at one instant holds a third of the rows: no task sorts all of them."""
     n = 30_000

@@ -195,6 +195,12 @@ def test_alert_chain(spark, alert_folder):
     assert rows(alerts, "triggered_at")[0] == (START + timedelta(seconds=40),)
 
 
+def test_batches_without_alerts_leave_nothing(spark, alert_folder):
+    run_alerts(alert_folder)
+    written = sorted(p.name for p in (alert_folder.path / "table").iterdir())
+    assert written == ["batch_id=0", "batch_id=1"]
+
+
 def test_alerts_of_a_rerun_are_not_doubled(spark, alert_folder):
     run_alerts(alert_folder)
     (alert_folder.path / "checkpoint" / "commits" / "2").unlink()

@@ -14,7 +14,9 @@ from wardwatch.session import checkpointed
 
 SECOND = 1_000_000
 # A group of this many marks still sorts comfortably in one task.
-MARKS_PER_TASK = 5_000_000
+MARKS_PER_TASK = 2_000_000
+# More pieces than this are not cut at once; pieces grow instead, and sorts spill.
+MOST_PIECES = 50_000
 # Groups over the limit that may be broadcast as a list of (key, block): a few MB.
 MOST_LISTED_GROUPS = 100_000
 
@@ -64,17 +66,21 @@ def rolling_count(
         same = F.col("_key").eqNullSafe(F.col("_large_key")) & (
             F.col("_block") == F.col("_large_block")
         )
-        pieces = math.ceil(found["rows"] / marks_per_task) + 1
+        pieces = _pieces(found["rows"], marks_per_task)
         counted = _sweep(
             whole_groups.join(listed, same, "left_anti"), ["_key", "_block"]
         ).unionByName(_sweep_pieces(marks.join(listed, same, "left_semi"), pieces))
     else:
         # The list of large groups is long itself: lay the whole table out by range.
         total = sizes.agg(F.sum("_size").alias("rows")).first()["rows"]
-        counted = _sweep_pieces(marks, math.ceil(total / marks_per_task) + 1)
+        counted = _sweep_pieces(marks, _pieces(total, marks_per_task))
     return finish(counted)
 
 
+def _pieces(marks: int, marks_per_task: int) -> int:
+    return min(math.ceil(marks / marks_per_task) + 1, MOST_PIECES)
+
+
 def _with_count(
     counted: DataFrame, columns: list[str], key: str, event_id: str, window_seconds: int
 ) -> DataFrame:

@@ -223,3 +223,45 @@ def v_alert_feed(
         "latest_case_number",
         stamp("triggered_at").alias("triggered_at"),
     )
+
+
+# All of them
+
+
+def dashboard(tables: dict[str, DataFrame], alerts: DataFrame) -> dict[str, DataFrame]:
+    """Every view by name, over the tables of the batch run and the alert table.
+
+    The frames are lazy: one that is not shown costs nothing.
+    """
+    by_type = tables["arrest_rate_by_crime_type"]
+    by_district = tables["arrest_rate_by_district"]
+    gunshot = tables["gunshot_injury_proportion"]
+    by_year = tables["crime_trends_by_year"]
+    by_hour = tables["crime_trends_by_hour"]
+    hotspots = tables["hotspots"]
+    return {
+        "kpis": v_kpis(by_year, alerts, hotspots, by_district, gunshot),
+        "monthly": v_monthly(tables["crime_trends_by_month"]),
+        "by_hour": v_by_hour(by_hour),
+        "by_dow_named": v_by_dow_named(tables["crime_trends_by_day_of_week"]),
+        "peak_hours": v_peak_hours(by_hour),
+        "rate_pct_top": v_rate_pct(tables["top10_crime_types_by_arrest_rate"], "primary_type"),
+        "race": v_race(tables["arrests_by_race"]),
+        "rate_pct_district": v_rate_pct(by_district, "district"),
+        "rate_pct_all": v_rate_pct(by_type, "primary_type", 2),
+        "gunshot_overall": v_gunshot_overall(gunshot),
+        "violence_by_type": v_violence_by_type(tables["violence_by_month"]),
+        "violence_top_districts": v_violence_top_districts(tables["violence_by_district"]),
+        "gunshot_top": v_gunshot_top(tables["gunshot_proportion_by_district"]),
+        "community_top": v_community_top(tables["top_community_areas_by_violence"]),
+        "hotspot_map": v_hotspot_map(hotspots),
+        "cluster_stats": v_cluster_stats(hotspots),
+        "density_top": v_density_top(tables["sex_offender_density_by_district"]),
+        "density_scatter": v_density_scatter(tables["community_offender_vs_crime_correlation"]),
+        "minor_priority": v_minor_priority(tables["sex_offenders_minor_victims_priority"]),
+        "alerts_by_severity": v_alerts_by_severity(alerts),
+        "severity_tiles": v_severity_tiles(alerts),
+        "alerts_by_district": v_alerts_by_district(alerts),
+        "alert_districts": v_alert_districts(alerts),
+        "alert_feed": v_alert_feed(alerts),
+    }

@@ -73,6 +73,9 @@ def alert_sink(
     def write(alerts: DataFrame, batch_id: int) -> None:
         stored = alerts.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            # The first batch is written in any case, so that there is a table to read.
+            if batch_id > 0 and stored.isEmpty():
+                return
             if table:
                 stored.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
             if documents:
