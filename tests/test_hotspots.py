@@ -79,6 +79,13 @@ def test_every_point_has_its_nearest_centre(points, fitted):
         assert away[r["cluster"]] == min(away)
 
 
+def test_a_second_fit_gives_the_same(points, fitted):
+    again, _ = ops.fit_hotspots(points.repartition(7), k=3)
+    first = [tuple(c) for c in fitted[0].clusterCenters()]
+    for one, other in zip(first, [tuple(c) for c in again.clusterCenters()]):
+        assert one == pytest.approx(other)
+
+
 def test_fewer_positions_than_clusters(points):
     model, positions = ops.fit_hotspots(points.limit(3), k=10)
     assert len(model.clusterCenters()) <= 3

@@ -42,7 +42,9 @@ def fit_hotspots(
     are stored in the shared folder, so iterations after a lost executor start from there.
     Only the k centres reach the driver.
     """
-    weighted = checkpointed(_weighted(points, latitude, longitude))
+    # In a fixed order, as the seed draws the first centres from the rows as they lie.
+    weighted = _weighted(points, latitude, longitude).sortWithinPartitions(latitude, longitude)
+    weighted = checkpointed(weighted)
     positions = _featured(weighted, latitude, longitude)
     kmeans = KMeans(
         k=k,

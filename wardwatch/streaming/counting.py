@@ -58,11 +58,12 @@ def rolling_count_stream(
             new = new.join(kept.select(event_id), event_id, "left_anti").unionByName(kept)
         pool = new.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            newest = pool.agg(F.max(micros(ts))).first()[0]
-            if newest is None:
-                newest = 0
+            newest, size = pool.agg(F.max(micros(ts)), F.count("*")).first()
+            newest = newest or 0
             settled = micros(ts) <= newest - lateness_seconds * SECOND
-            counted = rolling_count(pool, key, ts, event_id, window_seconds, marks_per_task)
+            counted = rolling_count(
+                pool, key, ts, event_id, window_seconds, marks_per_task, rows=size
+            )
             emit(counted.filter(~F.col("emitted") & settled).drop("emitted"), batch_id)
 
             # A time in the future must not make the events of now drop out.
