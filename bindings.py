@@ -42,7 +42,8 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
-        spark.conf.set("spark.sql.session.timeZone", DEFAULTS["spark.sql.session.timeZone"])
+        for name in ("spark.sql.session.timeZone", "spark.sql.variant.allowDuplicateKeys"):
+            spark.conf.set(name, DEFAULTS[name])
 
     def read(self, name: str) -> DataFrame:
         return read_table(self.spark, f"{self.folder}/{name}.parquet")

@@ -45,6 +45,52 @@ def test_reasons(spark, value, reason):
     assert parse(spark, value)[0]["rejected"] == reason
 
 
+BODY = json.dumps(GOOD)[:-1]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        BODY + "}",
+        BODY + "} ",
+        " \n" + BODY + "}",
+        BODY + "} x",
+        BODY + "}{}",
+        BODY + "}}",
+        BODY + "},{}",
+        BODY + "}] ",
+        BODY + "}],[1",
+        BODY + ",}",
+        BODY + ', "ward": 01}',
+        BODY + ', "ward": tru}',
+        BODY + ', "ward": "\\x"}',
+        BODY + ', "ward": NaN}',
+        BODY + ', "ward": [-Infinity , 1]}',
+        BODY + ', "ward": "a: NaN, b"}',
+        BODY + ', "ward": NaN} x',
+        BODY + ', "district": "9"}',
+        BODY.replace('"', "'") + "}",
+        "\ufeff" + BODY + "}",
+        "1,2",
+        "[1] [2]",
+        " ",
+    ],
+)
+def test_what_is_json_is_what_python_takes(spark, text):
+    try:
+        expected = None if isinstance(json.loads(text), dict) else "not_object"
+    except ValueError:
+        expected = "malformed"
+    assert parse(spark, text.encode())[0]["rejected"] == expected
+
+
+def test_number_words_and_repeated_keys(spark):
+    text = BODY + ', "latitude": NaN, "longitude": -Infinity, "district": "9"}'
+    event = parse(spark, text.encode())[0]
+    assert math.isnan(event["latitude"]) and event["longitude"] == -math.inf
+    assert event["district"] == "9"
+
+
 def test_absent_is_blank_and_null_stays(spark):
     absent, null = parse(spark, GOOD, {**GOOD, "block": None, "beat": 12, "arrest": None})
     assert list(absent) == ["n", *EVENT_FIELDS, "rejected"]

@@ -13,6 +13,9 @@ from wardwatch.schemas import EVENT_BOOLEANS, EVENT_DOUBLES, EVENT_FIELDS, EVENT
 
 FIELDS_AS_VARIANTS = f"struct<{','.join(f'{name}:variant' for name in EVENT_FIELDS)}>"
 
+# A number word in the place of a value.
+BARE_NUMBER_WORD = r"([:\[,]\s*)(-?Infinity|NaN)(?=\s*[,\]}])"
+
 # Text that counts as a number; a cast alone would take a type suffix such as "1d" too.
 NUMBER_TEXT = r"(?i)^[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|nan|inf|infinity)$"
 
@@ -59,21 +62,28 @@ def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
     An absent field is an empty text and an explicit null stays NULL. Coordinates that
     are no number are NULL, flags are true only for true or the text "true". A district
     that is empty but no text (0, false, [], {}) is an empty text, so it is routed as
-    unknown. JSON with a repeated key or a bare NaN counts as malformed.
+    unknown. Whether a repeated key is allowed (the last one counts) is up to
+    ``spark.sql.variant.allowDuplicateKeys``; sessions of this package allow it.
     """
     kept = [name for name in messages.columns if name != value]
     text = F.when(F.is_valid_utf8(F.col(value)), F.col(value).cast("string"))
+    mark = F.xxhash64(text)
+    json = messages.select(*kept, text.alias("_text"), mark.alias("_mark"))
+    json = json.select(*kept, "_mark", _once(_parsed("_text", "_mark")).alias("_json"))
     # The fields are taken out once, as variants: NULL if absent, a variant null if null.
-    json = messages.select(*kept, _once(F.try_parse_json(text)).alias("_json"))
-    fields_only = F.try_variant_get("_json", "$", FIELDS_AS_VARIANTS)
-    json = json.select("*", _once(fields_only).alias("_fields"))
+    complete = F.try_variant_get("_json", "$[1]", "bigint") == F.col("_mark")
+    fields_only = F.try_variant_get("_json", "$[0]", FIELDS_AS_VARIANTS)
+    message = F.struct(
+        F.coalesce(complete, F.lit(False)).alias("complete"), fields_only.alias("fields")
+    )
+    json = json.select(*kept, _once(message).alias("_message"))
     blank = [F.coalesce(strip(_text(name)), F.lit("")) == "" for name in EVENT_REQUIRED]
     missing = blank[0]
     for one in blank[1:]:
         missing = missing | one
     rejected = (
-        F.when(F.col("_json").isNull(), "malformed")
-        .when(F.col("_fields").isNull(), "not_object")
+        F.when(~F.col("_message.complete"), "malformed")
+        .when(F.col("_message.fields").isNull(), "not_object")
         .when(missing, "missing_fields")
     )
     fields = {name: _optional(name) for name in EVENT_FIELDS}
@@ -87,6 +97,23 @@ def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def _parsed(text: str, mark: str) -> Column:
+    """``[message, mark]`` as a variant.
+
+    The parser stops after the first complete value. The mark, which follows from the
+    text, shows that nothing came between the message and the end of the text.
+    A bare NaN or Infinity, which the parser does not know, is read as text.
+    """
+
+    def parse(message):
+        parts = F.lit("["), message, F.lit(","), F.col(mark).cast("string"), F.lit("]")
+        return F.try_parse_json(F.concat(*parts))
+
+    quoted = F.regexp_replace(F.col(text), BARE_NUMBER_WORD, '$1"$2"')
+    worded = F.col(text).contains("NaN") | F.col(text).contains("Infinity")
+    return F.coalesce(parse(F.col(text)), F.when(worded, parse(quoted)))
+
+
 def _once(column: Column) -> Column:
     """Evaluated once per row: a filter on what follows from it would otherwise be moved
     before it with a copy of the column for every mention."""
@@ -94,7 +121,7 @@ def _once(column: Column) -> Column:
 
 
 def _part(name: str) -> Column:
-    return F.col(f"_fields.{name}")
+    return F.col(f"_message.fields.{name}")
 
 
 def _text(name: str) -> Column:
