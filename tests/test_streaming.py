@@ -6,7 +6,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 
 from wardwatch import operators as ops
 from wardwatch.sources import event_source, read_table, write_parquet
@@ -93,6 +93,29 @@ def test_counts_are_those_of_the_batch(spark, tmp_path, files):
     assert rows(counted, "id", "k", "note", "window_count") == batch_counts(spark, events)
 
 
+def test_micro_batches_stay_in_the_jvm(spark, tmp_path):
+    folder = Folder(spark, tmp_path, EVENTS)
+    folder.add(some_events(30))
+    folder.add(some_events(60)[30:])
+    plans = []
+    query = rolling_count_stream(
+        spark.readStream.schema(EVENTS).parquet(str(folder.input)),
+        lambda counted, batch_id: plans.append(plan(counted)),
+        key="k",
+        ts="ts",
+        event_id="id",
+        state_dir=folder.place("state"),
+        checkpoint_dir=folder.place("checkpoint"),
+        marks_per_task=10,
+        trigger=NOW,
+    )
+    query.awaitTermination()
+    assert plans
+    for text in plans:
+        assert "Python" not in text and "Pandas" not in text
+        assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
 def test_restart_goes_on_and_repeats_nothing(spark, tmp_path):
     events = some_events()
     folder = Folder(spark, tmp_path, EVENTS)
