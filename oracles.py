@@ -69,7 +69,7 @@ def counted(events: str) -> str:
                        RANGE BETWEEN {WINDOW_US - 1} PRECEDING AND CURRENT ROW)
         - count(*) OVER (PARTITION BY routed_district, ts)
         + row_number() OVER (PARTITION BY routed_district, ts ORDER BY event_id)
-        AS INTEGER) AS window_count
+        AS BIGINT) AS window_count
     FROM ({events})
     """
 

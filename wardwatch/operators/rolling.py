@@ -45,8 +45,9 @@ def rolling_count(
     A group may still be too large for a task, as when one key bursts or a load stamps
     many events with one instant. Such groups are found by a count and laid out by range
     of (key, time, id), which cuts them anywhere, also between equal times; each piece
-    starts from the counts of the pieces around it. Who knows that there are few events
-    may say how many (``rows``), which can save the look for large groups.
+    starts from the counts of the pieces around it. The count reads the events once more,
+    so store those that are costly to derive. Who knows that there are few events may say
+    how many (``rows``), which can save the look for large groups.
     """
     width = window_seconds * SECOND
     marks = _marks(events, key, ts, event_id, width)
@@ -90,7 +91,7 @@ def _with_count(
     own = {key: "_key", event_id: "_id"}
     return counted.select(
         *[F.col(own.get(name, f"`{name}`")).alias(name) for name in columns],
-        F.when(F.col("_at").isNotNull(), F.col("_count")).cast("int").alias("window_count"),
+        F.when(F.col("_at").isNotNull(), F.col("_count")).alias("window_count"),
         F.lit(window_seconds).alias("window_seconds"),
     )
 
@@ -103,7 +104,7 @@ def _busiest_block(events: DataFrame, key: str, ts: str, width: int) -> int:
     """Most events of one key in one block; reads two columns and shuffles counts."""
     at = micros(ts)
     blocks = events.filter(at.isNotNull()).groupBy(key, _block_start(at, width))
-    return blocks.count().agg(F.max("count")).first()[0] or 0
+    return blocks.agg(F.count("*").alias("_size")).agg(F.max("_size")).first()[0] or 0
 
 
 def _marks(events: DataFrame, key: str, ts: str, event_id: str, width: int) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql.types import (
     DateType,
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -81,7 +82,8 @@ ALERT_SCHEMA = StructType(
         StructField("alert_id", StringType()),
         StructField("alert_type", StringType()),
         StructField("district", StringType()),
-        StructField("crime_count_in_window", IntegerType()),
+        # Wider than the published column: a busy key may exceed an int.
+        StructField("crime_count_in_window", LongType()),
         StructField("window_seconds", IntegerType()),
         StructField("threshold", IntegerType()),
         StructField("latest_crime_type", StringType()),
