@@ -88,7 +88,7 @@ def test_times_before_the_epoch(spark):
 
 
 def test_the_list_of_large_groups_may_be_long(spark, monkeypatch):
-    monkeypatch.setattr(rolling, "MOST_LISTED_GROUPS", 2)
+    monkeypatch.setattr(rolling, "MOST_LISTED_BYTES", 40)
     events = random_events(5, 300)
     assert count(spark, events, 30, marks_per_task=10) == brute_force(events, 30)
 

@@ -17,8 +17,8 @@ SECOND = 1_000_000
 MARKS_PER_TASK = 2_000_000
 # More pieces than this are not cut at once; pieces grow instead, and sorts spill.
 MOST_PIECES = 50_000
-# Groups over the limit that may be broadcast as a list of (key, block): a few MB.
-MOST_LISTED_GROUPS = 100_000
+# The list of large groups, (key, block), is broadcast up to this size.
+MOST_LISTED_BYTES = 32 * 1024**2
 
 
 def rolling_count(
@@ -61,10 +61,15 @@ def rolling_count(
         return finish(_sweep(whole_groups, ["_key", "_block"]))
     sizes = marks.groupBy("_key", "_block").agg(F.count("*").alias("_size"))
     large = checkpointed(sizes.filter(F.col("_size") > marks_per_task))
-    found = large.agg(F.count("*").alias("groups"), F.sum("_size").alias("rows")).first()
+    key_bytes = F.coalesce(F.octet_length(F.col("_key").cast("string")), F.lit(0))
+    found = large.agg(
+        F.count("*").alias("groups"),
+        F.sum("_size").alias("rows"),
+        F.sum(key_bytes + 16).alias("bytes"),
+    ).first()
     if found["groups"] == 0:
         counted = _sweep(whole_groups, ["_key", "_block"])
-    elif found["groups"] <= MOST_LISTED_GROUPS:
+    elif found["bytes"] <= MOST_LISTED_BYTES:
         names = F.col("_key").alias("_large_key"), F.col("_block").alias("_large_block")
         listed = F.broadcast(large.select(*names))
         same = F.col("_key").eqNullSafe(F.col("_large_key")) & (
