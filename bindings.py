@@ -585,7 +585,7 @@ QUERIES: dict[str, Query] = {
         "v_alerts_by_district": lambda t: views.v_alerts_by_district(t.alerts()),
         "v_alert_districts": lambda t: views.v_alert_districts(t.alerts()),
         "v_alert_feed": lambda t: views.v_alert_feed(t.alerts()),
-        "v_alert_feed_critical": lambda t: views.v_alert_feed(t.alerts(), "CRITICAL", "8", 20),
+        "v_alert_feed_critical": lambda t: views.v_alert_feed(t.alerts(), "CRITICAL"),
     }.items()
 }
 

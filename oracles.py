@@ -484,5 +484,5 @@ ORACLES = {
     """,
     "v_alert_districts": f"SELECT DISTINCT district FROM ({ALERTS}) WHERE district IS NOT NULL",
     "v_alert_feed": feed("", 100),
-    "v_alert_feed_critical": feed("WHERE severity = 'CRITICAL' AND district = '8'", 20),
+    "v_alert_feed_critical": feed("WHERE severity = 'CRITICAL'", 100),
 }

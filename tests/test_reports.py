@@ -225,13 +225,13 @@ def test_peak_hours_take_the_first_of_equals(spark):
 
 
 def test_alert_feed_binds_its_filters(spark):
-    schema = "alert_id string, district string, severity string, crime_count_in_window int, "
+    schema = "alert_id string, district string, severity string, crime_count_in_window long, "
     schema += "window_seconds int, threshold int, latest_crime_type string, "
     schema += "latest_case_number string, triggered_at timestamp"
     at = datetime(2024, 1, 1, 12, 30, 5)
+    districts = ["1", "' OR 1=1", "1"]
     alerts = spark.createDataFrame(
-        [(f"A{i}", d, "LOW", 5, 300, 5, "T", "C", at) for i, d in enumerate(["1", "' OR 1=1", "1"])],
-        schema,
+        [(f"A{i}", d, "LOW", 5, 300, 5, "T", "C", at) for i, d in enumerate(districts)], schema
     )
     feed = views.v_alert_feed(alerts, district="1")
     assert [(r[0], r[-1]) for r in feed.collect()] == [
