@@ -35,6 +35,7 @@ def parse(spark, *values):
         ({**GOOD, "district": None}, "missing_fields"),
         ({**GOOD, "district": ""}, "missing_fields"),
         ({**GOOD, "case_number": " \t\n"}, "missing_fields"),
+        ({**GOOD, "case_number": "\xa0\u2003"}, "missing_fields"),
         ({"case_number": "C1", "district": "8"}, "missing_fields"),
         (GOOD, None),
         ({**GOOD, "district": 0}, None),
@@ -129,6 +130,10 @@ def test_flags(spark, value, expected):
         ("1e2", 100.0),
         (".5", 0.5),
         ("5.", 5.0),
+        ("1_000.5", 1000.5),
+        ("1__0", None),
+        ("_1", None),
+        ("\u20037\xa0", 7.0),
         ("x", None),
         ("1d", None),
         ("0x10", None),

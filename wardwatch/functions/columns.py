@@ -15,7 +15,11 @@ LOWEST_SEVERITY = "LOW"
 SEVERITIES = [name for name, _ in SEVERITY_BANDS] + [LOWEST_SEVERITY]
 
 UNKNOWN_KEY = "UNKNOWN"
-WHITESPACE = " \t\n\r\x0b\x0c"
+# The white space of Unicode, with the separators among the control characters.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def _col(value: Column | str) -> Column:

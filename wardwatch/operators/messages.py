@@ -16,13 +16,18 @@ FIELDS_AS_VARIANTS = f"struct<{','.join(f'{name}:variant' for name in EVENT_FIEL
 # A number word in the place of a value.
 BARE_NUMBER_WORD = r"([:\[,]\s*)(-?Infinity|NaN)(?=\s*[,\]}])"
 
-# Text that counts as a number; a cast alone would take a type suffix such as "1d" too.
-NUMBER_TEXT = r"(?i)^[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|nan|inf|infinity)$"
+# Text that counts as a number: digits may be grouped by single underscores, and there is
+# no type suffix such as "1d", which a cast alone would take.
+DIGITS = r"\d(_?\d)*"
+NUMBER_TEXT = (
+    rf"(?i)^[+-]?(({DIGITS}(\.({DIGITS})?)?|\.{DIGITS})(e[+-]?{DIGITS})?|nan|inf|infinity)$"
+)
 
 
 def _number(text: Column) -> Column:
     text = strip(text)
-    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
+    digits = F.replace(text, F.lit("_"), F.lit(""))
+    return F.when(text.rlike(NUMBER_TEXT), digits.try_cast("double"))
 
 
 def to_event_messages(
