@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardwatch.llm import bpe
+from wardwatch.llm import bpe, langid
+from wardwatch.llm.common import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +20,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_langid(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document; a fifth of them is held out of the learning."""
+    docs = table(spark, folder, "documents")
+    model = langid.train(docs.where(fold("doc_id", 5) != 0))
+    found = langid.identify(docs, model, keep=["doc_id"])
+    return found.withColumn("held_out", fold("doc_id", 5) == 0)
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of ids and decoded text of every document."""
     rows = bpe.round_trip(table(spark, folder, "documents"), TOKENIZER)
@@ -32,6 +41,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_langid": op3_langid,
     "op10_bpe": op10_bpe,
 }
 
