@@ -8,13 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardwatch.llm import bpe, langid
+from wardwatch.llm import bpe, langid, quality
 from wardwatch.llm.common import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
+# A document of at least this score is good.
+QUALITY = 0.7
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -28,6 +31,19 @@ def op3_langid(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("held_out", fold("doc_id", 5) == 0)
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document; a quarter of the ids is held out of the learning."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = quality.train(docs, labels.where(fold("doc_id", 4) != 2))
+    found = quality.score(docs, model, keep=["doc_id"])
+    return found.select(
+        "doc_id",
+        (fold("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY).cast("int").alias("predicted"),
+    )
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of ids and decoded text of every document."""
     rows = bpe.round_trip(table(spark, folder, "documents"), TOKENIZER)
@@ -42,6 +58,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_langid": op3_langid,
+    "op6_quality": op6_quality,
     "op10_bpe": op10_bpe,
 }
 
