@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardwatch.llm import bpe, langid, quality
+from wardwatch.llm import bpe, jaccard, langid, quality
 from wardwatch.llm.common import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,12 @@ def op3_langid(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("held_out", fold("doc_id", 5) == 0)
 
 
+def op5_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Class of every document and its number of similar texts."""
+    found = jaccard.classes(table(spark, folder, "documents"))
+    return found.select("doc_id", "class_id", "n_links")
+
+
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document; a quarter of the ids is held out of the learning."""
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
@@ -58,6 +64,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_langid": op3_langid,
+    "op5_jaccard": op5_jaccard,
     "op6_quality": op6_quality,
     "op10_bpe": op10_bpe,
 }
