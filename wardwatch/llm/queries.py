@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardwatch.llm import bpe, jaccard, langid, quality
+from wardwatch.llm import bpe, jaccard, langid, packing, quality
 from wardwatch.llm.common import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,20 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 1024 tokens."""
+    pieces = packing.pack(table(spark, folder, "documents"), TOKENIZER)
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of ids and decoded text of every document."""
     rows = bpe.round_trip(table(spark, folder, "documents"), TOKENIZER)
@@ -66,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op3_langid": op3_langid,
     "op5_jaccard": op5_jaccard,
     "op6_quality": op6_quality,
+    "op9_packing": op9_packing,
     "op10_bpe": op10_bpe,
 }
 
