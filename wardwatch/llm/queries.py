@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardwatch.llm import bpe, jaccard, langid, packing, quality
+from wardwatch.llm import bpe, jaccard, langid, packing, pii, quality
 from wardwatch.llm.common import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,21 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document, counted by kind, and all spans."""
+    found = pii.find(table(spark, folder, "documents"))
+    counts = [
+        F.size(F.filter("base", pii.of_kind(kind))).cast("long").alias(f"n_{kind}")
+        for kind in pii.PATTERNS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+        pii.written(F.concat("base", "terms")).alias("spans"),
+    )
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 tokens."""
     pieces = packing.pack(table(spark, folder, "documents"), TOKENIZER)
@@ -80,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op3_langid": op3_langid,
     "op5_jaccard": op5_jaccard,
     "op6_quality": op6_quality,
+    "op8_pii": op8_pii,
     "op9_packing": op9_packing,
     "op10_bpe": op10_bpe,
 }
