@@ -231,19 +231,27 @@ def predict(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
     return langs, scores
 
 
-def identify(docs: DataFrame, model: Model, text_column="text", keep=None) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` of every whole text; ``keep`` names columns.
+def identify(
+    docs: DataFrame,
+    model: Model,
+    text_column="text",
+    keep: list[str] | None = None,
+    names: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """``docs`` with the language and score of every whole text, in columns ``names``.
+
+    ``keep`` lists the columns of ``docs`` to return, all by default.
 
     A text that is null or has no letter gets ``und`` and 0, and so do all texts if the
     model saw no labelled row. Equal shares go to the language first in order. Rows are
-    judged one by one, so repeated rows get equal results. Columns of these two names in
-    the input are replaced; all others are kept.
+    judged one by one, so repeated rows get equal results. Columns of the two names in the
+    input are replaced; all others are kept.
     """
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop(*names)
     kept = [name for name in docs.columns if keep is None or name in keep]
     schema = T.StructType(
         [docs.schema[name] for name in kept]
-        + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+        + [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
     )
 
     def run(batches):

@@ -284,16 +284,23 @@ def judge(model: Model, texts: pa.Array) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(model.slope * _odds(mean) + model.shift, -30, 30)))
 
 
-def score(docs: DataFrame, model: Model, text_column="text", keep=None) -> DataFrame:
-    """``docs`` with ``score``, the quality of every whole text; ``keep`` names columns.
+def score(
+    docs: DataFrame,
+    model: Model,
+    text_column="text",
+    keep: list[str] | None = None,
+    name: str = "score",
+) -> DataFrame:
+    """``docs`` with the quality of every whole text in the column ``name``.
 
+    ``keep`` lists the columns of ``docs`` to return, all by default.
     Null and empty texts are one empty line and get its score. Rows are judged one by one,
-    so repeated rows get equal scores. A column ``score`` in the input is replaced.
+    so repeated rows get equal scores. A column ``name`` in the input is replaced.
     """
-    docs = docs.drop("score")
+    docs = docs.drop(name)
     kept = [name for name in docs.columns if keep is None or name in keep]
     schema = T.StructType(
-        [docs.schema[name] for name in kept] + [T.StructField("score", T.DoubleType())]
+        [docs.schema[name] for name in kept] + [T.StructField(name, T.DoubleType())]
     )
 
     def run(batches):
