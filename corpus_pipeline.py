@@ -9,13 +9,66 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from wardwatch.llm import jaccard, langid, packing, pii, quality
+from wardwatch.llm.common import fold
 from wardwatch.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+# Documents below these scores are rejected. Both lie well under what clean ones get.
+LANGUAGE = 0.35
+QUALITY = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language; those without a letter, or of none for the most part, go."""
+    model = langid.train(docs.where(fold("doc_id", 5) != 0))
+    names = ("lang of stage", "share of stage")
+    judged = langid.identify(docs, model, names=names)
+    kept = judged.where((F.col(names[0]) != langid.UNKNOWN) & (F.col(names[1]) >= LANGUAGE))
+    return kept.drop(*names)
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier takes for good."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.train(docs, labels.where(fold("doc_id", 4) != 2))
+    judged = quality.score(docs, model, name="score of stage")
+    return judged.where(F.col("score of stage") >= QUALITY).drop("score of stage")
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return jaccard.deduplicated(docs)
+
+
+def sanitised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without personal data and the terms that disclose it."""
+    clean = pii.sanitised(docs)
+    if "n_chars" not in clean.columns:
+        return clean
+    kind = clean.schema["n_chars"].dataType
+    return clean.withColumn("n_chars", F.length("text").cast(kind))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in training sequences."""
+    return packing.pack(docs, TOKENIZER)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", language),
+    ("quality", good),
+    ("near_duplicates", distinct),
+    ("pii", sanitised),
+    ("packing", packed),
+]
 
 # The models, sketches and the tokenizer of the stages cannot be written as SQL.
 ORACLE_SQL = None
