@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardwatch.llm import bpe, jaccard, langid, packing, pii, quality
+from wardwatch.llm import ann, bpe, jaccard, langid, packing, pii, quality, topk
 from wardwatch.llm.common import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The 5 best rows by inner product for every 50th vector."""
+    return topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_langid(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document; a fifth of them is held out of the learning."""
     docs = table(spark, folder, "documents")
@@ -31,6 +36,11 @@ def op3_langid(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("held_out", fold("doc_id", 5) == 0)
 
 
+def op4_ann(spark: SparkSession, folder: str) -> DataFrame:
+    """The 5 nearest rows found by cosine for every 50th vector."""
+    return ann.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Class of every document and its number of similar texts."""
     found = jaccard.classes(table(spark, folder, "documents"))
@@ -92,7 +102,9 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_topk": op1_topk,
     "op3_langid": op3_langid,
+    "op4_ann": op4_ann,
     "op5_jaccard": op5_jaccard,
     "op6_quality": op6_quality,
     "op8_pii": op8_pii,
@@ -100,4 +112,25 @@ QUERIES: dict[str, Query] = {
     "op10_bpe": op10_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_topk": """
+        WITH v AS (
+            SELECT vec_id,
+                list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS vector
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+                AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x)))
+                    = len(embedding)
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                list_inner_product(q.vector, c.vector)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+                AND len(q.vector) = len(c.vector)
+        ), ranked AS (
+            SELECT *, row_number() OVER (
+                PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+            FROM scored
+        )
+        SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 5
+    """,
+}
