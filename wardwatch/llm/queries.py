@@ -116,10 +116,10 @@ ORACLES: dict[str, str] = {
     "op1_topk": """
         WITH v AS (
             SELECT vec_id,
-                list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS vector
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vector
             FROM embeddings
             WHERE vec_id IS NOT NULL AND len(embedding) > 0
-                AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x)))
+                AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
                     = len(embedding)
         ), scored AS (
             SELECT q.vec_id AS query_id, c.vec_id,
