@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardwatch.llm import ann, bpe, jaccard, langid, packing, pii, quality, topk
+from wardwatch.llm import ann, bpe, jaccard, langid, packing, pii, quality, tokenfiles, topk
 from wardwatch.llm.common import fold
+from wardwatch.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +29,14 @@ def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op2_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of all documents, written to files in order and read back."""
+    files = scratch_path(spark, "token-files")
+    tokenfiles.write_tokens(table(spark, folder, "documents"), TOKENIZER, files)
+    found = tokenfiles.read_tokens(spark, files)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op3_langid(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document; a fifth of them is held out of the learning."""
     docs = table(spark, folder, "documents")
@@ -103,6 +112,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
+    "op2_tokens": op2_tokens,
     "op3_langid": op3_langid,
     "op4_ann": op4_ann,
     "op5_jaccard": op5_jaccard,
