@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardwatch.llm import ann, bpe, jaccard, langid, packing, pii, quality, tokenfiles, topk
+from wardwatch.llm import ann, bpe, jaccard, langid, licenses, packing, pii, quality
+from wardwatch.llm import tokenfiles, topk
 from wardwatch.llm.common import fold
 from wardwatch.session import scratch_path
 
@@ -69,6 +70,11 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License notices in all documents, with spans and coverage."""
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data of every document, counted by kind, and all spans."""
     found = pii.find(table(spark, folder, "documents"))
@@ -117,6 +123,7 @@ QUERIES: dict[str, Query] = {
     "op4_ann": op4_ann,
     "op5_jaccard": op5_jaccard,
     "op6_quality": op6_quality,
+    "op7_licenses": op7_licenses,
     "op8_pii": op8_pii,
     "op9_packing": op9_packing,
     "op10_bpe": op10_bpe,
