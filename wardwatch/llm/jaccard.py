@@ -512,9 +512,11 @@ def deduplicated(docs: DataFrame, id_column="doc_id", text_column="text", **opti
     kept = own.groupBy("class_id", F.col("n_ngrams") > 0).agg(
         F.min("text_key").alias("kept_key"), F.count("*").alias("n")
     )
-    kept = stored(kept.select(F.col("class_id").alias("kept_id"), "kept_key", "n"), "kept")
-    match = docs[id_column].eqNullSafe(F.col("kept_id")) & (
-        F.xxhash64(text_column) == F.col("kept_key")
+    # Names that no input has, as the condition looks at both sides.
+    kept = kept.toDF("id of class", "n-grams of class", "text key of class", "n")
+    kept = stored(kept.drop("n-grams of class"), "kept")
+    match = docs[id_column].eqNullSafe(F.col("id of class")) & (
+        F.xxhash64(docs[text_column]) == F.col("text key of class")
     )
     single = docs.join(kept.where("n = 1"), match, "left_semi")
     repeated = kept.where("n > 1")

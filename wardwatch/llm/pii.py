@@ -45,6 +45,9 @@ GENERALISE = 0.8
 # Lists of at most this many rows are broadcast; longer ones are shuffled.
 BROADCAST_ROWS = 100_000
 
+# Columns that ``sanitised`` adds for a while; no input has such names.
+ROW_KEY, SPANS = "row key of sanitised", "spans of sanitised"
+
 SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
 
@@ -306,13 +309,13 @@ def sanitised(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFr
     found = _small(_stored(found.dropDuplicates(["row_key"]), "spans"))
     names = docs.columns
     key = F.xxhash64(F.col(id_column), F.col(text_column))
-    rows = docs.withColumn("row_key_", key).join(
-        found.select(F.col("row_key").alias("row_key_"), F.col("spans").alias("spans_")),
-        "row_key_",
+    rows = docs.withColumn(ROW_KEY, key).join(
+        found.select(F.col("row_key").alias(ROW_KEY), F.col("spans").alias(SPANS)),
+        ROW_KEY,
         "left",
     )
     ordered = F.array_sort(
-        "spans_",
+        SPANS,
         lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(
             b["end"] - a["end"]
         ),
@@ -344,6 +347,6 @@ def sanitised(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFr
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
     )
     rows = rows.withColumn(
-        text_column, F.when(F.col("spans_").isNotNull(), replaced).otherwise(F.col(text_column))
+        text_column, F.when(F.col(SPANS).isNotNull(), replaced).otherwise(F.col(text_column))
     )
     return rows.select(*names)

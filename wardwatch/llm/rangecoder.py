@@ -245,7 +245,7 @@ def _decode(payloads: list[bytes], lengths: np.ndarray, bits: int) -> list[np.nd
 
         symbol = take(slice(0, n), ends[:, 3], find)
         ids = np.where(symbol == 0, model.id2, np.where(symbol == 1, model.id1, model.common[:n]))
-        ids = ids.astype(np.int64)
+        ids = ids.astype(np.int64) & _ID  # a damaged block may name a missing prediction
         at = np.flatnonzero(symbol == 3)
         if len(at):
             own = model.ends[at]
