@@ -67,15 +67,13 @@ def line_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     size = len(codes)
     breaks = np.flatnonzero(codes == 10)
     # Lines begin with each text and behind each break; a break is in no line.
-    begins = np.sort(np.concatenate([text_at[:-1], breaks + 1]), kind="stable")
-    owner = np.searchsorted(breaks + 1, text_at[:-1], "left") + np.arange(len(texts))
-    first_line = np.append(owner, len(begins))
-    ends = np.append(begins[1:], size)
-    closing = np.zeros(size + 1, bool)
-    closing[breaks + 1] = True
-    ends = ends - (closing[ends] & (ends > begins) & (codes[np.maximum(ends - 1, 0)] == 10)) if (
-        size
-    ) else ends
+    owner = np.searchsorted(text_at[1:], breaks, "right")
+    inside = np.bincount(owner, minlength=len(texts))
+    first_line = np.concatenate([[0], np.cumsum(inside + 1)])
+    after_break = np.arange(len(breaks)) + owner + 1
+    begins, ends = (np.empty(int(first_line[-1]), np.int64) for _ in range(2))
+    begins[first_line[:-1]], begins[after_break] = text_at[:-1], breaks + 1
+    ends[first_line[1:] - 1], ends[after_break - 1] = text_at[1:], breaks
     lengths = ends - begins
 
     def per_line(mask: np.ndarray) -> np.ndarray:
@@ -120,7 +118,8 @@ def line_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return np.searchsorted(steps, value, "left")
 
     last = codes[np.maximum(ends - 1, 0)] if size else np.zeros(len(begins), np.uint32)
-    stop = np.isin(last, [ord(c) for c in ".!?;:,"]) & (lengths > 0)
+    last = np.where(lengths > 0, last, 0)
+    stop = np.isin(last, [ord(c) for c in ".!?;:,"])
     columns = [
         number(lengths, COUNTS),
         number(words, COUNTS),
