@@ -87,16 +87,35 @@ def test_times_before_the_epoch(spark):
     assert count(spark, old, 60) == brute_force(old, 60)
 
 
-def test_the_list_of_large_groups_may_be_long(spark, monkeypatch):
-    monkeypatch.setattr(rolling, "MOST_LISTED_BYTES", 40)
+def test_many_large_groups(spark):
     events = random_events(5, 300)
-    assert count(spark, events, 30, marks_per_task=10) == brute_force(events, 30)
+    assert count(spark, events, 30, marks_per_task=2) == brute_force(events, 30)
 
 
-def test_pieces_are_bounded_but_results_whole(spark, monkeypatch):
-    monkeypatch.setattr(rolling, "MOST_PIECES", 3)
-    events = random_events(8, 300)
-    assert count(spark, events, 300, marks_per_task=5) == brute_force(events, 300)
+def test_untimed_events_of_one_key_are_spread(spark):
+    df = spark.range(20_000).select(
+        F.lit("a").alias("k"), F.lit(None).cast("timestamp").alias("ts"), F.lit(None).alias("id")
+    )
+    marks = rolling._marks(df, "k", "ts", "id", 300 * rolling.SECOND)
+    assert marks.groupBy("_key", "_block").count().agg(F.max("count")).first()[0] <= 2
+    assert ops.rolling_count(df, "k", "ts", "id").filter("window_count is null").count() == 20_000
+
+
+@pytest.mark.parametrize("marks_per_task", [10**6, 10])
+def test_events_are_read_twice(spark, marks_per_task, tmp_path):
+    """Once for the sizes, once for the count or to be stored; told by an accumulator."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    events = random_events(9, 300)
+    df = spark.createDataFrame(events, SCHEMA)
+    df = df.mapInArrow(seen, df.schema)
+    ops.rolling_count(df, "k", "ts", "id", 300, marks_per_task=marks_per_task).collect()
+    assert read.value == 2 * len(events)
 
 
 def test_a_hot_group_is_spread_over_tasks(spark):

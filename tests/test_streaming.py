@@ -11,7 +11,7 @@ from helpers import plan, rows
 from wardwatch import operators as ops
 from wardwatch.sources import event_source, read_table, write_parquet
 from wardwatch.sources.events import MESSAGE_SCHEMA
-from wardwatch.streaming import alert_query, alert_sink, rolling_count_stream
+from wardwatch.streaming import alert_query, alert_sink, rolling_count_stream, stream_counters
 
 START = datetime(2024, 3, 1)
 NOW = {"availableNow": True}
@@ -149,8 +149,10 @@ def test_late_events_within_the_allowance_count_in_order(spark, tmp_path):
     folder.add(late + events[30:])
     allowance = int((events[29][1] - events[20][1]).total_seconds()) + 1
     end = events[-1][1] + timedelta(seconds=allowance + 1)
-    folder.add([("end", end, 1000, "")])
-    counted = run_counts(folder, lateness_seconds=allowance).filter("k != 'end' or k is null")
+    # Each key is closed by its own events.
+    keys = sorted({e[0] for e in events}, key=str)
+    folder.add([(k, end, 1000 + n, "end") for n, k in enumerate(keys)])
+    counted = run_counts(folder, lateness_seconds=allowance).filter("note != 'end'")
     assert rows(counted, "id", "k", "note", "window_count") == batch_counts(spark, events)
 
 
@@ -165,14 +167,97 @@ def test_a_repeated_id_is_dropped(spark, tmp_path):
     folder = Folder(spark, tmp_path, EVENTS)
     folder.add([("a", START, 1, ""), ("a", START, 1, "")])
     folder.add([("a", START, 1, ""), ("a", START + timedelta(seconds=1), 2, "")])
-    assert rows(run_counts(folder), "id", "window_count") == [(1, 1), (2, 2)]
+    counted = run_counts(folder, drop_repeats=True)
+    assert rows(counted, "id", "window_count") == [(1, 1), (2, 2)]
+
+
+def test_every_message_counts_by_default(spark, tmp_path):
+    folder = Folder(spark, tmp_path, EVENTS)
+    folder.add([("a", START, 1, ""), ("a", START, 1, "")])
+    folder.add([("a", START, 1, "")])
+    assert rows(run_counts(folder), "id", "window_count") == [(1, 1), (1, 2), (1, 3)]
+
+
+def seconds(*times, key="a", first=0):
+    return [(key, START + timedelta(seconds=t), first + k, "") for k, t in enumerate(times)]
+
+
+def test_a_future_time_changes_no_other_key(spark, tmp_path):
+    folder = Folder(spark, tmp_path, EVENTS)
+    folder.add(seconds(0) + seconds(10**9, key="b", first=10))
+    folder.add(seconds(1, first=1))
+    folder.add(seconds(2, first=2))
+    assert rows(run_counts(folder), "id", "window_count") == [(0, 1), (1, 2), (10, 1), (2, 3)]
+
+
+def test_an_event_far_behind_is_no_low_count(spark, tmp_path):
+    folder = Folder(spark, tmp_path, EVENTS)
+    folder.add(seconds(0, 1, 1000))
+    folder.add(seconds(2, 1001, first=3))
+    counted = run_counts(folder)
+    assert rows(counted, "id", "window_count") == [(0, 1), (1, 2), (2, 1), (3, None), (4, 2)]
+    counters = stream_counters(spark, folder.place("state"))
+    assert rows(counters, "batch_id", "late", "untimed") == [(0, 0, 0), (1, 1, 0)]
+
+
+def test_late_events_have_an_output(spark, tmp_path):
+    folder = Folder(spark, tmp_path, EVENTS)
+    folder.add(seconds(0, 1, 1000))
+    folder.add(seconds(2, 1001, first=3))
+
+    def late(rows, batch_id):
+        write_parquet(rows, folder.place(f"late/batch_id={batch_id}"))
+
+    counted = run_counts(folder, late=late)
+    assert rows(counted, "id", "window_count") == [(0, 1), (1, 2), (2, 1), (4, 2)]
+    assert rows(read_table(spark, folder.place("late")), "id", "note") == [(3, "")]
+
+
+def test_an_event_behind_by_less_than_a_window_is_exact(spark, tmp_path):
+    folder = Folder(spark, tmp_path, EVENTS)
+    folder.add(seconds(0, 1, 290))
+    folder.add(seconds(2, first=3))
+    assert rows(run_counts(folder), "id", "window_count") == [(0, 1), (1, 2), (2, 3), (3, 3)]
+
+
+def test_events_without_a_time_are_kept(spark, tmp_path):
+    folder = Folder(spark, tmp_path, EVENTS)
+    folder.add([("a", START, 1, ""), ("a", None, 2, "x")])
+    folder.add([(None, None, 3, "y"), ("a", START, 4, "")])
+    counted = run_counts(folder)
+    assert rows(counted, "id", "note", "window_count") == [
+        (1, "", 1),
+        (2, "x", None),
+        (3, "y", None),
+        (4, "", 2),
+    ]
+    counters = stream_counters(spark, folder.place("state"))
+    assert rows(counters, "batch_id", "untimed") == [(0, 1), (1, 1)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_shuffled_events_within_the_allowance(spark, tmp_path, seed):
+    """Out of order over several batches, with far future times under one key."""
+    events = some_events(80, seed)
+    order = sorted(events, key=lambda e: e[1] + timedelta(seconds=random.Random(e[2]).randrange(900)))
+    far = [("future", START + timedelta(days=9000 + k), 500 + k, "") for k in range(3)]
+    folder = Folder(spark, tmp_path, EVENTS)
+    for low in range(0, 80, 20):
+        folder.add(order[low : low + 20] + far[low // 40 : low // 40 + 1])
+    keys = {e[0] for e in events}
+    end = max(e[1] for e in events) + timedelta(seconds=2000)
+    folder.add([(k, end, 900 + n, "end") for n, k in enumerate(sorted(keys, key=str))])
+    counted = run_counts(folder, lateness_seconds=1000)
+    counted = counted.filter("note like 'note%'")
+    assert rows(counted, "id", "k", "note", "window_count") == batch_counts(spark, events)
 
 
 def test_state_holds_one_window(spark, tmp_path):
+    """And what late events need, here nothing."""
     folder = Folder(spark, tmp_path, EVENTS)
     for i in range(4):
         folder.add([("a", START + timedelta(seconds=250 * i), i, "x")])
-    run_counts(folder)
+    run_counts(folder, late_seconds=0)
     state = read_table(spark, folder.place("state/slot-1"))
     assert rows(state, "id", "note", "emitted") == [(2, None, True), (3, None, True)]
 

@@ -15,10 +15,6 @@ from wardwatch.session import checkpointed
 SECOND = 1_000_000
 # A group of this many marks still sorts comfortably in one task.
 MARKS_PER_TASK = 2_000_000
-# More pieces than this are not cut at once; pieces grow instead, and sorts spill.
-MOST_PIECES = 50_000
-# The list of large groups, (key, block), is broadcast up to this size.
-MOST_LISTED_BYTES = 32 * 1024**2
 
 
 def rolling_count(
@@ -28,7 +24,6 @@ def rolling_count(
     event_id: str,
     window_seconds: int = 300,
     marks_per_task: int = MARKS_PER_TASK,
-    rows: int | None = None,
 ) -> DataFrame:
     """Adds ``window_count``: events of the key in ``(ts - window, ts]`` up to this one.
 
@@ -43,51 +38,30 @@ def rolling_count(
     is as large as two windows of one key.
 
     A group may still be too large for a task, as when one key bursts or a load stamps
-    many events with one instant. Such groups are found by a count and laid out by range
-    of (key, time, id), which cuts them anywhere, also between equal times; each piece
-    starts from the counts of the pieces around it. The count reads the events once more,
-    so store those that are costly to derive. Who knows that there are few events may say
-    how many (``rows``), which can save the look for large groups.
+    many events with one instant. The events per (key, block) are counted once, and the
+    groups that are too large follow from that. If there are any, all marks are stored with
+    the group's size; the large groups are then laid out by range of (key, time, id), which
+    cuts them anywhere, also between equal times, and each piece starts from the counts of
+    the pieces around it. So the events are read twice, whatever their distribution; store
+    those that are costly to derive.
     """
     width = window_seconds * SECOND
     marks = _marks(events, key, ts, event_id, width)
-    whole_groups = marks.withColumn("_before", F.lit(0))
-
-    def finish(counted: DataFrame) -> DataFrame:
-        return _with_count(counted, events.columns, key, event_id, window_seconds)
-
-    few = rows is not None and 2 * rows <= marks_per_task
-    if few or 2 * _busiest_block(events, key, ts, width) <= marks_per_task:
-        return finish(_sweep(whole_groups, ["_key", "_block"]))
-    sizes = marks.groupBy("_key", "_block").agg(F.count("*").alias("_size"))
-    large = checkpointed(sizes.filter(F.col("_size") > marks_per_task))
-    key_bytes = F.coalesce(F.octet_length(F.col("_key").cast("string")), F.lit(0))
-    found = large.agg(
-        F.count("*").alias("groups"),
-        F.sum("_size").alias("rows"),
-        F.sum(key_bytes + 16).alias("bytes"),
-    ).first()
-    if found["groups"] == 0:
-        counted = _sweep(whole_groups, ["_key", "_block"])
-    elif found["bytes"] <= MOST_LISTED_BYTES:
-        names = F.col("_key").alias("_large_key"), F.col("_block").alias("_large_block")
-        listed = F.broadcast(large.select(*names))
+    large = checkpointed(_large_groups(events, key, ts, width, marks_per_task))
+    size = large.agg(F.sum("_size")).first()[0]
+    if size is None:
+        counted = _sweep(marks.withColumn("_before", F.lit(0)), ["_key", "_block"])
+    else:
         same = F.col("_key").eqNullSafe(F.col("_large_key")) & (
             F.col("_block") == F.col("_large_block")
         )
-        pieces = _pieces(found["rows"], marks_per_task)
-        counted = _sweep(
-            whole_groups.join(listed, same, "left_anti"), ["_key", "_block"]
-        ).unionByName(_sweep_pieces(marks.join(listed, same, "left_semi"), pieces))
-    else:
-        # The list of large groups is long itself: lay the whole table out by range.
-        total = sizes.agg(F.sum("_size").alias("rows")).first()["rows"]
-        counted = _sweep_pieces(marks, _pieces(total, marks_per_task))
-    return finish(counted)
-
-
-def _pieces(marks: int, marks_per_task: int) -> int:
-    return min(math.ceil(marks / marks_per_task) + 1, MOST_PIECES)
+        told = checkpointed(marks.join(large, same, "left").drop("_large_key", "_large_block"))
+        whole = told.filter(F.col("_size").isNull()).drop("_size")
+        cut = told.filter(F.col("_size").isNotNull()).drop("_size")
+        counted = _sweep(whole.withColumn("_before", F.lit(0)), ["_key", "_block"]).unionByName(
+            _sweep_pieces(cut, math.ceil(size / marks_per_task) + 1)
+        )
+    return _with_count(counted, events.columns, key, event_id, window_seconds)
 
 
 def _with_count(
@@ -105,11 +79,21 @@ def _block_start(at: Column, width: int) -> Column:
     return at - F.pmod(at, F.lit(width))
 
 
-def _busiest_block(events: DataFrame, key: str, ts: str, width: int) -> int:
-    """Most events of one key in one block; reads two columns and shuffles counts."""
+def _large_groups(
+    events: DataFrame, key: str, ts: str, width: int, marks_per_task: int
+) -> DataFrame:
+    """(_large_key, _large_block, _size) of the groups with more marks than a task takes.
+
+    A group has the arrivals of its block and the expiries of the block before.
+    """
     at = micros(ts)
-    blocks = events.filter(at.isNotNull()).groupBy(key, _block_start(at, width))
-    return blocks.agg(F.count("*").alias("_size")).agg(F.max("_size")).first()[0] or 0
+    blocks = events.filter(at.isNotNull()).groupBy(
+        F.col(key).alias("_large_key"), _block_start(at, width).alias("_start")
+    )
+    blocks = blocks.agg(F.count("*").alias("_events"))
+    ends = F.explode(F.array("_start", F.col("_start") + width)).alias("_large_block")
+    sizes = blocks.select("_large_key", ends, "_events").groupBy("_large_key", "_large_block")
+    return sizes.agg(F.sum("_events").alias("_size")).filter(F.col("_size") > marks_per_task)
 
 
 def _marks(events: DataFrame, key: str, ts: str, event_id: str, width: int) -> DataFrame:
@@ -120,8 +104,8 @@ def _marks(events: DataFrame, key: str, ts: str, event_id: str, width: int) -> D
     )
     arrival = F.col("_mark") == "_arrival"
     timed = F.col("_at").isNotNull()
-    # Events without a time are in no window; their ids spread them over groups.
-    spread = F.xxhash64(F.col(event_id))
+    # Events without a time are in no window; their places spread them over groups.
+    spread = F.xxhash64(F.monotonically_increasing_id())
     others = [name for name in events.columns if name not in (key, event_id)]
     return both.select(
         F.col(key).alias("_key"),

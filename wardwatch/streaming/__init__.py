@@ -1,5 +1,5 @@
 """Streaming queries over event messages."""
 
 from wardwatch.streaming.alerts import alert_query, alert_sink  # noqa: F401
-from wardwatch.streaming.counting import rolling_count_stream  # noqa: F401
+from wardwatch.streaming.counting import rolling_count_stream, stream_counters  # noqa: F401
 from wardwatch.streaming.tables import append_table, replace_table  # noqa: F401

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import time as clock
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,48 +28,89 @@ def rolling_count_stream(
     marks_per_task: int = MARKS_PER_TASK,
     trigger: dict | None = None,
     name: str | None = None,
+    late: Emit | None = None,
+    late_seconds: int | None = None,
+    drop_repeats: bool = False,
 ) -> StreamingQuery:
     """Count every event of a stream in its window and hand it to ``emit(df, batch_id)``.
 
-    Every micro-batch runs the batch operator on its events together with those of the
-    last window. So the counts are those of the batch operator, and a key that sends a
+    Every micro-batch runs the batch operator on its events together with the latest of
+    each key. So the counts are those of the batch operator, and a key that sends a
     third of the stream is split over tasks as it is there; keyed state would have to
     pass all of it through one task.
 
-    The events of the last window are a table in ``state_dir``, a folder all executors
-    share. Batch n reads what batch n-1 wrote and replaces what batch n-2 wrote; a
-    repeated batch therefore finds its input unchanged and writes the same again. Only
-    key, time and id of events already emitted are kept.
-
     Without ``lateness_seconds`` an event is emitted when it arrives. With it, an event
-    waits until that much later ones have been seen, and events that arrive out of order
-    by no more than that are counted as if they had come in order. An id that was seen
-    within the window before is dropped as a repeat.
+    waits until that much later ones of its key have been seen, and events that arrive out
+    of order by no more than that are counted as if they had come in order. An event that is
+    behind its key by up to ``late_seconds`` more (a window by default) is emitted at once
+    with the exact count of what has arrived. One that is further behind could only get a
+    low count: it goes to ``late(df, batch_id)``, or without that to ``emit`` with no count.
+    An event without a time is emitted at once with no count. How far a key has come is
+    decided by its own events alone, so a time in the future holds up no other key.
+    ``stream_counters`` tells how many events were late or had no time.
+
+    The latest events of each key (the three spans together) are a table in ``state_dir``,
+    a folder all executors share. Batch n reads what batch n-1 wrote and replaces what batch
+    n-2 wrote, and nothing depends on the clock; a repeated batch therefore finds its input
+    unchanged and writes the same again. Only key, time and id of events already emitted are
+    kept. With ``drop_repeats`` an id that was seen among the kept events is dropped;
+    otherwise every message counts.
     """
     carried = [name for name in events.columns if name not in (key, ts, event_id)]
+    allowed = lateness_seconds + (window_seconds if late_seconds is None else late_seconds)
+
+    def newest(rows: DataFrame, name: str) -> DataFrame:
+        """One row per key."""
+        return rows.groupBy(F.col(key).alias("_of")).agg(F.max(micros(ts)).alias(name))
+
+    def with_newest(rows: DataFrame, marks: DataFrame) -> DataFrame:
+        return rows.join(marks, F.col(key).eqNullSafe(F.col("_of")), "left").drop("_of")
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        new = _distinct(batch.filter(F.col(ts).isNotNull()), event_id)
+        new = _distinct(batch, event_id) if drop_repeats else batch
         new = new.withColumn("emitted", F.lit(False))
         if batch_id > 0:
             kept = spark.read.parquet(_slot(state_dir, batch_id - 1))
-            new = new.join(kept.select(event_id), event_id, "left_anti").unionByName(kept)
+            if drop_repeats:
+                new = new.join(kept.select(event_id), event_id, "left_anti")
+            behind = micros(ts) < F.col("_reached") - allowed * SECOND
+            new = with_newest(new, newest(kept, "_reached"))
+            new = new.withColumn("_late", F.coalesce(behind, F.lit(False))).drop("_reached")
+            new = new.unionByName(kept.withColumn("_late", F.lit(False)))
+        else:
+            new = new.withColumn("_late", F.lit(False))
         pool = new.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            newest, size = pool.agg(F.max(micros(ts)), F.count("*")).first()
-            newest = newest or 0
-            settled = micros(ts) <= newest - lateness_seconds * SECOND
-            counted = rolling_count(
-                pool, key, ts, event_id, window_seconds, marks_per_task, rows=size
+            ours = pool.filter(~F.col("_late")).drop("_late")
+            marks = newest(ours, "_newest")
+            settled = F.col(ts).isNull() | (
+                micros(ts) <= F.col("_newest") - lateness_seconds * SECOND
             )
-            emit(counted.filter(~F.col("emitted") & settled).drop("emitted"), batch_id)
-
-            # A time in the future must not make the events of now drop out.
-            last = min(newest, int(clock.time() * SECOND))
-            oldest = last - (lateness_seconds + window_seconds) * SECOND
+            # Where a message comes again, the one counted before comes first.
+            ordered = ours.withColumn("_order", F.struct(F.col(event_id), ~F.col("emitted")))
+            counted = rolling_count(ordered, key, ts, "_order", window_seconds, marks_per_task)
+            counted = with_newest(counted.filter(~F.col("emitted")), marks).filter(settled)
+            counted = counted.drop("emitted", "_newest", "_order")
+            beyond = pool.filter("_late").drop("_late", "emitted")
+            if late:
+                late(beyond, batch_id)
+            elif batch_id > 0:
+                counted = counted.unionByName(
+                    beyond.withColumns(
+                        {
+                            "window_count": F.lit(None).cast(counted.schema["window_count"].dataType),
+                            "window_seconds": F.lit(window_seconds),
+                        }
+                    )
+                )
+            emit(counted, batch_id)
+            _count(pool, ts, _counters(state_dir, batch_id))
+
+            oldest = F.col("_newest") - (allowed + window_seconds) * SECOND
+            tail = with_newest(ours, marks).filter(micros(ts) > oldest)
             done = F.col("emitted") | settled
-            tail = pool.filter(micros(ts) > oldest).select(
+            tail = tail.select(
                 key,
                 ts,
                 event_id,
@@ -91,6 +131,25 @@ def rolling_count_stream(
     return writer.start()
 
 
+def stream_counters(spark: SparkSession, state_dir: str) -> DataFrame:
+    """Per batch: events not emitted before, those too late to count, those without a time."""
+    return spark.read.parquet(f"{state_dir}/counters")
+
+
+def _count(pool: DataFrame, ts: str, path: str) -> None:
+    fresh = ~F.col("emitted")
+    counters = pool.agg(
+        F.count_if(fresh).alias("pending"),
+        F.count_if(F.col("_late")).alias("late"),
+        F.count_if(fresh & F.col(ts).isNull()).alias("untimed"),
+    )
+    counters.write.mode("overwrite").parquet(path)
+
+
+def _counters(state_dir: str, batch_id: int) -> str:
+    return f"{state_dir}/counters/batch_id={batch_id}"
+
+
 def _distinct(events: DataFrame, event_id: str) -> DataFrame:
     """One event per id; those without an id are all different."""
     other = F.when(F.col(event_id).isNull(), F.monotonically_increasing_id())
