@@ -19,14 +19,16 @@ from wardwatch.schemas import COLUMNS
 from wardwatch.session import DEFAULTS, scratch_path
 from wardwatch.sources import event_source, read_csv_dataset, read_result, read_table
 from wardwatch.sources import write_parquet
-from wardwatch.streaming import alert_query, alert_sink, append_table, replace_table
-from wardwatch.streaming import rolling_count_stream
+from wardwatch.streaming import alert_query, alert_sink, append_table, latest
+from wardwatch.streaming import rolling_count_stream, update_table
 
 # Users post about twice a day here, so a window of a day and a threshold of two give
 # alerts of every severity.
 WINDOW = 86_400
 SLIDE = 21_600
 THRESHOLD = 2
+# Longer than the tables' events span.
+LATENESS = 40 * 365 * 86_400
 KIND = "victimization_primary"
 AS_OF = datetime(2024, 1, 15, 12, 0, 0)
 
@@ -340,11 +342,20 @@ def _event_stream(t: Tables, run: str) -> DataFrame:
     return t.spark.readStream.schema(t.events().schema).parquet(f"{run}/in")
 
 
+def _batches(t: Tables, run: str, parts: list[DataFrame]) -> DataFrame:
+    """A stream that reads one part after another, each as a batch."""
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(f"{run}/in")
+    stream = t.spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1)
+    return stream.parquet(f"{run}/in")
+
+
 def stream_totals(t: Tables) -> DataFrame:
     run = scratch_path(t.spark, "totals")
-    totals = ops.key_totals(_event_stream(t, run), "routed_district")
-    replace_table(totals, f"{run}/out", f"{run}/checkpoint", NOW).awaitTermination()
-    return read_table(t.spark, f"{run}/out")
+    parts = [t.events().filter(F.pmod("event_id", F.lit(3)) == part) for part in range(3)]
+    totals = ops.key_totals(_batches(t, run, parts), "routed_district")
+    update_table(totals, f"{run}/out", f"{run}/checkpoint", NOW).awaitTermination()
+    return latest(t.spark, f"{run}/out", ["routed_district"])
 
 
 def stream_windows(t: Tables) -> DataFrame:
@@ -379,6 +390,51 @@ def stream_counts(t: Tables) -> DataFrame:
     return counted.select("event_id", "routed_district", "window_count")
 
 
+def stream_counts_shuffled(t: Tables) -> DataFrame:
+    """Events out of order over three batches, far future ones under a key of their own.
+
+    A last batch closes every key, so that all events come out.
+    """
+    run = scratch_path(t.spark, "shuffled")
+    events = t.events()
+    ahead = F.col("ts") + F.expr("INTERVAL 70 YEARS")
+    future = events.filter(F.pmod("event_id", F.lit(100)) == 0).withColumns(
+        {"event_id": -F.col("event_id") - 1, "routed_district": F.lit("none"), "ts": ahead}
+    )
+    parts = [
+        rows.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part)
+        for part in range(3)
+        for rows in (events.unionByName(future),)
+    ]
+    last = events.groupBy("routed_district").agg(F.max("ts").alias("ts"))
+    closing = last.select(
+        *[
+            F.col(name) if name == "routed_district"
+            else ahead.alias(name) if name == "ts"
+            else F.lit(None).cast(events.schema[name].dataType).alias(name)
+            for name in events.columns
+        ]
+    )
+
+    def emit(counted: DataFrame, batch_id: int) -> None:
+        write_parquet(counted, f"{run}/out/batch_id={batch_id}")
+
+    rolling_count_stream(
+        _batches(t, run, [*parts, closing]),
+        emit,
+        key="routed_district",
+        ts="ts",
+        event_id="event_id",
+        state_dir=f"{run}/state",
+        checkpoint_dir=f"{run}/checkpoint",
+        window_seconds=WINDOW,
+        lateness_seconds=LATENESS,
+        trigger=NOW,
+    ).awaitTermination()
+    counted = read_table(t.spark, f"{run}/out").filter("event_id >= 0")
+    return counted.select("event_id", "routed_district", "window_count")
+
+
 def _alert_run(t: Tables, **targets: str) -> str:
     run = scratch_path(t.spark, "alerts")
     write_parquet(t.messages(), f"{run}/in")
@@ -395,7 +451,8 @@ def _alert_run(t: Tables, **targets: str) -> str:
 
 
 def stream_alerts(t: Tables) -> DataFrame:
-    alerts = read_table(t.spark, _alert_run(t, table="table") + "/table").drop("batch_id")
+    alerts = read_table(t.spark, _alert_run(t, table="table") + "/table")
+    alerts = alerts.drop("run", "batch_id")
     return _local(alerts, "triggered_at")
 
 
@@ -407,6 +464,94 @@ def stream_documents(t: Tables) -> DataFrame:
     return counted
 
 
+def hotspot_checks(t: Tables) -> DataFrame:
+    """What is known of any right clustering, whatever its centres.
+
+    Points whose centre is not the nearest are found by measuring every located point
+    against the few centres.
+    """
+    points = t.points()
+    model, positions = ops.fit_hotspots(points)
+    sizes = ops.cluster_sizes(model, positions)
+    labelled = ops.label_points(model, points, ["id"])
+    centres = [tuple(map(float, centre)) for centre in model.clusterCenters()]
+    square = [
+        (F.col("latitude") - lat) ** 2 + (F.col("longitude") - lon) ** 2 for lat, lon in centres
+    ]
+    own = F.element_at(F.array(*square), F.col("cluster") + 1)
+    wrong = labelled.agg(F.count_if(own > F.least(*square) + 1e-9).alias("n"))
+    fit = ops.fit_summary(model, positions)
+    counts = {
+        "located_points": fit.select("located_points"),
+        "clusters": fit.select("clusters"),
+        "in_clusters": sizes.agg(F.sum("crime_count")),
+        "labelled_points": labelled.agg(F.count("*")),
+        "nearer_to_another": wrong,
+        "negative_cost": fit.select(F.when(F.col("cost") < 0, 1).otherwise(0)),
+    }
+    rows = [
+        frame.toDF("n").select(F.lit(name).alias("measure"), F.col("n").cast("long").alias("n"))
+        for name, frame in counts.items()
+    ]
+    out = rows[0]
+    for row in rows[1:]:
+        out = out.unionByName(row)
+    return out
+
+
+def _batch_places(t: Tables) -> dict[str, DataFrame]:
+    crimes = t.placed_crimes("block", "district", "community_area", "arrest")
+    violence = t.violence("month", "district", "community_area", KIND, "gunshot_injury_i")
+    return batch.place_tables(
+        batch.place_facts(crimes), batch.violence_facts(violence), t.offenders(), t.stations()
+    )
+
+
+def _batch_violence(t: Tables) -> dict[str, DataFrame]:
+    violence = t.violence("month", "district", "community_area", KIND, "gunshot_injury_i")
+    return batch.violence_tables(batch.violence_facts(violence))
+
+
+def _batch_arrests(t: Tables) -> dict[str, DataFrame]:
+    return batch.arrest_tables(t.crimes("case_number", "primary_type", "district"), t.arrests())
+
+
+def _batch_trends(source: str) -> Callable[[Tables], dict[str, DataFrame]]:
+    def build(t: Tables) -> dict[str, DataFrame]:
+        dated = t.crimes("date") if source == "crimes" else t.events().withColumnRenamed("ts", "date")
+        return batch.trend_tables(dated)
+
+    return build
+
+
+# Tables of the batch run, from shared counts: the name of the same report made by itself,
+# the group of tables, and the table's name in it.
+BATCH = {
+    "trends_by_year": (_batch_trends("crimes"), "crime_trends_by_year"),
+    "trends_by_month": (_batch_trends("crimes"), "crime_trends_by_month"),
+    "trends_by_dow": (_batch_trends("events"), "crime_trends_by_day_of_week"),
+    "trends_by_hour": (_batch_trends("events"), "crime_trends_by_hour"),
+    "rate_by_type": (_batch_arrests, "arrest_rate_by_crime_type"),
+    "top_types": (_batch_arrests, "top10_crime_types_by_arrest_rate"),
+    "rate_by_district": (_batch_arrests, "arrest_rate_by_district"),
+    "matches_by_race": (_batch_arrests, "arrests_by_race"),
+    "violence_by_month": (_batch_violence, "violence_by_month"),
+    "violence_by_district": (_batch_violence, "violence_by_district"),
+    "gunshot_overall": (_batch_violence, "gunshot_injury_proportion"),
+    "gunshot_by_district": (_batch_violence, "gunshot_proportion_by_district"),
+    "violence_by_community": (_batch_violence, "top_community_areas_by_violence"),
+    "density": (_batch_places, "sex_offender_density_by_district"),
+    "minor_victims": (_batch_places, "sex_offenders_minor_victims_priority"),
+    "district_corr": (_batch_places, "district_arrest_vs_violence_correlation"),
+    "community_corr": (_batch_places, "community_offender_vs_crime_correlation"),
+}
+
+
+def _from_batch(name: str) -> Callable[[Tables], DataFrame]:
+    group, table = BATCH[name]
+    return lambda t: group(t)[table]
+
+
 # The registry
 
 
@@ -531,9 +676,11 @@ QUERIES: dict[str, Query] = {
         "key_totals_stream": stream_totals,
         "sliding_counts_stream": stream_windows,
         "rolling_count_stream": stream_counts,
+        "rolling_count_stream_shuffled": stream_counts_shuffled,
         "alert_query": stream_alerts,
         "alert_documents": stream_documents,
         # Hotspots
+        "hotspot_checks": hotspot_checks,
         "hotspots": lambda t: t.hotspots(),
         "labelled_points": lambda t: ops.label_points(
             ops.fit_hotspots(t.points())[0], t.points(), ["id", "primary_type", "district"]
@@ -586,6 +733,8 @@ QUERIES: dict[str, Query] = {
         "v_alert_districts": lambda t: views.v_alert_districts(t.alerts()),
         "v_alert_feed": lambda t: views.v_alert_feed(t.alerts()),
         "v_alert_feed_critical": lambda t: views.v_alert_feed(t.alerts(), "CRITICAL"),
+        # The batch run
+        **{f"batch_{name}": _from_batch(name) for name in BATCH},
     }.items()
 }
 

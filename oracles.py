@@ -394,7 +394,8 @@ ORACLES = {
         SELECT (SELECT CAST(sum(crime_count) AS BIGINT) FROM ({BY_YEAR})) AS total_crimes,
                (SELECT count(*) FROM ({ALERTS})) AS total_alerts,
                (SELECT count(*) FROM ({ALERTS}) WHERE severity = 'CRITICAL') AS critical_alerts,
-               CAST(10 AS BIGINT) AS hotspot_count,
+               (SELECT least(10, count(DISTINCT (embedding[1], embedding[2])))
+                FROM embeddings) AS hotspot_count,
                (SELECT district FROM ({BY_DISTRICT}) ORDER BY arrest_rate DESC, district LIMIT 1)
                    AS top_district,
                (SELECT {percent("gunshot_proportion")} FROM ({gunshot()})) AS gunshot_pct
@@ -486,3 +487,26 @@ ORACLES = {
     "v_alert_feed": feed("", 100),
     "v_alert_feed_critical": feed("WHERE severity = 'CRITICAL'", 100),
 }
+
+# Tables of the batch run are those reports.
+BATCH_REPORTS = """
+    trends_by_year trends_by_month trends_by_dow trends_by_hour rate_by_type top_types
+    rate_by_district matches_by_race violence_by_month violence_by_district gunshot_overall
+    gunshot_by_district violence_by_community density minor_victims district_corr
+    community_corr
+""".split()
+ORACLES |= {f"batch_{name}": ORACLES[name] for name in BATCH_REPORTS}
+
+# Every located point is in one of the ten clusters and in the one with the nearest centre.
+LOCATED = """
+    FROM embeddings WHERE embedding[1] IS NOT NULL AND embedding[2] IS NOT NULL
+"""
+ORACLES["hotspot_checks"] = f"""
+    SELECT 'located_points' AS measure, count(*) AS n {LOCATED}
+    UNION ALL SELECT 'in_clusters', count(*) {LOCATED}
+    UNION ALL SELECT 'labelled_points', count(*) {LOCATED}
+    UNION ALL SELECT 'clusters', least(10, count(DISTINCT (embedding[1], embedding[2]))) {LOCATED}
+    UNION ALL SELECT 'nearer_to_another', CAST(0 AS BIGINT)
+    UNION ALL SELECT 'negative_cost', CAST(0 AS BIGINT)
+"""
+ORACLES["rolling_count_stream_shuffled"] = ORACLES["rolling_count_stream"]

@@ -58,9 +58,19 @@ def test_all_targets_get_the_same(spark, tmp_path, jdbc_table):
     assert rows(read_table(spark, jdbc_table), "alert_id") == [("A1",), ("A2",)]
     lines = [
         json.loads(line)
-        for part in (tmp_path / "d" / "batch_id=0").glob("part-*")
+        for part in (tmp_path / "d" / "run=none" / "batch_id=0").glob("part-*")
         for line in part.read_text().splitlines()
     ]
     assert {doc["alert_id"] for doc in lines} == {"A1", "A2"}
     assert set(lines[0]) == set(ALERT_SCHEMA.names)
     assert lines[0]["longitude"] is None
+
+
+def test_another_run_only_adds(spark, tmp_path):
+    """Both runs begin at batch 0, the second a day later."""
+    path = str(tmp_path / "t")
+    alert_sink(path).for_run("first")(alerts(spark, 1, 2), 0)
+    alert_sink(path).for_run("second")(alerts(spark, 3), 0)
+    alert_sink(path).for_run("second")(alerts(spark, 3), 0)
+    stored = read_table(spark, path)
+    assert rows(stored, "alert_id") == [("A1",), ("A2",), ("A3",)]

@@ -11,7 +11,8 @@ from helpers import plan, rows
 from wardwatch import operators as ops
 from wardwatch.sources import event_source, read_table, write_parquet
 from wardwatch.sources.events import MESSAGE_SCHEMA
-from wardwatch.streaming import alert_query, alert_sink, rolling_count_stream, stream_counters
+from wardwatch.streaming import alert_query, alert_sink, latest, rolling_count_stream
+from wardwatch.streaming import stream_counters, update_table
 
 START = datetime(2024, 3, 1)
 NOW = {"availableNow": True}
@@ -305,7 +306,8 @@ def test_alert_chain(spark, alert_folder):
 
 def test_batches_without_alerts_leave_nothing(spark, alert_folder):
     run_alerts(alert_folder)
-    written = sorted(p.name for p in (alert_folder.path / "table").iterdir())
+    (run,) = (alert_folder.path / "table").iterdir()
+    written = sorted(p.name for p in run.iterdir())
     assert written == ["batch_id=0", "batch_id=1"]
 
 
@@ -318,6 +320,17 @@ def test_alerts_of_a_rerun_are_not_doubled(spark, alert_folder):
     assert read_table(spark, alert_folder.place("table")).count() == 2
 
 
+def test_a_new_checkpoint_overwrites_no_alerts(spark, alert_folder):
+    run_alerts(alert_folder)
+    before = rows(read_table(spark, alert_folder.place("table")), "alert_id")
+    for name in ("checkpoint", "state"):
+        (alert_folder.path / name).rename(alert_folder.path / f"old-{name}")
+    alert_folder.add([message(20 + i, 10_000 + i) for i in range(5)])
+    run_alerts(alert_folder)
+    after = rows(read_table(spark, alert_folder.place("table")), "alert_id")
+    assert set(before) < set(after) and len(after) == 2 * len(before) + 1
+
+
 def test_counters_are_in_the_progress(spark, alert_folder):
     query = run_alerts(alert_folder)
     counters = [p["observedMetrics"]["parse_stats"] for p in query.recentProgress]
@@ -327,6 +340,20 @@ def test_counters_are_in_the_progress(spark, alert_folder):
     assert [c["errors"] for c in by_name] == [0, 1, 0]
 
 
+def test_totals_of_changed_keys(spark, tmp_path):
+    """Only keys of a batch are written with it, and the latest of each is the total."""
+    folder = Folder(spark, tmp_path, EVENTS)
+    events = seconds(0, 1) + seconds(2, key="b", first=2) + seconds(3, 4, key=None, first=3)
+    folder.add(events)
+    folder.add(seconds(9, key="b", first=9))
+    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1)
+    totals = ops.key_totals(stream.parquet(str(folder.input)), "k")
+    path = folder.place("totals")
+    update_table(totals, path, folder.place("checkpoint"), NOW).awaitTermination()
+    assert rows(latest(spark, path, ["k"])) == [(None, 2), ("a", 2), ("b", 2)]
+    assert rows(read_table(spark, path).filter("batch_id = 1"), "k") == [("b",)]
+
+
 def test_builtin_counts_on_a_stream(spark, tmp_path):
     events = some_events(60)
     folder = Folder(spark, tmp_path, EVENTS)

@@ -81,3 +81,16 @@ def label_points(
     """Every located point with its cluster; no shuffle."""
     features = _featured(located(points, latitude, longitude), latitude, longitude)
     return model.transform(features).select(*keep, latitude, longitude, "cluster")
+
+
+def fit_summary(model: KMeansModel, positions: DataFrame) -> DataFrame:
+    """(located_points, positions, clusters, cost) of a fit, in one row.
+
+    The cost is the sum of squared distances of all points to their centres.
+    """
+    return positions.agg(
+        F.coalesce(F.sum("points"), F.lit(0)).alias("located_points"),
+        F.count("*").alias("positions"),
+        F.lit(len(model.clusterCenters())).cast("long").alias("clusters"),
+        F.lit(float(model.summary.trainingCost)).alias("cost"),
+    )

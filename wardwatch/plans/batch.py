@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from wardwatch.functions import calendar_parts
-from wardwatch.operators import cluster_sizes, fit_hotspots, label_points, tally
+from wardwatch.operators import cluster_sizes, fit_hotspots, fit_summary, label_points, tally
 from wardwatch.plans import reports
 from wardwatch.session import checkpointed
 
@@ -38,37 +38,49 @@ def place_facts(crimes: DataFrame) -> DataFrame:
     return tally(crimes, ["block", "district", "community_area", "arrest"], "n")
 
 
-def batch_tables(
-    crimes: DataFrame,
-    arrests: DataFrame,
-    violence: DataFrame,
-    offenders: DataFrame,
-    stations: DataFrame,
-) -> dict[str, DataFrame]:
-    """The 17 report tables by name; stores the four frames of counts on the way."""
+def trend_tables(crimes: DataFrame) -> dict[str, DataFrame]:
+    """The four trend tables from one stored frame of counts."""
     trend = checkpointed(trend_facts(crimes))
-    arrest = checkpointed(reports.arrest_facts(crimes, arrests, ["primary_type", "district"]))
-    incidents = checkpointed(violence_facts(violence))
-    places = checkpointed(place_facts(crimes))
 
     def rolled(*parts):
         return tally(trend, list(parts), "crime_count", weight="n")
 
-    by_type = reports.rate_by_type(arrest)
     return {
         "crime_trends_by_year": rolled("year"),
         "crime_trends_by_month": rolled("year", "month"),
         "crime_trends_by_day_of_week": rolled("day_of_week"),
         "crime_trends_by_hour": rolled("hour_of_day"),
+    }
+
+
+def arrest_tables(crimes: DataFrame, arrests: DataFrame) -> dict[str, DataFrame]:
+    """The four tables of arrest rates from one stored join."""
+    arrest = checkpointed(reports.arrest_facts(crimes, arrests, ["primary_type", "district"]))
+    by_type = reports.rate_by_type(arrest)
+    return {
         "arrest_rate_by_crime_type": by_type,
         "top10_crime_types_by_arrest_rate": reports.top_types(by_type),
         "arrest_rate_by_district": reports.rate_by_district(arrest),
         "arrests_by_race": reports.matches_by_race(arrest),
+    }
+
+
+def violence_tables(incidents: DataFrame) -> dict[str, DataFrame]:
+    """The five violence tables from a stored frame of ``violence_facts``."""
+    return {
         "violence_by_month": reports.violence_by_month(incidents, "n"),
         "violence_by_district": reports.violence_by_district(incidents, "n"),
         "gunshot_injury_proportion": reports.gunshot_overall(incidents, "n"),
         "gunshot_proportion_by_district": reports.gunshot_by_district(incidents, "n"),
         "top_community_areas_by_violence": reports.violence_by_community(incidents, "n"),
+    }
+
+
+def place_tables(
+    places: DataFrame, incidents: DataFrame, offenders: DataFrame, stations: DataFrame
+) -> dict[str, DataFrame]:
+    """The tables across datasets from stored frames of ``place_facts``, ``violence_facts``."""
+    return {
         "sex_offender_density_by_district": reports.offender_density(
             offenders, places, stations, "n"
         ),
@@ -82,18 +94,37 @@ def batch_tables(
     }
 
 
+def batch_tables(
+    crimes: DataFrame,
+    arrests: DataFrame,
+    violence: DataFrame,
+    offenders: DataFrame,
+    stations: DataFrame,
+) -> dict[str, DataFrame]:
+    """The 17 report tables by name; stores the four frames of counts on the way."""
+    incidents = checkpointed(violence_facts(violence))
+    places = checkpointed(place_facts(crimes))
+    return {
+        **trend_tables(crimes),
+        **arrest_tables(crimes, arrests),
+        **violence_tables(incidents),
+        **place_tables(places, incidents, offenders, stations),
+    }
+
+
 def hotspot_tables(crimes: DataFrame, k: int = 10, seed: int = 42) -> dict[str, DataFrame]:
-    """The two tables of the clustering; fits the model."""
+    """The two tables of the clustering and the summary of its fit; fits the model."""
     model, positions = fit_hotspots(crimes, k=k, seed=seed)
     keep = ["id", "primary_type", "district"]
     return {
         "hotspots": cluster_sizes(model, positions),
         "crimes_with_clusters": label_points(model, crimes, keep),
+        "hotspot_fit": fit_summary(model, positions),
     }
 
 
 def run_batch(inputs: dict[str, DataFrame], write: Write, k: int = 10, seed: int = 42) -> None:
-    """Build all 19 tables and hand each to ``write(df, name)``.
+    """Build all 19 tables and the summary of the fit, and hand each to ``write(df, name)``.
 
     ``inputs`` are the cleaned tables by dataset name. A ``write`` is, for example,
     ``lambda df, name: write_jdbc(df, url, name)``.

@@ -36,14 +36,15 @@ def v_kpis(
     gunshot: DataFrame,
 ) -> DataFrame:
     """The headline numbers in one row, each a scalar subquery of its table."""
-    spark = by_year.sparkSession
-    critical = alerts.filter(F.col("severity") == "CRITICAL")
+    # Both numbers of alerts from one pass; the others are scalars beside them.
+    critical = F.col("severity") == "CRITICAL"
+    counts = alerts.agg(F.count("*").alias("_total"), F.count_if(critical).alias("_critical"))
     best = _top(rates_by_district, "arrest_rate", "district", 1).select("district")
     rate = gunshot.select(percent("gunshot_proportion"))
-    return spark.range(1).select(
+    return counts.select(
         by_year.agg(F.sum("crime_count")).scalar().alias("total_crimes"),
-        alerts.agg(F.count("*")).scalar().alias("total_alerts"),
-        critical.agg(F.count("*")).scalar().alias("critical_alerts"),
+        F.col("_total").alias("total_alerts"),
+        F.col("_critical").alias("critical_alerts"),
         hotspots.agg(F.count("*")).scalar().alias("hotspot_count"),
         best.scalar().alias("top_district"),
         rate.scalar().alias("gunshot_pct"),

@@ -2,4 +2,5 @@
 
 from wardwatch.streaming.alerts import alert_query, alert_sink  # noqa: F401
 from wardwatch.streaming.counting import rolling_count_stream, stream_counters  # noqa: F401
-from wardwatch.streaming.tables import append_table, replace_table  # noqa: F401
+from wardwatch.streaming.tables import append_table, latest  # noqa: F401
+from wardwatch.streaming.tables import replace_table, update_table  # noqa: F401

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -27,12 +29,14 @@ def alert_query(
     marks_per_task: int = MARKS_PER_TASK,
     trigger: dict | None = None,
     name: str | None = None,
+    late: Emit | None = None,
+    drop_repeats: bool = False,
 ) -> StreamingQuery:
     """Parse, route, count per district, detect, and pass the alerts to ``sink``.
 
     ``messages`` is a stream as ``event_source`` gives it; its ``timestamp`` is the time
     an event counts at. The counters of the parser show up in the progress of the query
-    under ``parse_stats``.
+    under ``parse_stats``. ``late`` and ``drop_repeats`` are those of the rolling count.
     """
     parsed = parse_events(messages).observe(
         "parse_stats", *[column.alias(name) for name, column in parse_counters().items()]
@@ -41,8 +45,14 @@ def alert_query(
         "routed_district", F.col("timestamp").alias("event_time"), "message_id", *SHOWN
     )
 
+    targets: list[Emit] = []
+
     def emit(counted: DataFrame, batch_id: int) -> None:
-        sink(detect_anomalies(counted, threshold), batch_id)
+        if not targets:
+            for_run = getattr(sink, "for_run", None)
+            run = _run_id(counted.sparkSession, checkpoint_dir) if for_run else ""
+            targets.append(for_run(run) if for_run else sink)
+        targets[0](detect_anomalies(counted, threshold), batch_id)
 
     return rolling_count_stream(
         routed,
@@ -57,45 +67,60 @@ def alert_query(
         marks_per_task=marks_per_task,
         trigger=trigger,
         name=name,
+        late=late,
+        drop_repeats=drop_repeats,
     )
 
 
+def _run_id(spark: SparkSession, checkpoint_dir: str) -> str:
+    """The id that a query keeps in its checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint_dir}/metadata").first()[0])["id"]
+
+
 def alert_sink(
     table: str | None = None, documents: str | None = None, jdbc: dict | None = None
 ) -> Emit:
     """Store alerts as Parquet table, as JSON documents, over JDBC, or all of them.
 
-    Files of a batch are replaced when the batch is repeated. A JDBC table cannot do
-    that, so only alerts it does not have are appended; it is asked for those at or after
-    the first of the batch. ``jdbc`` has ``url``, ``table`` and optional ``properties``.
+    Files of a batch are replaced when the batch is repeated. They lie under the id of the
+    query (``run``), which lives in its checkpoint, so a query with another checkpoint only
+    adds to the same table. A JDBC table cannot replace, so only alerts it does not have are
+    appended; it is asked for those between the first and the last of the batch. ``jdbc``
+    has ``url``, ``table`` and optional ``properties``.
     """
 
-    def write(alerts: DataFrame, batch_id: int) -> None:
-        stored = alerts.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            # The first batch is written in any case, so that there is a table to read.
-            if batch_id > 0 and stored.isEmpty():
-                return
-            if table:
-                stored.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
-            if documents:
-                place = f"{documents}/batch_id={batch_id}"
-                stored.write.mode("overwrite").json(place, ignoreNullFields=False)
-            if jdbc:
-                _append_new(stored, jdbc)
-        finally:
-            stored.unpersist()
-
-    return write
+    def for_run(run: str) -> Emit:
+        def write(alerts: DataFrame, batch_id: int) -> None:
+            stored = alerts.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                # The first batch is written in any case, so that there is a table to read.
+                if batch_id > 0 and stored.isEmpty():
+                    return
+                place = f"run={run}/batch_id={batch_id}"
+                if table:
+                    stored.write.mode("overwrite").parquet(f"{table}/{place}")
+                if documents:
+                    path = f"{documents}/{place}"
+                    stored.write.mode("overwrite").json(path, ignoreNullFields=False)
+                if jdbc:
+                    _append_new(stored, jdbc)
+            finally:
+                stored.unpersist()
+
+        write.for_run = for_run
+        return write
+
+    return for_run("none")
 
 
 def _append_new(alerts: DataFrame, jdbc: dict) -> None:
     url, table, properties = jdbc["url"], jdbc["table"], jdbc.get("properties", {})
-    first = alerts.agg(F.min("triggered_at")).first()[0]
+    first, last = alerts.agg(F.min("triggered_at"), F.max("triggered_at")).first()
     if first is None:
         return
     known = alerts.sparkSession.read.jdbc(url, table, properties=properties)
-    known = known.filter(F.col("triggered_at") >= F.lit(first)).select("alert_id")
+    known = known.filter(F.col("triggered_at").between(F.lit(first), F.lit(last)))
+    known = known.select("alert_id")
     alerts.join(known, "alert_id", "left_anti").select(alerts.columns).write.jdbc(
         url, table, mode="append", properties=properties
     )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wardwatch.sources import write_parquet
@@ -40,3 +41,32 @@ def replace_table(
         .trigger(**(trigger or EVERY))
         .start()
     )
+
+
+def update_table(
+    counts: DataFrame, path: str, checkpoint_dir: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Write the groups that each batch changed, under its number; see ``latest``.
+
+    What is written per trigger grows with the batch, not with all groups ever seen, and
+    what is written stays, so readers always find a table. A repeated batch replaces its own.
+    """
+
+    def write(changed: DataFrame, batch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return (
+        counts.writeStream.foreachBatch(write)
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint_dir)
+        .trigger(**(trigger or EVERY))
+        .start()
+    )
+
+
+def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The state of each group after its last change in a table of ``update_table``."""
+    changes = spark.read.parquet(path)
+    values = [name for name in changes.columns if name not in (*keys, "batch_id")]
+    last = [F.max_by(name, "batch_id").alias(name) for name in values]
+    return changes.groupBy(*keys).agg(*last)
