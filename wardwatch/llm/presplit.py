@@ -22,7 +22,7 @@ LETTER, DIGIT, SIGN, SPACE = range(4)
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 
 # Text bytes handled at once; arrays of about 20 times this size are made.
-CHUNK_BYTES = 4 * 1024 * 1024
+CHUNK_BYTES = 1024 * 1024
 
 # Code points that may be other than signs: all planes with letters, and the tags.
 _PROBED = ((0, 0xD800), (0xE000, 0x32400), (0xE0000, 0xE0200))
