@@ -165,22 +165,22 @@ class Automaton:
         return stands
 
     def encode_words(self, words: list[str]):
-        """Words in some order with all their ids and each word's number of ids."""
-        special = [word for word in words if word in self.specials]
+        """Places of some words, all their ids, and each word's number of ids; in parts."""
+        special = [place for place, word in enumerate(words) if word in self.specials]
         if special:
-            ids = np.array([self.specials[word] for word in special], np.uint32)
-            yield special, ids, np.ones(len(special), np.int64)
-        words = [word for word in words if word not in self.specials]
+            ids = np.array([self.specials[words[place]] for place in special], np.uint32)
+            yield np.array(special), ids, np.ones(len(special), np.int64)
         raw = [word.encode() for word in words]
         lengths = np.fromiter(map(len, raw), np.int64, len(raw))
         order = np.argsort(lengths, kind="stable")
+        order = order[~np.isin(order, special)]
         low = 0
         while low < len(order):
             ahead = lengths[order[low : low + CELLS]]
             fits = ahead * np.arange(1, len(ahead) + 1) <= CELLS
             high = low + max(1, int(fits.argmin()) if not fits.all() else len(ahead))
             some = order[low:high]
-            yield [words[i] for i in some], *self._paths([raw[i] for i in some], lengths[some])
+            yield some, *self._paths([raw[i] for i in some.tolist()], lengths[some])
             low = high
 
     def _paths(self, raw: list[bytes], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

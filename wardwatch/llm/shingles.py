@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from wardwatch.llm.presplit import chunks, code_points, text_bytes
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_BYTE_BASE = np.uint64(0x100000001B3)
+BYTE_BASE = 0x100000001B3
 
 
 @functools.lru_cache(maxsize=1)
@@ -55,13 +55,13 @@ def split_at_space(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     return words.dictionary_encode(), np.searchsorted(begins, starts_at)
 
 
-def word_hashes(words: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each word."""
+def word_hashes(words: pa.Array, base: int = BYTE_BASE) -> np.ndarray:
+    """A 64-bit hash of each word; other odd bases give other hashes."""
     raw, bounds = text_bytes(words)
     lengths = np.diff(bounds)
     if not len(raw):
         return mix(lengths.astype(np.uint64))
-    powers = np.cumprod(np.full(int(lengths.max()), _BYTE_BASE, np.uint64))
+    powers = np.cumprod(np.full(int(lengths.max()), base, np.uint64))
     place = np.arange(len(raw)) - np.repeat(bounds[:-1], lengths)
     part = (raw.astype(np.uint64) + np.uint64(1)) * powers[place]
     total = np.concatenate([[np.uint64(0)], np.cumsum(part, dtype=np.uint64)])
