@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from wardwatch import operators as ops
 from wardwatch.functions import route_key, severity
 from wardwatch.plans import batch, cleaning, reports, views
-from wardwatch.schemas import COLUMNS
+from wardwatch.schemas import ALERT_SCHEMA, COLUMNS
 from wardwatch.session import DEFAULTS, scratch_path
 from wardwatch.sources import event_source, read_csv_dataset, read_result, read_table
 from wardwatch.sources import write_parquet
@@ -29,6 +29,7 @@ SLIDE = 21_600
 THRESHOLD = 2
 # Longer than the tables' events span.
 LATENESS = 40 * 365 * 86_400
+DISTRICT = "7"
 KIND = "victimization_primary"
 AS_OF = datetime(2024, 1, 15, 12, 0, 0)
 
@@ -456,6 +457,20 @@ def stream_alerts(t: Tables) -> DataFrame:
     return _local(alerts, "triggered_at")
 
 
+def stream_both_targets(t: Tables) -> DataFrame:
+    """Table and documents of one run, all fields of both."""
+    run = _alert_run(t, table="table", documents="docs")
+    stored = {
+        "table": read_table(t.spark, f"{run}/table"),
+        "documents": t.spark.read.schema(ALERT_SCHEMA).json(f"{run}/docs"),
+    }
+    table, documents = (
+        _local(rows, "triggered_at").select(F.lit(name).alias("target"), *ALERT_SCHEMA.names)
+        for name, rows in stored.items()
+    )
+    return table.unionByName(documents)
+
+
 def stream_documents(t: Tables) -> DataFrame:
     documents = t.spark.read.json(_alert_run(t, documents="docs") + "/docs")
     counted = documents.groupBy("district", "severity").agg(
@@ -665,6 +680,9 @@ QUERIES: dict[str, Query] = {
         "parse_events": _parsed,
         "parse_stats": lambda t: ops.parse_stats(ops.parse_events(t.messages())),
         "route_events": _routed,
+        "route_rows": lambda t: ops.route_events(ops.parse_events(t.messages())).select(
+            "message_id", "routed_district"
+        ),
         "route_key": _route_key,
         # Files through a typed CSV read
         "clean_arrests": csv_arrests,
@@ -679,6 +697,7 @@ QUERIES: dict[str, Query] = {
         "rolling_count_stream_shuffled": stream_counts_shuffled,
         "alert_query": stream_alerts,
         "alert_documents": stream_documents,
+        "alert_both_targets": stream_both_targets,
         # Hotspots
         "hotspot_checks": hotspot_checks,
         "hotspots": lambda t: t.hotspots(),
@@ -733,6 +752,7 @@ QUERIES: dict[str, Query] = {
         "v_alert_districts": lambda t: views.v_alert_districts(t.alerts()),
         "v_alert_feed": lambda t: views.v_alert_feed(t.alerts()),
         "v_alert_feed_critical": lambda t: views.v_alert_feed(t.alerts(), "CRITICAL"),
+        "v_alert_feed_filtered": lambda t: views.v_alert_feed(t.alerts(), "LOW", DISTRICT),
         # The batch run
         **{f"batch_{name}": _from_batch(name) for name in BATCH},
     }.items()

@@ -510,3 +510,8 @@ ORACLES["hotspot_checks"] = f"""
     UNION ALL SELECT 'negative_cost', CAST(0 AS BIGINT)
 """
 ORACLES["rolling_count_stream_shuffled"] = ORACLES["rolling_count_stream"]
+ORACLES["v_alert_feed_filtered"] = feed("WHERE severity = 'LOW' AND district = '7'", 100)
+ORACLES["alert_both_targets"] = f"""
+    SELECT target, a.* FROM ({alerts(GOOD)}) a, (VALUES ('table'), ('documents')) t(target)
+"""
+ORACLES["route_rows"] = f"SELECT message_id, routed_district FROM ({GOOD})"

@@ -14,6 +14,9 @@ from wardwatch.operators.messages import parse_counters
 from wardwatch.operators.rolling import MARKS_PER_TASK
 from wardwatch.streaming.counting import Emit, rolling_count_stream
 
+# Documents keep microseconds, which Spark's own format cuts off.
+WHOLE_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 # What an alert shows of the event that raised it.
 SHOWN = ["primary_type", "case_number", "block", "latitude", "longitude"]
 
@@ -101,7 +104,9 @@ def alert_sink(
                     stored.write.mode("overwrite").parquet(f"{table}/{place}")
                 if documents:
                     path = f"{documents}/{place}"
-                    stored.write.mode("overwrite").json(path, ignoreNullFields=False)
+                    stored.write.mode("overwrite").json(
+                        path, ignoreNullFields=False, timestampFormat=WHOLE_TIME
+                    )
                 if jdbc:
                     _append_new(stored, jdbc)
             finally:
