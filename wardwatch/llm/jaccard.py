@@ -492,6 +492,8 @@ def classes(
     )
     rows = stored(rows, "classes")
     least = rows.where("class is not null").groupBy("class").agg(F.min("id").alias("least"))
+    # As a table of its own, so that Spark may split a class with many rows in the join.
+    least = stored(least, "least")
     return rows.join(least, "class", "left").select(
         F.col("id").alias(id_column),
         "text_key",
