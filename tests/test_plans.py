@@ -7,6 +7,7 @@ from helpers import plan
 
 import __spark_entry__ as entry
 from wardwatch import operators as ops
+from wardwatch.operators import rolling
 from wardwatch.plans import reports, views
 from wardwatch.schemas import clean_schema
 from wardwatch.sources import read_table, write_parquet
@@ -99,8 +100,13 @@ def test_rolling_count_shuffles_once(tables):
     assert "hashpartitioning(_key" in text and "_block" in text
 
 
-def test_large_groups_are_told_apart_by_hash_join(spark):
+def test_large_groups_are_told_apart_by_an_equal_join(spark):
     events = spark.range(1000).selectExpr("'k' AS k", "timestamp_seconds(0) AS ts", "id")
+    width = 300 * rolling.SECOND
+    marks = rolling._marks(events, "k", "ts", "id", width)
+    large = rolling._large_groups(events, "k", "ts", width, 100)
+    text = plan(rolling._told_apart(marks, large))
+    assert "LeftOuter" in text and ("HashJoin" in text or "SortMergeJoin" in text)
+    assert not [word for word in NEVER if word in text]
     text = plan(ops.rolling_count(events, "k", "ts", "id", marks_per_task=100))
-    assert "BroadcastHashJoin" in text and "LeftAnti" in text
     assert not [word for word in NEVER if word in text]

@@ -52,10 +52,7 @@ def rolling_count(
     if size is None:
         counted = _sweep(marks.withColumn("_before", F.lit(0)), ["_key", "_block"])
     else:
-        same = F.col("_key").eqNullSafe(F.col("_large_key")) & (
-            F.col("_block") == F.col("_large_block")
-        )
-        told = checkpointed(marks.join(large, same, "left").drop("_large_key", "_large_block"))
+        told = checkpointed(_told_apart(marks, large))
         whole = told.filter(F.col("_size").isNull()).drop("_size")
         cut = told.filter(F.col("_size").isNotNull()).drop("_size")
         counted = _sweep(whole.withColumn("_before", F.lit(0)), ["_key", "_block"]).unionByName(
@@ -96,6 +93,14 @@ def _large_groups(
     return sizes.agg(F.sum("_events").alias("_size")).filter(F.col("_size") > marks_per_task)
 
 
+def _told_apart(marks: DataFrame, large: DataFrame) -> DataFrame:
+    """Marks with the ``_size`` of their group if it is a large one."""
+    same = F.col("_key").eqNullSafe(F.col("_large_key")) & (
+        F.col("_block") == F.col("_large_block")
+    )
+    return marks.join(large, same, "left").drop("_large_key", "_large_block")
+
+
 def _marks(events: DataFrame, key: str, ts: str, event_id: str, width: int) -> DataFrame:
     """Two rows per event; only the arrival carries the event's other columns."""
     at = micros(ts)
