@@ -479,8 +479,11 @@ def classes(
                 F.coalesce("root", "node")
             ).alias("peer")
         )
+    # Tables of their own, here and below, so that Spark may split a node or class with many
+    # rows in the join.
+    links = stored(links.select("node", "n_links", "peer"), "links")
     rows = rows.select("id", "text_key", "node", "size").join(
-        links.select("node", "n_links", "peer"), "node", "left"
+        links, "node", "left"
     )
     rows = rows.select(
         "id",
@@ -492,7 +495,6 @@ def classes(
     )
     rows = stored(rows, "classes")
     least = rows.where("class is not null").groupBy("class").agg(F.min("id").alias("least"))
-    # As a table of its own, so that Spark may split a class with many rows in the join.
     least = stored(least, "least")
     return rows.join(least, "class", "left").select(
         F.col("id").alias(id_column),
