@@ -108,6 +108,19 @@ def test_copies_are_no_evidence(spark):
     assert all(not r.terms for r in pii.find(docs).collect())
 
 
+def test_terms_of_one_document_and_of_a_repeated_signature(spark):
+    """One surrounding of an entity is judged too; words of other documents are not marked."""
+    common = [(100 + k, f"please ask the team about plan {k}") for k in range(200)]
+    alone = [(1, "please ask Zorblax qq@secret.org about the plan")]
+    signed = [(10 + k, "regards Quixby zz@secret.org the team") for k in range(20)]
+    docs = spark.createDataFrame(alone + signed + common, "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.find(docs).collect()}
+    assert [(s.start, s.end, s.value) for s in rows[1].terms] == [(11, 18, "generalise")]
+    for k in range(10, 30):
+        assert [(s.start, s.end) for s in rows[k].terms] == [(0, 7), (8, 14)]
+    assert all(not r.terms for k, r in rows.items() if k >= 100)
+
+
 def test_sanitised(spark):
     found = {r.doc_id: r.text for r in pii.sanitised(told(spark)).collect()}
     assert found[1] == "Please ask  at [EMAIL] about the plan"

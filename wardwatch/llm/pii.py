@@ -41,6 +41,8 @@ WINDOW = 100
 # Shares of an entity's information from which a term is removed or generalised.
 REMOVE = 0.95
 GENERALISE = 0.8
+# Documents without the entity added to those of a term that one surrounding alone shows.
+UNSEEN = 1
 
 # Lists of at most this many rows are broadcast; longer ones are shuffled.
 BROADCAST_ROWS = 100_000
@@ -201,9 +203,14 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def near_terms(detected: DataFrame) -> DataFrame:
-    """(row_key, entity, around_key, term, start, end) of the terms near each entity."""
-    rows = detected.where("contexts is not null").select("row_key", F.explode("contexts").alias("c"))
-    rows = rows.select("row_key", "c.*")
+    """(row_key, copies, entity, around_key, term, start, end) of the terms near each entity.
+
+    ``copies`` is the number of equal rows.
+    """
+    rows = detected.where("contexts is not null").groupBy("row_key")
+    rows = rows.agg(F.first("contexts").alias("contexts"), F.count("*").alias("copies"))
+    rows = rows.select("row_key", "copies", F.explode("contexts").alias("c"))
+    rows = rows.select("row_key", "copies", "c.*")
     rows = _with_spans(rows, "around", TERM, TERM_PATTERN, "terms")
     inside = F.filter(
         "terms",
@@ -211,11 +218,13 @@ def near_terms(detected: DataFrame) -> DataFrame:
         lambda t: (F.col("opens") | (t["start"] > 0))
         & (F.col("closes") | (t["end"] < F.length("around") - 3)),
     )
+    around_key = F.xxhash64("around").alias("around_key")
     rows = rows.select(
-        "row_key", "entity", "low", F.xxhash64("around").alias("around_key"), F.explode(inside).alias("t")
+        "row_key", "copies", "entity", "low", around_key, F.explode(inside).alias("t")
     )
     return rows.select(
         "row_key",
+        "copies",
         "entity",
         "around_key",
         F.lower("t.value").alias("term"),
@@ -224,32 +233,42 @@ def near_terms(detected: DataFrame) -> DataFrame:
     )
 
 
-def disclosing(near: DataFrame, docs: DataFrame, text_column="text") -> DataFrame:
+def disclosing(
+    detected: DataFrame, near: DataFrame, docs: DataFrame, text_column="text"
+) -> DataFrame:
     """(entity, term, action): the terms that disclose an entity, ``remove`` or ``generalise``.
 
     ``docs`` are all documents; each term's number of documents is counted over all of them.
-    A term needs different surroundings of the entity in two documents to count, so one
-    document and its copies are no evidence.
+    Documents in which the same stands around an entity count as one, for the entity, the
+    term and both. A term that only one surrounding of the entity shows is taken to stand in
+    ``UNSEEN`` more documents without it.
     """
-    rows = near.groupBy("entity", "term", "row_key").agg(F.min("around_key").alias("key"))
-    pairs = rows.groupBy("entity", "term").agg(
-        F.count("*").alias("both"), F.min("key").alias("low"), F.max("key").alias("high")
+    rows = near.groupBy("entity", "term", "row_key").agg(
+        F.min("around_key").alias("key"), F.first("copies").alias("copies")
     )
-    pairs = _stored(pairs.where("low <> high").drop("low", "high"), "pairs")
-    entities = near.select("entity", "row_key").distinct().groupBy("entity")
+    # Equal surroundings first, so that no task gets all documents of an entity.
+    keys = rows.groupBy("entity", "term", "key").agg(F.sum("copies").alias("held"))
+    pairs = keys.groupBy("entity", "term").agg(
+        F.count("*").alias("both"), F.sum(F.col("held") - 1).alias("repeats")
+    )
+    pairs = _stored(pairs, "pairs")
+    held = detected.where("contexts is not null").select("row_key", F.explode("contexts").alias("c"))
+    held = held.groupBy("c.entity", "row_key").agg(F.min(F.xxhash64("c.around")).alias("key"))
+    entities = held.select("entity", "key").distinct().groupBy("entity")
     entities = entities.agg(F.count("*").alias("n_entity"))
     terms = _stored(pairs.select("term").distinct(), "terms")
-    if terms.isEmpty():
-        return pairs.select("entity", "term", F.lit("").alias("action"))
     total = docs.count()
     words = F.regexp_extract_all(
         F.lower(F.make_valid_utf8(text_column)), F.lit(TERM_PATTERN), F.lit(0)
     )
     seen = docs.select(F.explode(F.array_distinct(words)).alias("term"))
-    seen = seen.join(_small(terms), "term").groupBy("term").agg(F.count("*").alias("n_term"))
-    share = F.log2(
-        F.lit(total) * F.col("both") / (F.col("n_entity") * F.greatest("n_term", "both"))
-    ) / F.log2(F.lit(total) / F.col("n_entity"))
+    # Counted before the join, where a frequent term would be one task.
+    seen = seen.groupBy("term").agg(F.count("*").alias("n_term")).join(_small(terms), "term")
+    n_term = F.greatest(F.col("n_term") - F.col("repeats"), "both")
+    n_term = n_term + F.when(F.col("both") == 1, UNSEEN).otherwise(0)
+    share = F.log2(F.lit(total) * F.col("both") / (F.col("n_entity") * n_term)) / F.log2(
+        F.lit(total) / F.col("n_entity")
+    )
     found = pairs.join(seen, "term").join(entities, "entity").where(F.col("n_entity") < total)
     found = found.withColumn("share", share).where(F.col("share") >= GENERALISE)
     action = F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise")
@@ -266,7 +285,7 @@ def find(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
     """
     detected = _stored(detect(docs, id_column, text_column), "detected")
     near = _stored(near_terms(detected), "near")
-    terms = disclosing(near, docs, text_column)
+    terms = disclosing(detected, near, docs, text_column)
     marked = near.join(terms, ["entity", "term"]).groupBy("row_key", "start", "end")
     # Near two entities the stronger action holds.
     marked = marked.agg(F.max("action").alias("action"))
