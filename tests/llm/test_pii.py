@@ -121,6 +121,29 @@ def test_terms_of_one_document_and_of_a_repeated_signature(spark):
     assert all(not r.terms for k, r in rows.items() if k >= 100)
 
 
+def test_terms_far_from_the_entity_and_of_any_form(spark):
+    """What discloses is marked in the whole text, with digits, hyphens and signs beside it."""
+    far = " ask the team about plan" * 30
+    text = "(Jean-Zorb/Agent7x) qq@secret.org" + far + " by Jean-Zorb, [agent7x] 12345"
+    rows = [(1, text), (2, "ask jean-zorb/agent7x of qq@secret.org the plan" + far)]
+    rows += [(10 + k, f"please ask the team about plan of jean {k}") for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.find(docs).collect()}
+    marked = [text[s.start : s.end] for s in found[1].terms]
+    assert marked == ["Jean-Zorb", "Agent7x", "Jean-Zorb", "agent7x"]
+    assert {s.value for s in found[1].terms} == {"remove"}
+    assert all(not r.terms for k, r in found.items() if k >= 10)
+
+
+def test_term_pattern(spark):
+    text = "a-b ab é1 x@y.zz_q@w.er1 --cd--ef-2 34 5-6 7-8g @hi (jk)/lm—no O'Brien " + "1-" * 20_000
+    found = spark.createDataFrame([(text,)], "text string")
+    found = pii._with_spans(found, "text", pii.TERM, pii.TERM_PATTERN, "terms").first().terms
+    words = [s.value for s in found if "@" not in s.value and len(s.value) > 1]
+    assert words == ["a-b", "ab", "é1", "cd", "ef-2", "7-8g", "hi", "jk", "lm", "no", "Brien"]
+    assert all(text[s.start : s.end] == s.value for s in found)
+
+
 def test_sanitised(spark):
     found = {r.doc_id: r.text for r in pii.sanitised(told(spark)).collect()}
     assert found[1] == "Please ask  at [EMAIL] about the plan"

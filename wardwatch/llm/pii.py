@@ -4,7 +4,7 @@ Emails, addresses, card and phone numbers are found by pattern and check. Each v
 protected entity. A term near an entity discloses it as far as it makes it likelier to be
 there: their pointwise mutual information over the corpus, as a share of the entity's own
 information ("C-sanitized", Sanchez and Batet, 2016). Terms of a large share are removed,
-of a lesser one generalised. Everything is DataFrame functions.
+of a lesser one generalised, in the whole of each text that holds the entity. Everything is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -31,12 +31,18 @@ NEEDED = {"email": "@", "ip": ".", "phone": "+"}
 IP_PART = "0*(?:[0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
 IP_VALID = rf"^{IP_PART}(?:\.{IP_PART}){{3}}$"
 
-# A term is a run of letters between white space, with punctuation behind it or around it.
-TERM_PATTERN = (
-    r"(?<![^\s(\x22'])[\p{L}\p{M}][\p{L}\p{M}]++(?=[,.;:!?)\x22']{0,3}(?:\s|$))"
+# A term is a run of letters and digits with a letter in it, also over inner hyphens. Emails are
+# matched first, so that their parts are no terms; a match with a sign @ is dropped.
+WORD = r"[\p{L}\p{M}\p{N}]"
+WORDS = (
+    rf"(?<!{WORD})(?<!{WORD}-)(?=\p{{N}}*+(?:-\p{{N}}++)*+-?+\p{{L}})"
+    rf"{WORD}++(?:-{WORD}++)*+"
 )
+TERM_PATTERN = rf"(?<!{LOCAL})(?:{LOCAL}++@{LABEL}++(?:\.{LABEL}++)++)++|{WORDS}"
+# What may be a part of a word or an email where a text is cut.
+CUT = r"[\p{L}\p{M}\p{N}._%+@-]"
 
-# Code points before and behind an entity in which terms count as near it.
+# Code points before and behind an entity in which terms count as evidence.
 WINDOW = 100
 # Shares of an entity's information from which a term is removed or generalised.
 REMOVE = 0.95
@@ -151,6 +157,10 @@ def of_kind(kind: str):
     return lambda span: span["kind"] == kind
 
 
+def _is_term(value: Column) -> Column:
+    return ~F.contains(value, F.lit("@")) & (F.length(value) > 1)
+
+
 def _entity(span: Column) -> Column:
     """The same for the same email or number, however it is written."""
     plain = F.when(span["kind"] == "email", F.lower(span["value"])).when(
@@ -160,9 +170,10 @@ def _entity(span: Column) -> Column:
 
 
 def detect(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
-    """(id, row_key, base, contexts): base spans of each row, and what is around them.
+    """(id, row_key, base, contexts, text): base spans of each row, and what is around them.
 
-    ``row_key`` is a hash of id and text, so equal rows share it.
+    ``row_key`` is a hash of id and text, so equal rows share it. Contexts and text are null
+    where there is no base span.
     """
     text = F.coalesce(F.make_valid_utf8(text_column), F.lit(""))
     rows = docs.select(
@@ -188,7 +199,8 @@ def detect(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame
         )
 
     contexts = F.when(F.size("base") > 0, F.transform("base", context))
-    return rows.select("id", "row_key", "base", contexts.alias("contexts"))
+    held = F.when(F.size("base") > 0, F.col("text"))
+    return rows.select("id", "row_key", "base", contexts.alias("contexts"), held.alias("text"))
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -203,7 +215,7 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def near_terms(detected: DataFrame) -> DataFrame:
-    """(row_key, copies, entity, around_key, term, start, end) of the terms near each entity.
+    """(row_key, copies, entity, around_key, term) of the terms near each entity.
 
     ``copies`` is the number of equal rows.
     """
@@ -212,25 +224,42 @@ def near_terms(detected: DataFrame) -> DataFrame:
     rows = rows.select("row_key", "copies", F.explode("contexts").alias("c"))
     rows = rows.select("row_key", "copies", "c.*")
     rows = _with_spans(rows, "around", TERM, TERM_PATTERN, "terms")
+    # Words and emails that the window cuts are left out.
+    first = F.length(F.regexp_extract("around", f"^{CUT}*+", 0))
+    last = F.length(F.regexp_extract("around", f"(?<!{CUT}){CUT}++$", 0))
+    rows = rows.withColumn("first_", F.when(F.col("opens"), 0).otherwise(first))
+    rows = rows.withColumn(
+        "end_", F.length("around") - F.when(F.col("closes"), 0).otherwise(last)
+    )
     inside = F.filter(
         "terms",
-        # Words that a cut may have shortened are left out.
-        lambda t: (F.col("opens") | (t["start"] > 0))
-        & (F.col("closes") | (t["end"] < F.length("around") - 3)),
-    )
-    around_key = F.xxhash64("around").alias("around_key")
-    rows = rows.select(
-        "row_key", "copies", "entity", "low", around_key, F.explode(inside).alias("t")
+        lambda t: _is_term(t["value"]) & (t["start"] >= F.col("first_")) & (t["end"] <= F.col("end_")),
     )
     return rows.select(
         "row_key",
         "copies",
         "entity",
-        "around_key",
+        F.xxhash64("around").alias("around_key"),
+        F.explode_outer(F.array_distinct(F.transform(inside, lambda t: F.lower(t["value"])))).alias("term"),
+    ).where("term is not null")
+
+
+def marked_terms(detected: DataFrame, terms: DataFrame) -> DataFrame:
+    """(row_key, start, end, action): where ``terms`` of its entities stand in each whole text."""
+    rows = detected.where("contexts is not null").select("row_key", "text")
+    places = _with_spans(rows, "text", TERM, TERM_PATTERN, "places")
+    places = places.select("row_key", F.explode_outer("places").alias("t")).select(
+        "row_key",
         F.lower("t.value").alias("term"),
-        (F.col("low") + F.col("t.start")).alias("start"),
-        (F.col("low") + F.col("t.end")).alias("end"),
+        F.col("t.start").alias("start"),
+        F.col("t.end").alias("end"),
     )
+    held = detected.where("contexts is not null").select("row_key", F.explode("contexts").alias("c"))
+    held = held.select("row_key", F.col("c.entity").alias("entity")).distinct()
+    # By term first: a term discloses few entities, while a text may hold many of both.
+    found = places.join(terms, "term").join(held, ["row_key", "entity"])
+    # Of two entities the stronger action holds.
+    return found.groupBy("row_key", "start", "end").agg(F.max("action").alias("action"))
 
 
 def disclosing(
@@ -258,10 +287,12 @@ def disclosing(
     entities = entities.agg(F.count("*").alias("n_entity"))
     terms = _stored(pairs.select("term").distinct(), "terms")
     total = docs.count()
-    words = F.regexp_extract_all(
-        F.lower(F.make_valid_utf8(text_column)), F.lit(TERM_PATTERN), F.lit(0)
-    )
-    seen = docs.select(F.explode(F.array_distinct(words)).alias("term"))
+    lower = F.lower(F.make_valid_utf8(text_column))
+    words = F.when(
+        F.contains(lower, F.lit("@")), F.regexp_extract_all(lower, F.lit(TERM_PATTERN), F.lit(0))
+    ).otherwise(F.regexp_extract_all(lower, F.lit(WORDS), F.lit(0)))
+    # For the inner form Spark derives a filter that matches every text once more.
+    seen = docs.select(F.explode_outer(F.array_distinct(F.filter(words, _is_term))).alias("term"))
     # Counted before the join, where a frequent term would be one task.
     seen = seen.groupBy("term").agg(F.count("*").alias("n_term")).join(_small(terms), "term")
     n_term = F.greatest(F.col("n_term") - F.col("repeats"), "both")
@@ -279,16 +310,15 @@ def find(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
     """(id, row_key, base, terms): all spans (kind, start, end, value) of every whole text.
 
     Offsets are code points, the end exclusive. ``base`` has emails, then addresses, cards
-    and phones, each by start. ``terms`` are by start; their value is the action taken.
+    and phones, each by start. ``terms`` are by start, wherever in the text they stand; their
+    value is the action taken.
     A null text is empty and has no spans. Equal rows get equal spans; null ids are kept.
     No other column is read.
     """
     detected = _stored(detect(docs, id_column, text_column), "detected")
     near = _stored(near_terms(detected), "near")
     terms = disclosing(detected, near, docs, text_column)
-    marked = near.join(terms, ["entity", "term"]).groupBy("row_key", "start", "end")
-    # Near two entities the stronger action holds.
-    marked = marked.agg(F.max("action").alias("action"))
+    marked = marked_terms(detected, _small(_stored(terms, "disclosing")))
     span = F.struct(F.lit(TERM).alias("kind"), "start", "end", F.col("action").alias("value"))
     marked = marked.groupBy("row_key").agg(
         F.array_sort(
