@@ -15,15 +15,15 @@ from pyspark.sql import functions as F
 
 from wardwatch.llm import jaccard, langid, packing, pii, quality
 from wardwatch.llm.common import fold
+from wardwatch.llm.queries import QUALITY
 from wardwatch.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
-# Documents below these scores are rejected. Both lie well under what clean ones get.
+# Documents of a lower share are rejected, as are those that op6_quality does not take for good.
 LANGUAGE = 0.35
-QUALITY = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -90,3 +90,15 @@ def test_awkward_rows(spark, number):
         assert out.columns == docs.columns
     assert out.count() <= 3 * docs.count() or number == 4
     assert stage(spark, empty(spark), FOLDER).count() == 0
+
+
+def test_quality_stage_decides_as_the_query(spark, monkeypatch):
+    """Documents that op6_quality rejects do not go on."""
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(4)], "doc_id long, text string")
+    scores = F.element_at(F.array(*map(F.lit, (0.4, 0.6, 0.69, 0.7))), F.col("doc_id").cast("int") + 1)
+    monkeypatch.setattr(corpus_pipeline.quality, "train", lambda *a, **b: None)
+    monkeypatch.setattr(
+        corpus_pipeline.quality, "score", lambda docs, model, name: docs.withColumn(name, scores)
+    )
+    kept = corpus_pipeline.good(spark, docs, "/root/testdata/sf0.001")
+    assert [r.doc_id for r in kept.collect()] == [3]
