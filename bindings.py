@@ -11,6 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from wardwatch import operators as ops
 from wardwatch.functions import route_key, severity
@@ -19,7 +20,7 @@ from wardwatch.schemas import ALERT_SCHEMA, COLUMNS
 from wardwatch.session import DEFAULTS, scratch_path
 from wardwatch.sources import event_source, read_csv_dataset, read_result, read_table
 from wardwatch.sources import write_parquet
-from wardwatch.streaming import alert_query, alert_sink, append_table, latest
+from wardwatch.streaming import alert_query, alert_sink, append_table, held_counts, latest
 from wardwatch.streaming import rolling_count_stream, update_table
 
 # Users post about twice a day here, so a window of a day and a threshold of two give
@@ -33,6 +34,11 @@ DISTRICT = "7"
 KIND = "victimization_primary"
 AS_OF = datetime(2024, 1, 15, 12, 0, 0)
 
+# The columns of an event, what a count shows, and how far wrong times are ahead.
+EVENT = {"key": "routed_district", "ts": "ts", "event_id": "event_id"}
+COUNTED = ["event_id", "routed_district", "window_count"]
+AHEAD = "INTERVAL 66 YEARS"
+
 # Read what there is, then stop.
 NOW = {"availableNow": True}
 
@@ -343,20 +349,26 @@ def _event_stream(t: Tables, run: str) -> DataFrame:
     return t.spark.readStream.schema(t.events().schema).parquet(f"{run}/in")
 
 
-def _batches(t: Tables, run: str, parts: list[DataFrame]) -> DataFrame:
-    """A stream that reads one part after another, each as a batch."""
+def _in_parts(
+    t: Tables, run: str, parts: list[DataFrame], start: Callable[[DataFrame], StreamingQuery]
+) -> None:
+    """Runs a streaming query over one part after another, each as one batch."""
     for part in parts:
-        part.coalesce(1).write.mode("append").parquet(f"{run}/in")
-    stream = t.spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1)
-    return stream.parquet(f"{run}/in")
+        part.write.mode("append").parquet(f"{run}/in")
+        start(t.spark.readStream.schema(part.schema).parquet(f"{run}/in")).awaitTermination()
 
 
 def stream_totals(t: Tables) -> DataFrame:
     run = scratch_path(t.spark, "totals")
     parts = [t.events().filter(F.pmod("event_id", F.lit(3)) == part) for part in range(3)]
-    totals = ops.key_totals(_batches(t, run, parts), "routed_district")
-    update_table(totals, f"{run}/out", f"{run}/checkpoint", NOW).awaitTermination()
-    return latest(t.spark, f"{run}/out", ["routed_district"])
+    keys = ["routed_district"]
+
+    def start(events: DataFrame) -> StreamingQuery:
+        totals = ops.key_totals(events, *keys)
+        return update_table(totals, f"{run}/out", f"{run}/checkpoint", keys, NOW)
+
+    _in_parts(t, run, parts, start)
+    return latest(t.spark, f"{run}/out", keys)
 
 
 def stream_windows(t: Tables) -> DataFrame:
@@ -371,30 +383,47 @@ def stream_windows(t: Tables) -> DataFrame:
 
 def stream_counts(t: Tables) -> DataFrame:
     run = scratch_path(t.spark, "counts")
-    events = _event_stream(t, run)
+    _count_start(run)(_event_stream(t, run)).awaitTermination()
+    return read_table(t.spark, f"{run}/out").select(*COUNTED)
+
 
+def _count_start(run: str, **options) -> Callable[[DataFrame], StreamingQuery]:
     def emit(counted: DataFrame, batch_id: int) -> None:
         write_parquet(counted, f"{run}/out/batch_id={batch_id}")
 
-    rolling_count_stream(
+    return lambda events: rolling_count_stream(
         events,
         emit,
-        key="routed_district",
-        ts="ts",
-        event_id="event_id",
+        **EVENT,
         state_dir=f"{run}/state",
         checkpoint_dir=f"{run}/checkpoint",
         window_seconds=WINDOW,
         trigger=NOW,
-    ).awaitTermination()
-    counted = read_table(t.spark, f"{run}/out")
-    return counted.select("event_id", "routed_district", "window_count")
+        **options,
+    )
+
+
+def _by_time(rows: DataFrame, ts: str) -> list[DataFrame]:
+    """Three parts, as events arrive: before the 11th, before the 21st, and later."""
+    day = F.dayofmonth(ts)
+    return [rows.filter(part) for part in (day <= 10, (day > 10) & (day <= 20), day > 20)]
+
+
+def stream_counts_ahead(t: Tables) -> DataFrame:
+    """Events as they arrive, one in 200 again on the same key with a time 66 years ahead."""
+    run = scratch_path(t.spark, "ahead")
+    events = t.events()
+    wrong = events.filter(F.pmod("event_id", F.lit(200)) == 0).withColumns(
+        {"event_id": -F.col("event_id") - 1, "ts": F.col("ts") + F.expr(AHEAD)}
+    )
+    _in_parts(t, run, _by_time(events.unionByName(wrong), "ts"), _count_start(run))
+    return read_table(t.spark, f"{run}/out").select(*COUNTED)
 
 
 def stream_counts_shuffled(t: Tables) -> DataFrame:
     """Events out of order over three batches, far future ones under a key of their own.
 
-    A last batch closes every key, so that all events come out.
+    Those that still wait for later ones in the end are read from what the query keeps.
     """
     run = scratch_path(t.spark, "shuffled")
     events = t.events()
@@ -407,33 +436,12 @@ def stream_counts_shuffled(t: Tables) -> DataFrame:
         for part in range(3)
         for rows in (events.unionByName(future),)
     ]
-    last = events.groupBy("routed_district").agg(F.max("ts").alias("ts"))
-    closing = last.select(
-        *[
-            F.col(name) if name == "routed_district"
-            else ahead.alias(name) if name == "ts"
-            else F.lit(None).cast(events.schema[name].dataType).alias(name)
-            for name in events.columns
-        ]
+    _in_parts(t, run, parts, _count_start(run, lateness_seconds=LATENESS))
+    held = held_counts(
+        t.spark, f"{run}/state", **EVENT, window_seconds=WINDOW, lateness_seconds=LATENESS
     )
-
-    def emit(counted: DataFrame, batch_id: int) -> None:
-        write_parquet(counted, f"{run}/out/batch_id={batch_id}")
-
-    rolling_count_stream(
-        _batches(t, run, [*parts, closing]),
-        emit,
-        key="routed_district",
-        ts="ts",
-        event_id="event_id",
-        state_dir=f"{run}/state",
-        checkpoint_dir=f"{run}/checkpoint",
-        window_seconds=WINDOW,
-        lateness_seconds=LATENESS,
-        trigger=NOW,
-    ).awaitTermination()
-    counted = read_table(t.spark, f"{run}/out").filter("event_id >= 0")
-    return counted.select("event_id", "routed_district", "window_count")
+    counted = read_table(t.spark, f"{run}/out").select(*COUNTED).unionByName(held.select(*COUNTED))
+    return counted.filter("event_id >= 0")
 
 
 def _alert_run(t: Tables, **targets: str) -> str:
@@ -451,6 +459,29 @@ def _alert_run(t: Tables, **targets: str) -> str:
     return run
 
 
+def stream_alerts_ahead(t: Tables) -> DataFrame:
+    """Alerts of messages as they arrive, one in 200 again with a time 66 years ahead."""
+    run = scratch_path(t.spark, "alerts-ahead")
+    messages = t.messages()
+    wrong = messages.filter(F.pmod(F.col("message_id").cast("long"), F.lit(200)) == 0).withColumns(
+        {"timestamp": F.col("timestamp") + F.expr(AHEAD), "message_id": F.concat(F.lit("ahead"), "message_id")}
+    )
+
+    def start(arriving: DataFrame) -> StreamingQuery:
+        return alert_query(
+            arriving,
+            alert_sink(table=f"{run}/table"),
+            state_dir=f"{run}/state",
+            checkpoint_dir=f"{run}/checkpoint",
+            window_seconds=WINDOW,
+            threshold=THRESHOLD,
+            trigger=NOW,
+        )
+
+    _in_parts(t, run, _by_time(messages.unionByName(wrong), "timestamp"), start)
+    return _local(read_table(t.spark, f"{run}/table").drop("run", "batch_id"), "triggered_at")
+
+
 def stream_alerts(t: Tables) -> DataFrame:
     alerts = read_table(t.spark, _alert_run(t, table="table") + "/table")
     alerts = alerts.drop("run", "batch_id")
@@ -695,7 +726,9 @@ QUERIES: dict[str, Query] = {
         "sliding_counts_stream": stream_windows,
         "rolling_count_stream": stream_counts,
         "rolling_count_stream_shuffled": stream_counts_shuffled,
+        "rolling_count_stream_ahead": stream_counts_ahead,
         "alert_query": stream_alerts,
+        "alert_query_ahead": stream_alerts_ahead,
         "alert_documents": stream_documents,
         "alert_both_targets": stream_both_targets,
         # Hotspots

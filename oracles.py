@@ -515,3 +515,21 @@ ORACLES["alert_both_targets"] = f"""
     SELECT target, a.* FROM ({alerts(GOOD)}) a, (VALUES ('table'), ('documents')) t(target)
 """
 ORACLES["route_rows"] = f"SELECT message_id, routed_district FROM ({GOOD})"
+
+
+def with_ahead(events: str) -> str:
+    """The events, and one in 200 again with a time 66 years ahead."""
+    return f"""
+        SELECT * FROM ({events}) UNION ALL BY NAME
+        SELECT * REPLACE (ts + INTERVAL 66 YEARS AS ts, {{changes}}) FROM ({events})
+        WHERE event_id % 200 = 0
+    """
+
+
+COUNTED_AHEAD = counted(with_ahead(EVENTS).format(changes="-event_id - 1 AS event_id"))
+ORACLES["rolling_count_stream_ahead"] = f"""
+    SELECT event_id, routed_district, window_count FROM ({COUNTED_AHEAD})
+"""
+ORACLES["alert_query_ahead"] = alerts(
+    with_ahead(GOOD).format(changes="'ahead' || message_id AS message_id")
+)

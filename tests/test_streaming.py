@@ -11,8 +11,9 @@ from helpers import plan, rows
 from wardwatch import operators as ops
 from wardwatch.sources import event_source, read_table, write_parquet
 from wardwatch.sources.events import MESSAGE_SCHEMA
-from wardwatch.streaming import alert_query, alert_sink, latest, rolling_count_stream
-from wardwatch.streaming import stream_counters, update_table
+from wardwatch.streaming import alert_query, alert_sink, held_counts, latest
+from wardwatch.streaming import rolling_count_stream, stream_counters, update_table
+from wardwatch.streaming.levels import Levels
 
 START = datetime(2024, 3, 1)
 NOW = {"availableNow": True}
@@ -193,25 +194,32 @@ def test_a_future_time_changes_no_other_key(spark, tmp_path):
 
 def test_an_event_far_behind_is_no_low_count(spark, tmp_path):
     folder = Folder(spark, tmp_path, EVENTS)
-    folder.add(seconds(0, 1, 1000))
-    folder.add(seconds(2, 1001, first=3))
+    folder.add(seconds(0, 1, 1000, 1000))
+    folder.add(seconds(2, 1001, first=4))
     counted = run_counts(folder)
-    assert rows(counted, "id", "window_count") == [(0, 1), (1, 2), (2, 1), (3, None), (4, 2)]
+    assert rows(counted, "id", "window_count") == [
+        (0, 1),
+        (1, 2),
+        (2, 1),
+        (3, 2),
+        (4, None),
+        (5, 3),
+    ]
     counters = stream_counters(spark, folder.place("state"))
     assert rows(counters, "batch_id", "late", "untimed") == [(0, 0, 0), (1, 1, 0)]
 
 
 def test_late_events_have_an_output(spark, tmp_path):
     folder = Folder(spark, tmp_path, EVENTS)
-    folder.add(seconds(0, 1, 1000))
-    folder.add(seconds(2, 1001, first=3))
+    folder.add(seconds(0, 1, 1000, 1000))
+    folder.add(seconds(2, 1001, first=4))
 
     def late(rows, batch_id):
         write_parquet(rows, folder.place(f"late/batch_id={batch_id}"))
 
     counted = run_counts(folder, late=late)
-    assert rows(counted, "id", "window_count") == [(0, 1), (1, 2), (2, 1), (4, 2)]
-    assert rows(read_table(spark, folder.place("late")), "id", "note") == [(3, "")]
+    assert rows(counted, "id", "window_count") == [(0, 1), (1, 2), (2, 1), (3, 2), (5, 3)]
+    assert rows(read_table(spark, folder.place("late")), "id", "note") == [(4, "")]
 
 
 def test_an_event_behind_by_less_than_a_window_is_exact(spark, tmp_path):
@@ -254,13 +262,72 @@ def test_shuffled_events_within_the_allowance(spark, tmp_path, seed):
 
 
 def test_state_holds_one_window(spark, tmp_path):
-    """And what late events need, here nothing."""
+    """And what late events need, here nothing; older rows go when folders are merged."""
     folder = Folder(spark, tmp_path, EVENTS)
-    for i in range(4):
+    for i in range(9):
         folder.add([("a", START + timedelta(seconds=250 * i), i, "x")])
     run_counts(folder, late_seconds=0)
-    state = read_table(spark, folder.place("state/slot-1"))
-    assert rows(state, "id", "note", "emitted") == [(2, None, True), (3, None, True)]
+    log = Levels(spark, folder.place("state/events"))
+    kept = rows(log.read(log.newest()), "id", "note")
+    assert {(7, None), (8, None)} <= set(kept) and len(kept) < 5
+
+
+def size(path):
+    return sum(file.stat().st_size for file in path.rglob("*.parquet"))
+
+
+def test_a_trigger_writes_in_proportion_to_its_batch(spark, tmp_path):
+    """Twenty batches on one key after one with many keys, which then are silent."""
+    folder = Folder(spark, tmp_path, EVENTS)
+    rng = random.Random(2)
+    names = ["".join(rng.choices("abcdefgh", k=60)) for _ in range(4000)]
+    silent = [(k, START, i, "x") for i, k in enumerate(names)]
+    folder.add(silent)
+    run_counts(folder)
+    rows_of = tmp_path / "state" / "events" / "rows"
+    first = {path.name: size(path) for path in rows_of.iterdir()}
+    written = 0
+    for i in range(20):
+        folder.add(seconds(i, i, first=10_000 + 2 * i))
+    run_counts(folder)
+    later = [path for path in rows_of.iterdir() if path.name not in first]
+    written = max(size(path) for path in later)
+    assert set(first) <= {path.name for path in rows_of.iterdir()}  # carried, not written again
+    assert written < 0.1 * sum(first.values())
+    # A silent key still counts.
+    folder.add([(names[7], START + timedelta(seconds=1), 20_000, "x")])
+    counted = run_counts(folder)
+    assert rows(counted.filter("id >= 20000"), "id", "window_count") == [(20_000, 2)]
+    assert counted.agg({"window_count": "max"}).first()[0] == 40
+
+
+def test_one_wrong_time_costs_its_key_nothing(spark, tmp_path):
+    """An event of 2090 among those of a busy key, which go on in order."""
+    events = seconds(*range(0, 500, 10))
+    wrong = ("a", START + timedelta(days=24_000), 900, "")
+    folder = Folder(spark, tmp_path, EVENTS)
+    folder.add(events[:25] + [wrong])
+    folder.add(events[25:])
+    counted = run_counts(folder)
+    assert rows(counted, "id", "k", "note", "window_count") == batch_counts(spark, [*events, wrong])
+    assert counted.filter("window_count IS NULL").count() == 0
+
+
+def test_a_wrong_time_lets_no_event_out_early(spark, tmp_path):
+    """With an allowance, later events of the key still come before those that wait."""
+    folder = Folder(spark, tmp_path, EVENTS)
+    order = [0, 10, 20, 40, 30, 60, 50, 80, 70, 90]
+    events = seconds(*order)
+    wrong = ("a", START + timedelta(days=24_000), 900, "")
+    folder.add([events[0], wrong, *events[1:4]])
+    folder.add(events[4:])
+    counted = run_counts(folder, lateness_seconds=30)
+    held = held_counts(
+        spark, folder.place("state"), "k", "ts", "id", lateness_seconds=30
+    )
+    assert counted.filter("id = 900").count() == 0 and held.filter("id = 900").count() == 1
+    every = counted.select(held.columns).unionByName(held)
+    assert rows(every, "id", "k", "note", "window_count") == batch_counts(spark, [*events, wrong])
 
 
 def message(i, second, district="8", **fields):
@@ -349,9 +416,9 @@ def test_totals_of_changed_keys(spark, tmp_path):
     stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1)
     totals = ops.key_totals(stream.parquet(str(folder.input)), "k")
     path = folder.place("totals")
-    update_table(totals, path, folder.place("checkpoint"), NOW).awaitTermination()
+    update_table(totals, path, folder.place("checkpoint"), ["k"], NOW).awaitTermination()
     assert rows(latest(spark, path, ["k"])) == [(None, 2), ("a", 2), ("b", 2)]
-    assert rows(read_table(spark, path).filter("batch_id = 1"), "k") == [("b",)]
+    assert rows(read_table(spark, f"{path}/rows/1-0"), "k") == [("b",)]
 
 
 def test_builtin_counts_on_a_stream(spark, tmp_path):

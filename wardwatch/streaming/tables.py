@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wardwatch.sources import write_parquet
+from wardwatch.streaming.levels import Levels
 
 EVERY = {"processingTime": "10 seconds"}
 
@@ -44,16 +45,23 @@ def replace_table(
 
 
 def update_table(
-    counts: DataFrame, path: str, checkpoint_dir: str, trigger: dict | None = None
+    counts: DataFrame,
+    path: str,
+    checkpoint_dir: str,
+    keys: list[str],
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Write the groups that each batch changed, under its number; see ``latest``.
+    """Add the groups that each batch changed; ``latest`` gives the last state of each.
 
-    What is written per trigger grows with the batch, not with all groups ever seen, and
-    what is written stays, so readers always find a table. A repeated batch replaces its own.
+    What is written per trigger grows with the batch, not with all groups ever seen. Changes
+    of several batches are merged to the last of each group (``levels``), so the number of
+    folders grows with the logarithm of what was written. Readers always find a table. A
+    repeated batch replaces its own changes.
     """
 
     def write(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        changes = changed.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        Levels(changed.sparkSession, path).add(batch_id, changes, lambda rows: _last(rows, keys))
 
     return (
         counts.writeStream.foreachBatch(write)
@@ -64,9 +72,18 @@ def update_table(
     )
 
 
-def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The state of each group after its last change in a table of ``update_table``."""
-    changes = spark.read.parquet(path)
+def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame | None:
+    """The state of each group after its last change in a table of ``update_table``.
+
+    None before the first change.
+    """
+    log = Levels(spark, path)
+    changes = log.read(log.newest())
+    return None if changes is None else _last(changes, keys).drop("batch_id")
+
+
+def _last(changes: DataFrame, keys: list[str]) -> DataFrame:
     values = [name for name in changes.columns if name not in (*keys, "batch_id")]
-    last = [F.max_by(name, "batch_id").alias(name) for name in values]
-    return changes.groupBy(*keys).agg(*last)
+    last = F.max_by(F.struct(*values), "batch_id").alias("_last")
+    found = changes.groupBy(*keys).agg(last, F.max("batch_id").alias("batch_id"))
+    return found.select(*keys, "_last.*", "batch_id")
