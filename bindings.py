@@ -517,12 +517,12 @@ def hotspot_checks(t: Tables) -> DataFrame:
     against the few centres.
     """
     points = t.points()
-    model, positions = ops.fit_hotspots(points)
+    model, positions = ops.fit_kmeans(points)
     sizes = ops.cluster_sizes(model, positions)
     labelled = ops.label_points(model, points, ["id"])
-    centres = [tuple(map(float, centre)) for centre in model.clusterCenters()]
     square = [
-        (F.col("latitude") - lat) ** 2 + (F.col("longitude") - lon) ** 2 for lat, lon in centres
+        (F.col("latitude") - lat) ** 2 + (F.col("longitude") - lon) ** 2
+        for lat, lon in model.centres
     ]
     own = F.element_at(F.array(*square), F.col("cluster") + 1)
     wrong = labelled.agg(F.count_if(own > F.least(*square) + 1e-9).alias("n"))

@@ -533,3 +533,58 @@ ORACLES["rolling_count_stream_ahead"] = f"""
 ORACLES["alert_query_ahead"] = alerts(
     with_ahead(GOOD).format(changes="'ahead' || message_id AS message_id")
 )
+
+
+def clustering(k: int = 10, rounds: int = 20) -> str:
+    """CTEs ``positions``, ``points`` and ``centres``: farthest points, then rounds of means."""
+    square = "(gx - cx) * (gx - cx) + (gy - cy) * (gy - cy)"
+    grid = [f"floor(CAST(embedding[{i}] AS DOUBLE) * 1e9 + 0.5)" for i in (1, 2)]
+    ctes = [
+        f"points AS (SELECT *, {grid[0]} AS gx, {grid[1]} AS gy {LOCATED})",
+        "positions AS MATERIALIZED (SELECT gx, gy, count(*) AS n FROM points GROUP BY gx, gy)",
+        """c0 AS MATERIALIZED (
+            SELECT 0 AS id, gx AS cx, gy AS cy FROM positions ORDER BY n DESC, gx, gy LIMIT 1)""",
+    ]
+    for i in range(1, k):
+        ctes.append(f"""c{i} AS MATERIALIZED (
+            SELECT * FROM c{i - 1} UNION ALL (
+                SELECT {i}, gx, gy FROM (
+                    SELECT gx, gy, n, min({square}) AS d FROM positions, c{i - 1}
+                    GROUP BY gx, gy, n)
+                WHERE d > 0 ORDER BY n * d DESC, gx, gy LIMIT 1))""")
+    for i in range(k, k + rounds):
+        ctes.append(f"""c{i} AS MATERIALIZED (
+            SELECT c.id, coalesce(x, cx) AS cx, coalesce(y, cy) AS cy FROM c{i - 1} c LEFT JOIN (
+                SELECT id, CAST(sum(CAST(gx AS BIGINT) * n) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS x,
+                       CAST(sum(CAST(gy AS BIGINT) * n) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS y
+                FROM (SELECT gx, gy, n, arg_min(id, {{'d': {square}, 'id': id}}) AS id
+                      FROM positions, c{i - 1} GROUP BY gx, gy, n)
+                GROUP BY id) m ON m.id = c.id)""")
+    ctes.append(f"centres AS (SELECT * FROM c{k + rounds - 1})")
+    ctes.append(f"""nearest AS MATERIALIZED (
+        SELECT gx, gy, n, arg_min(id, {{'d': {square}, 'id': id}}) AS id
+        FROM positions, centres GROUP BY gx, gy, n)""")
+    return "WITH " + ", ".join(ctes)
+
+
+HOTSPOTS = f"""
+    {clustering()}
+    SELECT CAST(c.id AS INTEGER) AS cluster_id, cx / 1e9 AS centroid_latitude,
+           cy / 1e9 AS centroid_longitude, s.n AS crime_count
+    FROM centres c LEFT JOIN (
+        SELECT id, CAST(sum(n) AS BIGINT) AS n FROM nearest GROUP BY id) s ON s.id = c.id
+"""
+SHOWN_HOTSPOTS = f"""
+    SELECT cluster_id, centroid_latitude AS lat, centroid_longitude AS lon, crime_count
+    FROM ({HOTSPOTS})
+"""
+ORACLES["hotspots"] = HOTSPOTS
+ORACLES["labelled_points"] = f"""
+    {clustering()}
+    SELECT vec_id AS id, label AS primary_type, label AS district,
+           CAST(embedding[1] AS DOUBLE) AS latitude, CAST(embedding[2] AS DOUBLE) AS longitude,
+           CAST(id AS INTEGER) AS cluster
+    FROM points JOIN nearest USING (gx, gy)
+"""
+for name in ("v_hotspot_map", "v_cluster_stats"):
+    ORACLES[name] = ORACLES[f"{name}_by_label"].replace(SPOTS, SHOWN_HOTSPOTS)

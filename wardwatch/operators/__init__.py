@@ -6,6 +6,7 @@ from wardwatch.operators.counting import share, tally, trends  # noqa: F401
 from wardwatch.operators.hotspots import (  # noqa: F401
     cluster_sizes,
     fit_hotspots,
+    fit_kmeans,
     fit_summary,
     label_points,
     located,

@@ -112,9 +112,9 @@ def batch_tables(
     }
 
 
-def hotspot_tables(crimes: DataFrame, k: int = 10, seed: int = 42) -> dict[str, DataFrame]:
+def hotspot_tables(crimes: DataFrame, k: int = 10) -> dict[str, DataFrame]:
     """The two tables of the clustering and the summary of its fit; fits the model."""
-    model, positions = fit_hotspots(crimes, k=k, seed=seed)
+    model, positions = fit_hotspots(crimes, k=k)
     keep = ["id", "primary_type", "district"]
     return {
         "hotspots": cluster_sizes(model, positions),
@@ -123,7 +123,7 @@ def hotspot_tables(crimes: DataFrame, k: int = 10, seed: int = 42) -> dict[str,
     }
 
 
-def run_batch(inputs: dict[str, DataFrame], write: Write, k: int = 10, seed: int = 42) -> None:
+def run_batch(inputs: dict[str, DataFrame], write: Write, k: int = 10) -> None:
     """Build all 19 tables and the summary of the fit, and hand each to ``write(df, name)``.
 
     ``inputs`` are the cleaned tables by dataset name. A ``write`` is, for example,
@@ -136,6 +136,6 @@ def run_batch(inputs: dict[str, DataFrame], write: Write, k: int = 10, seed: int
         inputs["sex_offenders"],
         inputs["police_stations"],
     )
-    tables |= hotspot_tables(inputs["crimes"], k, seed)
+    tables |= hotspot_tables(inputs["crimes"], k)
     for name, table in tables.items():
         write(table, name)
