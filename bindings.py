@@ -20,8 +20,9 @@ from wardwatch.schemas import ALERT_SCHEMA, COLUMNS
 from wardwatch.session import DEFAULTS, scratch_path
 from wardwatch.sources import event_source, read_csv_dataset, read_result, read_table
 from wardwatch.sources import write_parquet
+from wardwatch.sources.publication import Publication, published
 from wardwatch.streaming import alert_query, alert_sink, append_table, held_counts, latest
-from wardwatch.streaming import rolling_count_stream, update_table
+from wardwatch.streaming import open_windows, rolling_count_stream, stage_counters, update_table
 
 # Users post about twice a day here, so a window of a day and a threshold of two give
 # alerts of every severity.
@@ -381,6 +382,61 @@ def stream_windows(t: Tables) -> DataFrame:
     return _local(read_table(t.spark, f"{run}/out"), "window_start", "window_end")
 
 
+def stream_all_windows(t: Tables) -> DataFrame:
+    """Windows that are closed when the stream has been read, and those still open."""
+    run = scratch_path(t.spark, "all-windows")
+    windows = ops.sliding_counts(
+        _event_stream(t, run), "routed_district", "ts", WINDOW, SLIDE, "10 minutes"
+    )
+    append_table(windows, f"{run}/out", f"{run}/checkpoint", NOW).awaitTermination()
+    still_open = open_windows(t.spark, f"{run}/checkpoint", "routed_district")
+    every = read_table(t.spark, f"{run}/out").unionByName(still_open)
+    return _local(every, "window_start", "window_end")
+
+
+def stream_snapshots(t: Tables) -> DataFrame:
+    """Live counts of a running stream after each of three batches."""
+    run = scratch_path(t.spark, "snapshots")
+
+    def snapshot(live: DataFrame, batch_id: int) -> None:
+        write_parquet(live, f"{run}/live/batch_id={batch_id}")
+
+    _in_parts(t, run, _by_time(t.events(), "ts"), _count_start(run, snapshot=snapshot))
+    return read_table(t.spark, f"{run}/live").withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+def stream_stages(t: Tables) -> DataFrame:
+    """Counters of all stages of an alert chain, summed over its batches."""
+    run = scratch_path(t.spark, "stages")
+
+    def start(arriving: DataFrame) -> StreamingQuery:
+        return alert_query(
+            arriving,
+            alert_sink(table=f"{run}/table"),
+            state_dir=f"{run}/state",
+            checkpoint_dir=f"{run}/checkpoint",
+            window_seconds=WINDOW,
+            threshold=THRESHOLD,
+            trigger=NOW,
+        )
+
+    _in_parts(t, run, _by_time(t.messages(), "timestamp"), start)
+    counters = stage_counters(t.spark, f"{run}/state")
+    return counters.agg(
+        *[F.sum(name).alias(name) for name in counters.columns if name != "batch_id"]
+    )
+
+
+def published_trends(t: Tables) -> DataFrame:
+    """A table of the second of two publications."""
+    root = scratch_path(t.spark, "published")
+    for dated in (t.crimes("date").limit(10), t.crimes("date")):
+        with Publication(t.spark, root) as write:
+            for name, table in batch.trend_tables(dated).items():
+                write(table, name)
+    return published(t.spark, root)["crime_trends_by_year"]
+
+
 def stream_counts(t: Tables) -> DataFrame:
     run = scratch_path(t.spark, "counts")
     _count_start(run)(_event_stream(t, run)).awaitTermination()
@@ -724,6 +780,10 @@ QUERIES: dict[str, Query] = {
         # Streams
         "key_totals_stream": stream_totals,
         "sliding_counts_stream": stream_windows,
+        "sliding_counts_stream_all": stream_all_windows,
+        "window_snapshot_stream": stream_snapshots,
+        "stage_counters": stream_stages,
+        "published_trends": published_trends,
         "rolling_count_stream": stream_counts,
         "rolling_count_stream_shuffled": stream_counts_shuffled,
         "rolling_count_stream_ahead": stream_counts_ahead,

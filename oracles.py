@@ -588,3 +588,29 @@ ORACLES["labelled_points"] = f"""
 """
 for name in ("v_hotspot_map", "v_cluster_stats"):
     ORACLES[name] = ORACLES[f"{name}_by_label"].replace(SPOTS, SHOWN_HOTSPOTS)
+ORACLES["sliding_counts_stream_all"] = SLIDING
+ORACLES["published_trends"] = BY_YEAR
+ORACLES["window_snapshot_stream"] = f"""
+    WITH ends AS (
+        SELECT 0 AS batch_id, max(ts) AS newest FROM events WHERE day(ts) <= 10
+        UNION ALL SELECT 1, max(ts) FROM events WHERE day(ts) <= 20
+        UNION ALL SELECT 2, max(ts) FROM events
+    )
+    SELECT CAST(batch_id AS BIGINT) AS batch_id, CAST(user_id AS VARCHAR) AS routed_district,
+           count(*) AS window_count
+    FROM events, ends
+    WHERE epoch_us(ts) > epoch_us(newest) - {WINDOW_US} AND ts <= newest GROUP BY ALL
+"""
+ORACLES["stage_counters"] = f"""
+    SELECT (SELECT count(*) FROM events) AS messages_consumed,
+           (SELECT count(*) FROM ({GOOD})) AS parsed,
+           (SELECT count(*) FROM events WHERE event_type = 'error') AS malformed,
+           (SELECT count(*) FROM events WHERE event_type = 'view') AS missing_fields,
+           (SELECT count(*) FROM events WHERE event_type = 'signup') AS errors,
+           count(*) AS routed, count(*) FILTER (routed_district = 'UNKNOWN') AS unknown_district,
+           count(window_count) AS events_checked,
+           count(*) FILTER (window_count >= {THRESHOLD}) AS anomalies_detected,
+           count(*) FILTER (window_count >= {THRESHOLD}) AS alerts_written,
+           CAST(0 AS BIGINT) AS sink_errors
+    FROM ({counted(GOOD)})
+"""

@@ -11,8 +11,9 @@ from helpers import plan, rows
 from wardwatch import operators as ops
 from wardwatch.sources import event_source, read_table, write_parquet
 from wardwatch.sources.events import MESSAGE_SCHEMA
-from wardwatch.streaming import alert_query, alert_sink, held_counts, latest
-from wardwatch.streaming import rolling_count_stream, stream_counters, update_table
+from wardwatch.streaming import alert_query, alert_sink, append_table, held_counts, latest
+from wardwatch.streaming import live_counts, open_windows, rolling_count_stream, stage_counters
+from wardwatch.streaming import stream_counters, update_table
 from wardwatch.streaming.levels import Levels
 
 START = datetime(2024, 3, 1)
@@ -398,6 +399,81 @@ def test_a_new_checkpoint_overwrites_no_alerts(spark, alert_folder):
     assert set(before) < set(after) and len(after) == 2 * len(before) + 1
 
 
+def test_counters_of_all_stages(spark, alert_folder):
+    run_alerts(alert_folder)
+    counters = stage_counters(spark, alert_folder.place("state"))
+    names = ["parsed", "malformed", "errors", "routed", "events_checked", "anomalies_detected"]
+    assert rows(counters, "batch_id", *names, "alerts_written", "sink_errors") == [
+        (0, 4, 0, 0, 4, 4, 0, 0, 0),
+        (1, 3, 1, 1, 3, 3, 2, 2, 0),
+        (2, 1, 0, 0, 1, 1, 0, 0, 0),
+    ]
+
+
+def test_a_failing_sink_is_counted(spark, alert_folder):
+    def sink(alerts, batch_id):
+        raise RuntimeError("no place")
+
+    query = alert_query(
+        event_source(spark, path=str(alert_folder.input)),
+        sink,
+        state_dir=alert_folder.place("state"),
+        checkpoint_dir=alert_folder.place("checkpoint"),
+        trigger=NOW,
+    )
+    with pytest.raises(Exception, match="no place"):
+        query.awaitTermination()
+    counters = stage_counters(spark, alert_folder.place("state"))
+    assert rows(counters, "anomalies_detected", "alerts_written", "sink_errors") == [(2, 0, 2)]
+
+
+def test_live_counts_of_a_running_stream(spark, tmp_path):
+    """A silent key falls out of the snapshot as the others go on."""
+    folder = Folder(spark, tmp_path, EVENTS)
+    parts = [
+        seconds(0, 10, 20) + seconds(5, key="b", first=10),
+        seconds(200, 310, first=20),
+        seconds(600, 601, key=None, first=30),
+    ]
+    for part in parts:
+        folder.add(part)
+    taken = {}
+
+    def snapshot(live, batch_id):
+        taken[batch_id] = rows(live)
+
+    run_counts(folder, snapshot=snapshot)
+    assert taken == {
+        0: [("a", 3), ("b", 1)],
+        1: [("a", 3)],
+        2: [(None, 2), ("a", 1)],
+    }
+    for batch_id, end in enumerate((20, 310, 601)):
+        arrived = spark.createDataFrame(sum(parts[: batch_id + 1], []), EVENTS)
+        at = START + timedelta(seconds=end)
+        assert taken[batch_id] == rows(ops.window_snapshot(arrived, "k", "ts", at))
+    now = live_counts(spark, folder.place("state"), "k", "ts")
+    assert rows(now) == taken[2]
+    later = START + timedelta(seconds=901)
+    assert rows(live_counts(spark, folder.place("state"), "k", "ts", as_of=later)) == []
+
+
+def test_closed_and_open_windows_are_all(spark, tmp_path):
+    events = some_events(60)
+    folder = Folder(spark, tmp_path, EVENTS)
+    folder.add(events[:30])
+    folder.add(events[30:])
+    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1)
+    windows = ops.sliding_counts(stream.parquet(str(folder.input)), "k", "ts")
+    place = folder.place("checkpoint")
+    append_table(windows, folder.place("out"), place, NOW).awaitTermination()
+    closed = read_table(spark, folder.place("out"))
+    still_open = open_windows(spark, place, "k")
+    assert still_open.count() > 0
+    table = spark.createDataFrame(events, EVENTS)
+    assert rows(closed.unionByName(still_open)) == rows(ops.sliding_counts(table, "k", "ts"))
+
+
 def test_counters_are_in_the_progress(spark, alert_folder):
     query = run_alerts(alert_folder)
     counters = [p["observedMetrics"]["parse_stats"] for p in query.recentProgress]

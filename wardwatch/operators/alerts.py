@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardwatch.functions import alert_id, severity
@@ -44,12 +44,26 @@ def detect_anomalies(
     )
 
 
+def route_counters(key: str = "routed_district") -> dict[str, Column]:
+    """Events with a key to count under, and those under none."""
+    return {
+        "routed": F.count("*"),
+        "unknown_district": F.count_if(F.col(key) == "UNKNOWN"),
+    }
+
+
+def check_counters(threshold: int = 5) -> dict[str, Column]:
+    """Events that were held against the threshold, and those at or above it."""
+    return {
+        "events_checked": F.count_if(F.col("window_count").isNotNull()),
+        "anomalies_detected": F.count_if(F.col("window_count") >= threshold),
+    }
+
+
 def alert_stats(counted: DataFrame, threshold: int = 5, key: str = "routed_district") -> DataFrame:
     """Counters of the chain: events routed, of those without a key, keys, checked, alerted."""
+    counters = route_counters(key) | check_counters(threshold)
     return counted.agg(
-        F.count("*").alias("routed"),
         F.count_distinct(F.col(key)).alias("active_districts"),
-        F.count_if(F.col(key) == "UNKNOWN").alias("unknown_district"),
-        F.count_if(F.col("window_count").isNotNull()).alias("events_checked"),
-        F.count_if(F.col("window_count") >= threshold).alias("anomalies_detected"),
+        *[column.alias(name) for name, column in counters.items()],
     )

@@ -7,11 +7,13 @@ import json
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from wardwatch.operators import detect_anomalies, parse_events, route_events
+from wardwatch.operators.alerts import check_counters, route_counters
 from wardwatch.operators.messages import parse_counters
 from wardwatch.operators.rolling import MARKS_PER_TASK
+from wardwatch.sources import files
 from wardwatch.streaming.counting import Emit, rolling_count_stream
 
 # Documents keep microseconds, which Spark's own format cuts off.
@@ -34,12 +36,13 @@ def alert_query(
     name: str | None = None,
     late: Emit | None = None,
     drop_repeats: bool = False,
+    snapshot: Emit | None = None,
 ) -> StreamingQuery:
     """Parse, route, count per district, detect, and pass the alerts to ``sink``.
 
     ``messages`` is a stream as ``event_source`` gives it; its ``timestamp`` is the time
-    an event counts at. The counters of the parser show up in the progress of the query
-    under ``parse_stats``. ``late`` and ``drop_repeats`` are those of the rolling count.
+    an event counts at. The counters of all stages are stored per batch; ``stage_counters``
+    gives them. ``late``, ``drop_repeats`` and ``snapshot`` are those of the rolling count.
     """
     parsed = parse_events(messages).observe(
         "parse_stats", *[column.alias(name) for name, column in parse_counters().items()]
@@ -48,16 +51,36 @@ def alert_query(
         "routed_district", F.col("timestamp").alias("event_time"), "message_id", *SHOWN
     )
 
+    routed = routed.observe(
+        "route_stats", *[column.alias(name) for name, column in route_counters().items()]
+    )
     targets: list[Emit] = []
+    stages = f"{state_dir}/stages"
 
     def emit(counted: DataFrame, batch_id: int) -> None:
+        spark = counted.sparkSession
         if not targets:
             for_run = getattr(sink, "for_run", None)
-            run = _run_id(counted.sparkSession, checkpoint_dir) if for_run else ""
+            run = _run_id(spark, checkpoint_dir) if for_run else ""
             targets.append(for_run(run) if for_run else sink)
-        targets[0](detect_anomalies(counted, threshold), batch_id)
+        stored = counted.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            checked = [column.alias(name) for name, column in check_counters(threshold).items()]
+            counts = stored.agg(*checked).first().asDict()
+            try:
+                targets[0](detect_anomalies(stored, threshold), batch_id)
+                counts |= {"alerts_written": counts["anomalies_detected"], "sink_errors": 0}
+            except Exception:
+                counts |= {"alerts_written": 0, "sink_errors": counts["anomalies_detected"]}
+                raise
+            finally:
+                _note(spark, stages, batch_id, "chain", counts)
+        finally:
+            stored.unpersist()
 
-    return rolling_count_stream(
+    listener = _Stages(messages.sparkSession, stages)
+    messages.sparkSession.streams.addListener(listener)
+    query = rolling_count_stream(
         routed,
         emit,
         key="routed_district",
@@ -72,7 +95,62 @@ def alert_query(
         name=name,
         late=late,
         drop_repeats=drop_repeats,
+        snapshot=snapshot,
     )
+    listener.follow(query)
+    return query
+
+
+class _Stages(StreamingQueryListener):
+    """Stores what a query observes, by batch, as long as the query runs."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.query = spark, path, None
+        self.waiting: list = []
+
+    def follow(self, query: StreamingQuery) -> None:
+        self.query = str(query.runId)
+        for progress in self.waiting:
+            self._store(progress)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        # The first batch may come before the query is known here.
+        self._store(event.progress) if self.query else self.waiting.append(event.progress)
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.runId) == self.query:
+            self.spark.streams.removeListener(self)
+
+    def _store(self, progress) -> None:
+        if str(progress.runId) != self.query:
+            return
+        for name, row in progress.observedMetrics.items():
+            _note(self.spark, self.path, progress.batchId, name, row.asDict())
+
+
+def _note(spark: SparkSession, path: str, batch_id: int, name: str, counts: dict) -> None:
+    files.write_text(spark, f"{path}/batch_id={batch_id}/{name}.json", json.dumps(counts))
+
+
+def stage_counters(spark: SparkSession, state_dir: str) -> DataFrame:
+    """Counters of every stage of a running or ended ``alert_query``, a row per batch.
+
+    Parsed and turned-down messages, routed events and those without a key, events checked,
+    anomalies, alerts written and those a failing sink has not taken. A repeated batch
+    replaces its row. Waits for what the listeners of the session have still to store.
+    """
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    counters = list(parse_counters()) + list(route_counters()) + list(check_counters(1))
+    counters += ["alerts_written", "sink_errors"]
+    schema = ", ".join(f"{name} long" for name in counters) + ", batch_id long"
+    rows = spark.read.schema(schema).json(f"{state_dir}/stages")
+    return rows.groupBy("batch_id").agg(*[F.max(name).alias(name) for name in counters])
 
 
 def _run_id(spark: SparkSession, checkpoint_dir: str) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wardwatch.functions import micros
-from wardwatch.operators.rolling import MARKS_PER_TASK, SECOND, rolling_count
+from wardwatch.operators.rolling import MARKS_PER_TASK, SECOND, rolling_count, window_snapshot
 from wardwatch.streaming.levels import Levels
 
 Emit = Callable[[DataFrame, int], None]
@@ -44,6 +45,7 @@ def rolling_count_stream(
     drop_repeats: bool = False,
     ahead_seconds: int | None = None,
     support: float = SUPPORT,
+    snapshot: Emit | None = None,
 ) -> StreamingQuery:
     """Count every event of a stream in its window and hand it to ``emit(df, batch_id)``.
 
@@ -74,6 +76,10 @@ def rolling_count_stream(
     reads what batch n-1 left, and nothing depends on the clock; a repeated batch therefore
     finds its input unchanged and writes the same again. With ``drop_repeats`` an id that was
     seen among the kept events is dropped; otherwise every message counts.
+
+    ``snapshot(df, batch_id)`` gets the live counts after each batch: the keys with events
+    in the window that ends at the newest clock of all keys, and how many. A silent key falls
+    out of it as the others go on. ``live_counts`` gives the same at any time.
     """
     clock = _Clock(
         key,
@@ -141,11 +147,16 @@ def rolling_count_stream(
                 """Without what has expired."""
                 return live(clock.with_clocks(rows, reached), "reached")
 
-            kept_log.add(batch_id, live(pool.filter(~is_late), "_newest"), merge)
+            alive = kept_log.add(batch_id, live(pool.filter(~is_late), "_newest"), merge)
             moved = keys.filter("_newest IS NOT NULL AND _newest IS DISTINCT FROM _reached")
             moved = moved.select(F.col("_of").alias(key), F.col("_newest").alias("reached"))
-            clock_log.add(batch_id, moved, clock.newest, {"recent": recent})
+            furthest = keys.agg(F.max("_newest")).first()[0]
+            now = max((at for at in (furthest, left.note.get("now")) if at is not None), default=None)
+            clock_log.add(batch_id, moved, clock.newest, {"recent": recent, "now": now})
             keys.unpersist()
+            rows = kept_log.read(alive)
+            if snapshot and now is not None and rows is not None:
+                snapshot(clock.live(rows, now), batch_id)
         finally:
             new.unpersist()
 
@@ -186,6 +197,27 @@ def held_counts(
     return counted.filter(~F.col("_settled")).drop("_settled")
 
 
+def live_counts(
+    spark: SparkSession,
+    state_dir: str,
+    key: str,
+    ts: str,
+    window_seconds: int = 300,
+    as_of: datetime | None = None,
+) -> DataFrame | None:
+    """Keys of a running stream with events in the window up to now, and how many.
+
+    Now is the newest clock of all keys, or ``as_of``, which must not be before it. None
+    before any key has a clock.
+    """
+    log, clocks = Levels(spark, f"{state_dir}/events"), Levels(spark, f"{state_dir}/clocks")
+    rows, now = log.read(log.newest()), clocks.newest().note.get("now")
+    if rows is None or now is None:
+        return None
+    end = now if as_of is None else as_of
+    return _Clock(key, ts, window_seconds, 0, 0, 0, SUPPORT).live(rows, end)
+
+
 @dataclass
 class _Clock:
     """How far keys have come, in microseconds; a key without a clock has no row or NULL."""
@@ -215,6 +247,11 @@ class _Clock:
         come = micros(self.ts) <= F.col(newest) - self.lateness_seconds * SECOND
         return F.col(self.ts).isNull() | F.coalesce(come, F.lit(False))
 
+    def live(self, rows: DataFrame, end: int | datetime) -> DataFrame:
+        """(key, window_count) of kept events in the window that ends at ``end``."""
+        at = F.timestamp_micros(F.lit(end)) if isinstance(end, int) else F.lit(end)
+        return window_snapshot(rows, self.key, self.ts, at, self.window_seconds)
+
     def newest(self, clocks: DataFrame | None) -> DataFrame | None:
         """One row per key."""
         if clocks is None:

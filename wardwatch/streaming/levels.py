@@ -18,6 +18,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wardwatch.sources import files
+
 FAN = 8
 
 
@@ -37,16 +39,11 @@ class Levels:
         """What batch ``batch_id`` has left; nothing before the first."""
         if batch_id < 0:
             return Manifest()
-        stream = self._files.open(self._place(f"manifest/{batch_id}"))
-        try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return Manifest(**json.loads(text))
+        return Manifest(**json.loads(files.read_text(self.spark, self._manifest(batch_id))))
 
     def newest(self) -> Manifest:
         """The manifest of the last batch."""
-        return self.manifest(max(map(int, self._names("manifest", str.isdigit)), default=-1))
+        return self.manifest(max(self._batches(), default=-1))
 
     def read(self, manifest: Manifest) -> DataFrame | None:
         """All rows that a manifest lists, or None."""
@@ -73,32 +70,17 @@ class Levels:
             self._store(folders, f"rows/{batch_id}-{step}", merged)
             step += 1
         now = Manifest(folders, note or {})
-        self._write(batch_id, json.dumps({"folders": folders, "note": now.note}))
+        text = json.dumps({"folders": folders, "note": now.note})
+        files.write_text(self.spark, self._manifest(batch_id), text)
         self._forget(batch_id, before, now)
         return now
 
-    @property
-    def _files(self):
-        context = self.spark.sparkContext
-        return self._place("").getFileSystem(context._jsc.hadoopConfiguration())
-
-    def _place(self, name: str):
-        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-
-    def _names(self, folder: str, wanted: Callable[[str], bool]) -> list[str]:
-        place, files = self._place(folder), self._files
-        found = files.listStatus(place) if files.exists(place) else []
-        return [name for name in (status.getPath().getName() for status in found) if wanted(name)]
-
-    def _write(self, batch_id: int, text: str) -> None:
-        """A manifest appears whole or not at all."""
-        draft, place = self._place(f"manifest/{batch_id}.draft"), self._place(f"manifest/{batch_id}")
-        files = self._files
-        out = files.create(draft, True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        files.delete(place, False)
-        files.rename(draft, place)
+    def _manifest(self, batch_id: int) -> str:
+        return f"{self.path}/manifest/{batch_id}"
+
+    def _batches(self) -> list[int]:
+        names = files.names(self.spark, f"{self.path}/manifest")
+        return [int(name) for name in names if name.isdigit()]
 
     def _store(self, folders: dict[str, int], folder: str, rows: DataFrame) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/{folder}")
@@ -115,7 +97,7 @@ class Levels:
     def _forget(self, batch_id: int, before: Manifest, now: Manifest) -> None:
         """Deletes folders that neither this batch nor the one before lists, and old manifests."""
         listed = {*before.folders, *now.folders}
-        old = [f"rows/{name}" for name in self._names("rows", lambda n: f"rows/{n}" not in listed)]
-        past = self._names("manifest", lambda n: n.isdigit() and int(n) < batch_id - 1)
-        for name in (*old, *[f"manifest/{name}" for name in past]):
-            self._files.delete(self._place(name), True)
+        found = [f"rows/{name}" for name in files.names(self.spark, f"{self.path}/rows")]
+        past = [f"manifest/{number}" for number in self._batches() if number < batch_id - 1]
+        for name in (*[name for name in found if name not in listed], *past):
+            files.remove(self.spark, f"{self.path}/{name}")

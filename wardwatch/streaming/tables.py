@@ -28,6 +28,21 @@ def append_table(
     )
 
 
+def open_windows(spark: SparkSession, checkpoint_dir: str, key: str) -> DataFrame:
+    """Windowed counts that the stream of ``append_table`` has not closed yet.
+
+    They are read from the state in its checkpoint, between triggers or when the query has
+    stopped; with the table that it has written these are all windows.
+    """
+    state = spark.read.format("statestore").load(checkpoint_dir)
+    return state.select(
+        F.col(f"key.`{key}`").alias(key),
+        F.col("key.window.start").alias("window_start"),
+        F.col("key.window.end").alias("window_end"),
+        F.col("value.count").alias("event_count"),
+    )
+
+
 def replace_table(
     counts: DataFrame, path: str, checkpoint_dir: str, trigger: dict | None = None
 ) -> StreamingQuery:
