@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wardwatch import operators as ops
 from wardwatch.functions import route_key, severity
 from wardwatch.plans import batch, cleaning, reports, views
+from wardwatch.plans.feed import stored_feed
 from wardwatch.schemas import ALERT_SCHEMA, COLUMNS
 from wardwatch.session import DEFAULTS, scratch_path
 from wardwatch.sources import event_source, read_csv_dataset, read_result, read_table
@@ -269,12 +270,18 @@ def _local(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _via_csv(t: Tables, dataset: str, source: DataFrame, values: dict) -> DataFrame:
-    """Write rows as CSV of a dataset, columns not given left empty, and clean them."""
+    """Rows written as CSV of a dataset, read back and cleaned."""
+    path = _as_csv(t, dataset, source, values)
+    return cleaning.clean(dataset, read_csv_dataset(t.spark, dataset, path)).select(*values)
+
+
+def _as_csv(t: Tables, dataset: str, source: DataFrame, values: dict) -> str:
+    """Write rows as CSV of a dataset, columns not given left empty."""
     columns = COLUMNS[dataset]
     rows = source.select(*[values.get(c, F.lit(None)).cast("string").alias(c) for c in columns])
     path = scratch_path(t.spark, dataset)
     rows.write.option("header", True).option("escape", '"').csv(path)
-    return cleaning.clean(dataset, read_csv_dataset(t.spark, dataset, path)).select(*values)
+    return path
 
 
 def _millis(column: str):
@@ -316,7 +323,7 @@ def csv_stations(t: Tables) -> DataFrame:
     return _via_csv(t, "police_stations", t.stations(), values)
 
 
-def csv_offenders(t: Tables) -> DataFrame:
+def offender_values(t: Tables) -> tuple[DataFrame, dict]:
     values = {
         "last": F.col("last"),
         "block": F.col("block"),
@@ -326,10 +333,14 @@ def csv_offenders(t: Tables) -> DataFrame:
         "weight": F.concat(F.col("weight").cast("string"), F.lit(" lb")),
         "victim_minor": F.col("victim_minor"),
     }
-    return _via_csv(t, "sex_offenders", t.offenders(), values)
+    return t.offenders(), values
 
 
-def csv_violence(t: Tables) -> DataFrame:
+def csv_offenders(t: Tables) -> DataFrame:
+    return _via_csv(t, "sex_offenders", *offender_values(t))
+
+
+def violence_values(t: Tables) -> tuple[DataFrame, dict]:
     values = {
         "case_number": F.col("o_orderkey"),
         "date": _millis("o_orderdate"),
@@ -339,7 +350,11 @@ def csv_violence(t: Tables) -> DataFrame:
         "updated": F.date_format("o_orderdate", "yyyy-MM-dd"),
         "latitude": F.col("o_totalprice"),
     }
-    return _local(_via_csv(t, "violence", t.read("orders"), values), "date", "updated")
+    return t.read("orders"), values
+
+
+def csv_violence(t: Tables) -> DataFrame:
+    return _local(_via_csv(t, "violence", *violence_values(t)), "date", "updated")
 
 
 # Streams: the whole table goes through a streaming query, its output is a table
@@ -535,13 +550,29 @@ def stream_alerts_ahead(t: Tables) -> DataFrame:
         )
 
     _in_parts(t, run, _by_time(messages.unionByName(wrong), "timestamp"), start)
-    return _local(read_table(t.spark, f"{run}/table").drop("run", "batch_id"), "triggered_at")
+    alerts = read_table(t.spark, f"{run}/table").select(*ALERT_SCHEMA.names)
+    return _local(alerts, "triggered_at")
 
 
 def stream_alerts(t: Tables) -> DataFrame:
     alerts = read_table(t.spark, _alert_run(t, table="table") + "/table")
-    alerts = alerts.drop("run", "batch_id")
-    return _local(alerts, "triggered_at")
+    return _local(alerts.select(*ALERT_SCHEMA.names), "triggered_at")
+
+
+def stream_feed(t: Tables) -> DataFrame:
+    """The newest high alerts of a stored table, from its newest days."""
+    return stored_feed(t.spark, _alert_run(t, table="table") + "/table", "HIGH")
+
+
+def csv_rejects(t: Tables) -> DataFrame:
+    """Values that two datasets lose when they are typed, and how often."""
+    found = None
+    for dataset, write in (("sex_offenders", offender_values), ("violence", violence_values)):
+        path = _as_csv(t, dataset, *write(t))
+        raw = read_csv_dataset(t.spark, dataset, path, keep_corrupt=True)
+        lost = cleaning.rejects(dataset, raw)
+        found = lost if found is None else found.unionByName(lost)
+    return found.groupBy("dataset", "column_name", "value").agg(F.count("*").alias("n"))
 
 
 def stream_both_targets(t: Tables) -> DataFrame:
@@ -777,6 +808,7 @@ QUERIES: dict[str, Query] = {
         "clean_stations": csv_stations,
         "clean_offenders": csv_offenders,
         "clean_violence": csv_violence,
+        "csv_rejects": csv_rejects,
         # Streams
         "key_totals_stream": stream_totals,
         "sliding_counts_stream": stream_windows,
@@ -844,6 +876,7 @@ QUERIES: dict[str, Query] = {
         "v_alerts_by_district": lambda t: views.v_alerts_by_district(t.alerts()),
         "v_alert_districts": lambda t: views.v_alert_districts(t.alerts()),
         "v_alert_feed": lambda t: views.v_alert_feed(t.alerts()),
+        "v_alert_feed_stored": stream_feed,
         "v_alert_feed_critical": lambda t: views.v_alert_feed(t.alerts(), "CRITICAL"),
         "v_alert_feed_filtered": lambda t: views.v_alert_feed(t.alerts(), "LOW", DISTRICT),
         # The batch run

@@ -157,12 +157,12 @@ def rate_pct(rates: str, key: str, digits: int = 1) -> str:
     """
 
 
-def feed(where: str, n: int) -> str:
+def feed(where: str, n: int, source: str | None = None) -> str:
     return f"""
     SELECT alert_id, district, severity, crime_count_in_window, window_seconds, threshold,
            latest_crime_type, latest_case_number,
            strftime(triggered_at, '%Y-%m-%d %H:%M:%S') AS triggered_at
-    FROM (SELECT * FROM ({ALERTS}) {where} ORDER BY triggered_at DESC, alert_id LIMIT {n})
+    FROM (SELECT * FROM ({source or ALERTS}) {where} ORDER BY triggered_at DESC, alert_id LIMIT {n})
     """
 
 
@@ -590,6 +590,14 @@ for name in ("v_hotspot_map", "v_cluster_stats"):
     ORACLES[name] = ORACLES[f"{name}_by_label"].replace(SPOTS, SHOWN_HOTSPOTS)
 ORACLES["sliding_counts_stream_all"] = SLIDING
 ORACLES["published_trends"] = BY_YEAR
+ORACLES["v_alert_feed_stored"] = feed("WHERE severity = 'HIGH'", 100, alerts(GOOD))
+ORACLES["csv_rejects"] = """
+    SELECT 'sex_offenders' AS dataset, 'weight' AS column_name,
+           CAST(floor(p_retailprice) AS INTEGER) || ' lb' AS value, count(*) AS n
+    FROM part GROUP BY value
+    UNION ALL SELECT 'violence', 'updated', strftime(o_orderdate, '%Y-%m-%d') AS day, count(*)
+    FROM orders GROUP BY day
+"""
 ORACLES["window_snapshot_stream"] = f"""
     WITH ends AS (
         SELECT 0 AS batch_id, max(ts) AS newest FROM events WHERE day(ts) <= 10

@@ -3,6 +3,7 @@
 from datetime import date, datetime
 
 import pytest
+from helpers import rows
 
 from wardwatch.plans import cleaning
 from wardwatch.schemas import COLUMNS, DATASETS, clean_schema, raw_schema
@@ -173,3 +174,28 @@ def test_partitions_grow_with_the_shuffle():
 def test_scratch_is_in_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark) + "/x-")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_rejected_values_and_records(spark, tmp_path):
+    path = tmp_path / "offenders.csv"
+    lines = [
+        "last,first,block,gender,race,birth_date,height,weight,victim_minor",
+        "A,B,1,M,W,01/02/1970,170,80,N",
+        'C,"D, ""x""",1,M,W,1970-01-02,tall,80,N',
+        "E,F,1,M,W,,,,Y",
+        "G,H,1",
+        'I,"J\nK",1,M,W,01/02/1970,170,8O,N',
+    ]
+    path.write_text("\n".join(lines) + "\n")
+    raw = read_csv_dataset(spark, "sex_offenders", str(path), keep_corrupt=True)
+    found = cleaning.rejects("sex_offenders", raw)
+    assert rows(found, "column_name", "value") == [
+        (None, None),
+        ("birth_date", "1970-01-02"),
+        ("height", "tall"),
+        ("weight", "8O"),
+    ]
+    (short,) = found.filter("column_name IS NULL").collect()
+    assert short["record"].startswith("G,H,1") and short["dataset"] == "sex_offenders"
+    plain = read_csv_dataset(spark, "sex_offenders", str(path))
+    assert plain.columns == raw.columns[:-1] and plain.count() == 5

@@ -14,6 +14,9 @@ from wardwatch.sources.events import MESSAGE_SCHEMA
 from wardwatch.streaming import alert_query, alert_sink, append_table, held_counts, latest
 from wardwatch.streaming import live_counts, open_windows, rolling_count_stream, stage_counters
 from wardwatch.streaming import stream_counters, update_table
+from wardwatch.plans import views
+from wardwatch.plans.feed import stored_feed
+from wardwatch.schemas import ALERT_SCHEMA
 from wardwatch.streaming.levels import Levels
 
 START = datetime(2024, 3, 1)
@@ -374,9 +377,8 @@ def test_alert_chain(spark, alert_folder):
 
 def test_batches_without_alerts_leave_nothing(spark, alert_folder):
     run_alerts(alert_folder)
-    (run,) = (alert_folder.path / "table").iterdir()
-    written = sorted(p.name for p in run.iterdir())
-    assert written == ["batch_id=0", "batch_id=1"]
+    batches = sorted(p.name for p in (alert_folder.path / "table").glob("day=*/run=*/*"))
+    assert batches == ["batch_id=0", "batch_id=1"]
 
 
 def test_alerts_of_a_rerun_are_not_doubled(spark, alert_folder):
@@ -399,6 +401,24 @@ def test_a_new_checkpoint_overwrites_no_alerts(spark, alert_folder):
     assert set(before) < set(after) and len(after) == 2 * len(before) + 1
 
 
+def test_feed_reads_the_newest_days_alone(spark, tmp_path):
+    table = str(tmp_path / "table")
+    shown = [
+        (f"A{n}", "T", str(n % 2), 5, 300, 5, "T", f"C{n}", None, None, None)
+        + (START + timedelta(hours=8 * n), "LOW" if n % 3 else "HIGH")
+        for n in range(60)
+    ]
+    alerts = spark.createDataFrame(shown, ALERT_SCHEMA)
+    alert_sink(table=table)(alerts.limit(0), 0)
+    alert_sink(table=table)(alerts, 1)
+    alert_sink(table=table)(alerts, 1)  # repeated
+    for options in ({}, {"n": 4}, {"severity": "HIGH", "n": 3}, {"district": "1", "severity": "LOW"}):
+        found = stored_feed(spark, table, **options)
+        assert rows(found) == rows(views.v_alert_feed(alerts, **options))
+    days = {path.split("day=")[1][:10] for path in stored_feed(spark, table, n=4).inputFiles()}
+    assert days == {"2024-03-20", "2024-03-19"}
+
+
 def test_counters_of_all_stages(spark, alert_folder):
     run_alerts(alert_folder)
     counters = stage_counters(spark, alert_folder.place("state"))

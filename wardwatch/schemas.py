@@ -67,6 +67,9 @@ DATE_PATTERN = "MM/dd/yyyy"
 
 DATASETS = tuple(COLUMNS)
 
+# Column with the text of a CSV record that does not fit its schema.
+CORRUPT = "_corrupt_record"
+
 # The fields of a stream message, in message order.
 EVENT_FIELDS = """
     id case_number date block primary_type description location_description arrest

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardwatch.schemas import raw_schema
+from wardwatch.schemas import CORRUPT, raw_schema
 
 
 def read_csv_dataset(
@@ -13,6 +13,7 @@ def read_csv_dataset(
     path: str,
     multi_line: bool = True,
     check_header: bool = False,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """Read one dataset with its declared schema; bad numbers become NULL.
 
@@ -20,10 +21,16 @@ def read_csv_dataset(
     name the declared columns. Quoted line breaks need ``multi_line``, under which Spark
     cannot split a file: deliver large exports as many files, or turn it off for exports
     that have no line breaks inside quotes, and each file is split as well.
+    ``keep_corrupt`` adds the text of records that do not fit the schema, for
+    ``plans.cleaning.rejects``.
     """
+    schema = raw_schema(dataset)
+    if keep_corrupt:
+        schema = schema.add(CORRUPT, "string")
     return (
-        spark.read.schema(raw_schema(dataset))
+        spark.read.schema(schema)
         .option("header", True)
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", multi_line)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")

@@ -19,6 +19,9 @@ from wardwatch.streaming.counting import Emit, rolling_count_stream
 # Documents keep microseconds, which Spark's own format cuts off.
 WHOLE_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
+# Where Spark keeps rows without a value of the partition column.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
 # What an alert shows of the event that raised it.
 SHOWN = ["primary_type", "case_number", "block", "latitude", "longitude"]
 
@@ -165,7 +168,7 @@ def alert_sink(
 
     Files of a batch are replaced when the batch is repeated. They lie under the id of the
     query (``run``), which lives in its checkpoint, so a query with another checkpoint only
-    adds to the same table. A JDBC table cannot replace, so only alerts it does not have are
+    adds to the same table. The table is laid out by day first, for ``plans.feed``. A JDBC table cannot replace, so only alerts it does not have are
     appended; it is asked for those between the first and the last of the batch. ``jdbc``
     has ``url``, ``table`` and optional ``properties``.
     """
@@ -179,7 +182,7 @@ def alert_sink(
                     return
                 place = f"run={run}/batch_id={batch_id}"
                 if table:
-                    stored.write.mode("overwrite").parquet(f"{table}/{place}")
+                    _write_by_day(stored, table, run, batch_id)
                 if documents:
                     path = f"{documents}/{place}"
                     stored.write.mode("overwrite").json(
@@ -196,6 +199,22 @@ def alert_sink(
     return for_run("none")
 
 
+def _write_by_day(alerts: DataFrame, table: str, run: str, batch_id: int) -> None:
+    """Replaces the batch's part of each day that it has alerts of."""
+    if alerts.isEmpty():
+        place = f"{table}/day={NO_DAY}/run={run}/batch_id={batch_id}"
+        alerts.write.mode("overwrite").parquet(place)
+        return
+    own = {
+        "day": F.date_format("triggered_at", "yyyy-MM-dd"),
+        "run": F.lit(run),
+        "batch_id": F.lit(batch_id),
+    }
+    writer = alerts.withColumns(own).write.mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*own).parquet(table)
+
+
 def _append_new(alerts: DataFrame, jdbc: dict) -> None:
     url, table, properties = jdbc["url"], jdbc["table"], jdbc.get("properties", {})
     first, last = alerts.agg(F.min("triggered_at"), F.max("triggered_at")).first()
