@@ -22,8 +22,10 @@ from wardwatch.llm.jaccard import stored
 from wardwatch.llm.tiles import QUERIES, best_of_tiles, matrix, merged, usable
 
 K = 5
-# Rows that the tree is fitted to, at most, and rows of the sample per leaf, at least.
+# Rows that a tree is fitted to, and their bytes, at most, and rows of the sample per leaf,
+# at least.
 SAMPLE = 32_768
+SAMPLE_BYTES = 128 * 1024**2
 LEAF = 32
 # Rows per leaf that the tree aims at, until the sample limits the leaves.
 ROWS = 256
@@ -173,12 +175,11 @@ def search(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of each query, by cosine.
 
-    Every row is in the index; the tree is fitted to at most ``SAMPLE`` rows. Ties go to
-    the smaller id. A query visits more leaves while those hold fewer than ``k`` other rows,
+    Every row is in the index: vectors of each length have a tree of their own, fitted to
+    at most ``SAMPLE`` of them, and are compared with each other. Ties go to the smaller id. A query visits more leaves while those hold fewer than ``k`` other rows,
     so that it gets all candidates if there are fewer. Rows take no part if their id or
     vector is null, or the vector is empty, zero or holds a null or non-finite component.
-    The index holds vectors of the length that most rows of the sample have; others take
-    no part. A query's own rows are those of its id; a repeated query id asks once, with its
+    A query's own rows are those of its id; a repeated query id asks once, with its
     least vector, and other repeated rows are candidates of their own. Other columns are
     not read.
     """
@@ -189,15 +190,21 @@ def search(
     )
     zero = F.forall("vector", lambda x: x == 0)
     rows = rows.where(F.col("id").isNotNull() & usable("vector") & ~zero)
-    chosen = sample(rows.select("id", "vector"), "id", SAMPLE).toArrow()
-    lists = chosen["vector"].to_pylist()
-    lengths = [len(v) for v in lists]
-    dim = max(set(lengths), key=lambda n: (lengths.count(n), n)) if lengths else 1
-    rows = rows.where(F.size("vector") == dim)
+    lengths = rows.groupBy(F.size("vector").alias("dim")).agg(F.count("*").alias("n")).collect()
+    found = None
+    for dim, total in sorted(lengths) or [(1, 0)]:
+        some = _search(rows.where(F.size("vector") == dim), dim, total, k, recall)
+        found = some if found is None else found.unionByName(some)
+    return found
+
+
+def _search(rows: DataFrame, dim: int, total: int, k: int, recall: float) -> DataFrame:
+    """``search`` among vectors of one length."""
+    size = min(SAMPLE, max(LEAF, SAMPLE_BYTES // (8 * dim)))
+    chosen = sample(rows.select("id", "vector"), "id", size).toArrow()["vector"]
+    fitted = matrix(chosen.combine_chunks(), dim) if len(chosen) else np.zeros((0, dim))
     # One order, whichever way the rows came.
-    fitted = np.array(sorted(v for v in lists if len(v) == dim), np.float64).reshape(-1, dim)
-    fitted = _unit(fitted)
-    total = rows.count()
+    fitted = _unit(fitted[np.lexsort(fitted.T[::-1])])
     leaves = max(1, min(math.ceil(total / ROWS), len(fitted) // LEAF))
     tree = grow(fitted, math.ceil(len(fitted) / leaves))
     tree.visits = calibrate(tree, fitted, k, recall)
@@ -237,7 +244,9 @@ def search(
             )
 
     asking = indexed.where("asks").groupBy("id").agg(F.min("vector").alias("vector"))
-    visits = asking.repartition("id").mapInArrow(walks, "id long, vector array<double>, cell long")
+    # By number, as Spark would join tasks whose rows are few but whose walks are long.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    visits = asking.repartition(tasks, "id").mapInArrow(walks, "id long, vector array<double>, cell long")
     visits = stored(visits, "visits")
     wanted = {row.cell: row.n for row in visits.groupBy("cell").agg(F.count("*").alias("n")).collect()}
 
