@@ -162,3 +162,20 @@ def test_quality_without_labels(spark):
     none = spark.createDataFrame([(1, None)], "doc_id long, quality int")
     model = quality.train(awkward(spark), none)
     assert {r.score for r in quality.score(awkward(spark), model).collect()} == {0.5}
+
+
+def test_rows_of_an_id_are_bounded_in_learning(spark, monkeypatch):
+    """An id may hold any number of rows, equal or not: the bound is on rows."""
+    monkeypatch.setattr(quality, "SAMPLE_DOCS", 60)
+    seen = []
+    logistic = quality._logistic
+    monkeypatch.setattr(quality, "_logistic", lambda x, y: seen.append(len(y)) or logistic(x, y))
+    rows = [(i % 4, f"line {i} of a text\nand {i * 7} more") for i in range(900)]
+    rows += [(9, "the same text")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in (0, 1, 2, 3, 9)], "doc_id long, quality int")
+    quality.train(docs, labels)
+    assert 20 < seen[0] <= 60
+    seen.clear()
+    quality.train(docs.where("doc_id = 9"), labels)
+    assert seen == [1]

@@ -219,9 +219,10 @@ def train(
 ) -> Model:
     """A model from the documents that ``labels`` marks 1 (good) or 0.
 
-    At most ``SAMPLE_DOCS`` labelled documents are used, of each at most ``STRETCHES``
-    stretches of ``STRETCH_LINES`` lines spread over the whole text. Null labels are left
-    out; where an id has several labels, their mean decides.
+    At most ``SAMPLE_DOCS`` rows of labelled documents are used, chosen by hash, of each at
+    most ``STRETCHES`` stretches of ``STRETCH_LINES`` lines spread over the whole text. Rows
+    of one id and text are one. Null labels are left out; where an id has several labels,
+    their mean decides.
     """
     marks = labels.where(F.col(label_column).isNotNull() & F.col(id_column).isNotNull())
     marks = marks.groupBy(F.col(id_column).alias("key"))
@@ -232,11 +233,21 @@ def train(
         F.col(id_column).alias("key"), F.make_valid_utf8(text_column).alias("text")
     ).join(chosen, "key")
     rows = rows.select(F.xxhash64("key").alias("key"), "label", "text")
+    # An id may have any number of rows: the bound is on these.
+    place = F.xxhash64("key", "text")
+    rows = rows.withColumn("place", place).dropDuplicates(["key", "place"])
+    total = rows.count()
+    if total > SAMPLE_DOCS:
+        share = int(SAMPLE_DOCS / total * 2**53)
+        rows = rows.where(F.pmod("place", F.lit(2**53)) < share)
+    rows = rows.select("key", "label", "text")
     schema = "key long, label int, lengths array<long>, buckets binary"
     found = rows.mapInArrow(_stretches, schema).toArrow()
     if not found.num_rows:
         return Model(None)
     found = found.sort_by([("key", "ascending"), ("buckets", "ascending")])
+    if found.num_rows > SAMPLE_DOCS:  # by chance some more than the share
+        found = found.take(np.linspace(0, found.num_rows - 1, SAMPLE_DOCS).astype(int))
     label = found["label"].to_numpy()
     parts = [np.frombuffer(b, np.int16).reshape(-1, OWN) for b in found["buckets"].to_pylist()]
     sizes = np.array([len(part) for part in parts])
