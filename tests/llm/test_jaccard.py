@@ -19,7 +19,7 @@ def ngrams(text, width=5):
 
 
 def brute(rows):
-    """Per row (id, text): class and number of links, by comparing all distinct sets."""
+    """Per row (id, text): class and number of linked texts, by comparing all distinct sets."""
     sets = [ngrams(t) for _, t in rows]
     distinct = [s for s in dict.fromkeys(sets) if s]
     links = {s: set() for s in distinct}
@@ -43,8 +43,13 @@ def brute(rows):
     for (i, _), s in zip(rows, sets):
         if s and i is not None:
             least[root[s]] = min(least.get(root[s], i), i)
+    texts = {s: len({t for (_, t), own in zip(rows, sets) if own == s}) for s in distinct}
+
+    def linked(s):
+        return sum(texts[other] for other in links[s]) + texts[s] - 1 if s else 0
+
     return sorted(
-        (str(i), str(least.get(root[s]) if s else i), len(links.get(s, ())))
+        (str(i), str(least.get(root[s]) if s else i), linked(s))
         for (i, _), s in zip(rows, sets)
     )
 
@@ -80,6 +85,19 @@ def test_edge_cases(spark):
     assert jaccard.deduplicated(empty(spark)).count() == 0
 
 
+def test_texts_with_equal_ngrams_are_linked(spark):
+    """Other case, white space and repeated stretches; copies of one text are one."""
+    a, b, c = near_copies(4, 3, (1, 2))
+    cycle = "one two three four five "
+    texts = [a, a.upper(), a.replace(" ", "\n"), a, b, b.title(), c]
+    texts += [cycle * 3, cycle * 4, cycle * 5, "short", "SHORT", "short "]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    result = found(jaccard.classes(docs))
+    assert result == brute(rows)
+    assert ("4", "0", 5) in result and ("10", "10", 2) in result
+
+
 def test_deduplicated(spark):
     docs = awkward(spark, [(40 + k, t) for k, t in enumerate(near_copies(1, 5, (1, 3)))])
     kept = jaccard.deduplicated(docs)

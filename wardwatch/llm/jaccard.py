@@ -160,9 +160,11 @@ def components(edges: DataFrame) -> DataFrame:
         seen = digest
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
-        least = least.select("a", F.least("a", "m").alias("m"))
+        # A table, so that Spark may split a node with many edges in the join; so below.
+        least = stored(least.select("a", F.least("a", "m").alias("m")), "least")
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), "m").distinct()
-        least = large.groupBy("a").agg(F.min("m").alias("low"))
+        large = stored(large, "large")
+        least = stored(large.groupBy("a").agg(F.min("m").alias("low")), "lowest")
         small = large.join(least, "a").where("m <> low").select(F.col("m").alias("a"), "low")
         edges = stored(small.union(least).toDF("a", "b").distinct(), "edges")
 
@@ -354,12 +356,12 @@ def _common(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _verified(batches, ratio: Fraction):
-    """Links of each node in its tile, and a node it is linked with directly or not."""
+    """Linked texts of each node in its tile, and a node it is linked with directly or not."""
     for table, bounds in whole_groups(batches, ["root", "i", "j"]):
         node = table["node"].to_pylist()
         block, i, j = (table[c].to_numpy() for c in ("block", "i", "j"))
         whole = table["whole"].to_pylist()
-        grams = table["ngrams"]
+        grams, texts = table["ngrams"], table["texts"].to_numpy()
         out = {"node": [], "links": [], "peer": [], "whole": []}
         for low, high in zip(bounds[:-1], bounds[1:]):
             # Repeated rows of the documents bring a node more than once.
@@ -376,7 +378,7 @@ def _verified(batches, ratio: Fraction):
             left, right = np.nonzero(linked)
             root = roots(len(rows), left, right)
             out["node"] += [node[row] for row in rows]
-            out["links"] += linked.sum(axis=1).tolist()
+            out["links"] += (linked @ texts[rows]).tolist()
             out["peer"] += [node[rows[r]] for r in root]
             out["whole"] += [whole[low]] * len(rows)
         kinds = [pa.binary(), pa.int64(), pa.binary(), pa.bool_()]
@@ -395,8 +397,9 @@ def classes(
 ) -> DataFrame:
     """(id, text_key, class_id, n_links, n_ngrams) of every row.
 
-    ``n_links`` is the number of other n-gram sets in the corpus with a Jaccard similarity of
-    at least ``threshold``; rows with an equal set are one and not counted. ``class_id`` is
+    ``n_links`` is the number of other texts in the corpus with a Jaccard similarity of at
+    least ``threshold``, those with an equal n-gram set among them; rows with an equal text
+    are one and not counted. ``class_id`` is
     the least id of all rows connected by links or equal sets. A text without words (null,
     empty, white space) has no n-grams and no links and is its own class. A text of fewer
     words than ``width`` has one n-gram. Words are in lower case between white space.
@@ -407,6 +410,8 @@ def classes(
     nodes = rows.where("node is not null").groupBy("node")
     nodes = nodes.agg(F.first("sketch").alias("sketch"), F.first("size").alias("size"))
     nodes = stored(nodes.select("node", "size", "sketch", _short().alias("short")), "nodes")
+    texts = rows.where("node is not null").select("node", "text_key").distinct()
+    texts = stored(texts.groupBy("node").agg(F.count("*").alias("texts")), "texts")
     edges = _candidate_edges(nodes.select("short", "sketch"), threshold, tolerance)
     grouped = components(edges).withColumnRenamed("node", "short")
     grouped = stored(nodes.drop("sketch").join(grouped, "short"), "grouped")
@@ -421,32 +426,33 @@ def classes(
     chosen = rows.where("node is not null").groupBy("node").agg(
         F.min(F.struct("id", "text_key")).alias("row")
     )
-    chosen = chosen.join(grouped.join(sizes, "root"), "node").select(
+    chosen = chosen.join(grouped.join(sizes, "root"), "node").join(texts, "node").select(
         F.col("row.id").alias("chosen_id"),
         F.col("row.text_key").alias("chosen_key"),
         "node",
         "root",
         "blocks",
+        "texts",
     )
-    texts = docs.select(
+    whole = docs.select(
         F.col(id_column).alias("id"), F.make_valid_utf8(text_column).alias("text"),
         F.xxhash64(text_column).alias("text_key"),
     )
-    texts = texts.join(
-        chosen, texts["id"].eqNullSafe(chosen["chosen_id"]) & (F.col("text_key") == F.col("chosen_key"))
-    ).select("node", "root", "blocks", "text")
+    whole = whole.join(
+        chosen, whole["id"].eqNullSafe(chosen["chosen_id"]) & (F.col("text_key") == F.col("chosen_key"))
+    ).select("node", "root", "blocks", "texts", "text")
 
     def cut(batches):
         for batch in batches:
-            for first, hashes, ends in shingle_chunks(batch.column(3), width):
+            for first, hashes, ends in shingle_chunks(batch.column(4), width):
                 grams = [np.unique(hashes[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:])]
                 part = batch.slice(first, len(grams))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], pa.array(grams, pa.binary())],
-                    ["node", "root", "blocks", "ngrams"],
+                    [*part.columns[:4], pa.array(grams, pa.binary())],
+                    ["node", "root", "blocks", "texts", "ngrams"],
                 )
 
-    sets = texts.mapInArrow(cut, "node binary, root long, blocks int, ngrams binary")
+    sets = whole.mapInArrow(cut, "node binary, root long, blocks int, texts long, ngrams binary")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     sets = sets.select("*", own).select("*", other)
@@ -457,6 +463,7 @@ def classes(
         "block",
         (F.col("blocks") == 1).alias("whole"),
         "node",
+        "texts",
         "ngrams",
     )
     tiles = tiles.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
@@ -481,16 +488,14 @@ def classes(
         )
     # Tables of their own, here and below, so that Spark may split a node or class with many
     # rows in the join.
-    links = stored(links.select("node", "n_links", "peer"), "links")
-    rows = rows.select("id", "text_key", "node", "size").join(
-        links, "node", "left"
-    )
+    links = stored(texts.join(links.select("node", "n_links", "peer"), "node", "left"), "links")
+    rows = rows.select("id", "text_key", "node", "size").join(links, "node", "left")
     rows = rows.select(
         "id",
         "text_key",
         "node",
         F.coalesce("peer", "node").alias("class"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        (F.coalesce("n_links", F.lit(0)) + F.coalesce("texts", F.lit(1)) - 1).alias("n_links"),
         F.col("size").alias("n_ngrams"),
     )
     rows = stored(rows, "classes")
