@@ -11,7 +11,7 @@ import pytest
 from llm.samples import awkward, empty
 from tokenizers import Tokenizer
 
-from wardwatch.llm import bpe, packing, tokenfiles
+from wardwatch.llm import bpe, packing, rangecoder, tokenfiles
 from wardwatch.llm.presplit import split_words
 from wardwatch.llm.queries import QUERIES
 from wardwatch.llm.rangecoder import BLOCK, decode, encode
@@ -105,15 +105,56 @@ def test_coder_round_trip(vocabulary):
     assert len(payloads[-1]) < BLOCK / 2
 
 
+def test_coder_keeps_the_state_of_full_lanes():
+    rng = np.random.default_rng(5)
+    # One lane, a short last lane, spans that are cut, predictions that turn wrong.
+    for n in (1, 3, 5, 63, 64, 65, 257, 5000):
+        block = np.repeat(rng.integers(0, 3, n), 2)[:n]
+        block[rng.random(n) < 0.02] = 65_535
+        (payload,) = encode([block], 65_536)
+        (found,) = decode([payload], [n], 65_536)
+        assert np.array_equal(block, found)
+
+
+def test_mixture_is_a_distribution():
+    rng = np.random.default_rng(9)
+    model, symbols = rangecoder._Model(40, 300), np.arange(300)
+    for ids in np.minimum(rng.zipf(1.4, (60, 40)), 299):
+        model.look(40)
+        starts, sizes = zip(*(model.place(np.full(40, s)) for s in symbols))
+        ends = np.cumsum(sizes, axis=0)
+        assert (np.array(sizes) > 0).all() and (ends[-1] == 1 << rangecoder.TOTAL_BITS).all()
+        assert np.array_equal(np.array(starts)[1:], ends[:-1])
+        for places in (np.array(starts), ends - 1):
+            assert all((model.find(row) == s).all() for s, row in zip(symbols, places))
+        model.learn(ids)
+
+
+def test_coder_beats_zlib_on_texts(spark, folder, library):
+    rows = spark.read.parquet(f"{folder}/documents.parquet").select("text").collect()
+    ids = np.concatenate([[*row, 0] for row in expected(library, [r.text for r in rows])])
+    small = [ids[low : low + 4096] for low in range(0, len(ids), 4096)][:60]
+    known = sum(map(len, small))
+    packed = sum(len(zlib.compress(b.astype("<u2").tobytes(), 9)) for b in small)
+    assert sum(map(len, encode(small, 50_257))) < packed
+    large = ids[:BLOCK]
+    (payload,) = encode([large], 50_257)
+    assert len(payload) / len(large) < 0.85 * packed / known
+
+
 def test_coder_finds_damage():
     (payload,) = encode([np.arange(1000)], 50_257)
-    broken = bytearray(payload)
-    broken[100] ^= 1
-    with pytest.raises(ValueError):
-        decode([bytes(broken)], [1000], 50_257)
+    for at in (0, 5, 100, len(payload) - 1):
+        broken = bytearray(payload)
+        broken[at] ^= 1
+        with pytest.raises(ValueError):
+            decode([bytes(broken)], [1000], 50_257)
+    for size in (3, 10, len(payload) - 4):
+        with pytest.raises(ValueError):
+            decode([payload[:size]], [1000], 50_257)
 
 
-def test_token_files(spark, library, tmp_path):
+def test_token_files(spark, library, tmp_path, monkeypatch):
     docs = awkward(spark, [(i, f"number {i} " * (i % 50)) for i in range(20, 400)])
     tokenfiles.write_tokens(docs, PATH, str(tmp_path / "files"))
     rows = tokenfiles.read_tokens(spark, str(tmp_path / "files")).orderBy("start").collect()
@@ -123,6 +164,9 @@ def test_token_files(spark, library, tmp_path):
     for row in rows:
         assert row.start == at and len(row.ids) == 4 * row.n_tokens
         at += row.n_tokens
+    monkeypatch.setattr(tokenfiles, "BLOCK", 500)
+    assert [a - b for a, b in zip(tokenfiles._bounds(1800)[1:], tokenfiles._bounds(1800))] == [450] * 4
+    monkeypatch.undo()
     source = docs.select("doc_id", "text").collect()
     truth = expected(library, [r.text for r in source])
     assert sorted(np.frombuffer(r.ids, "<u4").tolist() for r in rows) == sorted(t + [0] for t in truth)

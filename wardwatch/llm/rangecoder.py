@@ -1,11 +1,14 @@
-"""Adaptive context-mixing range coder for blocks of token ids, many blocks in step.
-
-Each block starts from an empty model. Order-2 and order-1 contexts predict the id that
-followed them last and order 0 the commonest id so far; adaptive frequencies, chosen by how
-sure the predictions are and whether they agree, give the probabilities that one of them is
-right. An id that none predicts is coded by adaptive frequencies of its leading bits and its
-remaining bits. Blocks are independent, so a thousand of them are coded in step: an array
-operation per operation of the coder.
+"""Adaptive context-mixing range coder for blocks of token ids, all lanes of a block in step.
+
+The probability of an id is a mixture of three predictions: order 2 and order 1 name the id
+that followed the last two ids and the last id, order 0 is the distribution of all ids so
+far. How much each weighs is learned as well, from how often predictions of the same
+confidence were right. A range coder turns the mixture into code.
+
+A block starts from an empty model, carries a checksum and is decoded without any other. Its
+ids are cut into lanes, each with a code of its own; at each step the lanes code one id each
+by the same model, which then learns from all of them. An operation of the coder is thus one
+array operation over the lanes. All numbers are whole, so every machine decodes alike.
 """
 
 from __future__ import annotations
@@ -14,260 +17,275 @@ import zlib
 
 import numpy as np
 
-BLOCK = 4096
-LANES = 1024
+BLOCK = 1 << 20  # ids of a block, about
+STEPS = 256  # ids of a lane in a large block
 
-SLOTS = 4096  # of each context table
-CONTEXTS = 32
-STEP, LIMIT = 24, 4096  # of the adaptive frequencies
-LEAD = 4  # leading bits with adaptive frequencies
-REST = 12  # remaining bits coded at once
-REFRESH = 32  # steps between sums of the leading bits' frequencies
+SYMBOL_BITS = 16  # leading bits of an id that are predicted by the mixture
+REST_BITS = 16  # both probabilities that the other bits are those the symbol had last
+TOTAL_BITS = 26  # all probabilities together
+PLAIN_BITS = 20  # all probabilities of order 0 together, and the least weight of order 0
+HASH_BITS = 18  # slots of order 2
+SURE_BITS = 3
+SURE = 1 << SURE_BITS  # degrees of confidence, the first for a context not met before
+GAIN = 32  # what an id met weighs against one not met
+AGED = 1 << 16  # cases after which those of a confidence are halved
+REFRESH = 16  # steps between sums of order 0, once 16 have passed
 
-_WORD = np.int64(0xFFFFFFFF)
-_ID = np.int64((1 << 24) - 1)
+_HALF = np.uint64(32)
+_LOW = np.uint64(0xFFFFFFFF)
 
 
 class _Model:
-    """Predictions and frequencies of each lane's block."""
-
-    def __init__(self, lanes: int, bits: int):
-        self.base = np.arange(lanes, dtype=np.int64) * SLOTS
-        self.one = np.zeros(lanes * SLOTS, np.int32)
-        self.two = np.zeros(lanes * SLOTS, np.int32)
-        self.counts = np.zeros(lanes * SLOTS, np.int16)
-        self.common = np.full(lanes, -1, np.int64)
-        self.most = np.zeros(lanes, np.int16)
-        self.freq = np.tile(np.array([8, 6, 2, 16], np.int64), (lanes * CONTEXTS, 1))
-        self.context_base = np.arange(lanes, dtype=np.int64) * CONTEXTS
+    """What a block has told so far."""
+
+    def __init__(self, lanes: int, symbols: int):
+        self.symbols = symbols
+        # The id that a context predicts, and how sure it is.
+        self.one = np.zeros(symbols, np.int32)
+        self.two = np.zeros(1 << HASH_BITS, np.int32)
+        # Cases of every pair of confidences, without and with agreement: neither was right,
+        # order 1, order 2, both.
+        self.cases = np.tile(np.array([6, 1, 1, 0], np.int64), (SURE * SURE * 2, 1))
         self.before = np.zeros(lanes, np.int64)
         self.last = np.zeros(lanes, np.int64)
-        self.shift = max(0, bits - LEAD)
-        self.lead = np.ones((lanes, 1 << LEAD), np.int64)
-        self.ends = np.cumsum(self.lead, axis=1)
+        self.counts = np.ones(symbols, np.int64)
+        self.news: list[np.ndarray] = []
+        self.rest = np.zeros(symbols, np.int64)
+        self.same, self.rests = 1, 2
         self.steps = 0
+        self._sum()
+
+    def _sum(self) -> None:
+        """Ends of the ids' shares of order 0; every id has one."""
+        if self.news:
+            self.counts += GAIN * np.bincount(np.concatenate(self.news), minlength=self.symbols)
+            self.news = []
+        free = (1 << PLAIN_BITS) - self.symbols
+        shares = 1 + self.counts * free // int(self.counts.sum())
+        self.ends = np.zeros(self.symbols + 1, np.int64)
+        np.cumsum(shares, out=self.ends[1:])
+        self.ends[-1] = 1 << PLAIN_BITS
 
     def look(self, n: int) -> None:
-        """Predictions of the first ``n`` lanes."""
-        last, base = self.last[:n], self.base[:n]
-        self.at1 = base + ((last * 0x9E3779B1 >> 7) & (SLOTS - 1))
-        mixed = last * 0x9E3779B1 + self.before[:n] * 0x85EBCA77
-        self.at2 = base + ((mixed >> 11) & (SLOTS - 1))
-        one, two = self.one[self.at1], self.two[self.at2]
-        sure1, sure2 = one >> 24, two >> 24
-        self.id1 = np.where(sure1 > 0, one & 0xFFFFFF, -1)
-        self.id2 = np.where(sure2 > 0, two & 0xFFFFFF, -2)
-        self.sure1, self.sure2 = sure1, sure2
-        agree = self.id1 == self.id2
-        self.row = self.context_base[:n] + (sure2 * 4 + sure1) * 2 + agree
-        self.f = self.freq[self.row]
-
-    def learn(self, n: int, ids: np.ndarray, symbol: np.ndarray) -> None:
-        self.f[np.arange(n), symbol] += STEP
-        total = self.f.sum(axis=1)
-        over = np.flatnonzero(total > LIMIT)
-        if len(over):
-            self.f[over] = (self.f[over] + 1) >> 1
-        self.freq[self.row] = self.f
-        for table, at, held, sure in (
-            (self.one, self.at1, self.id1, self.sure1),
-            (self.two, self.at2, self.id2, self.sure2),
+        """Predictions of the first ``n`` lanes and their weights."""
+        last = self.last[:n]
+        self.at2 = ((last * 0x9E3779B1 + self.before[:n] * 0x85EBCA77) >> 9) & ((1 << HASH_BITS) - 1)
+        one, two = self.one[last], self.two[self.at2]
+        self.s1, self.s2 = one & (SURE - 1), two & (SURE - 1)
+        self.p1, self.p2 = one >> SURE_BITS, two >> SURE_BITS
+        self.case = (self.s2 * SURE + self.s1) * 2 + (self.p1 == self.p2)
+        most = (1 << TOTAL_BITS) - (1 << PLAIN_BITS)
+        all_cases = self.cases.sum(axis=1)
+        # Where both agree, the weight is that of order 2.
+        weight1 = most * self.cases[:, 1] // all_cases
+        weight1[1::2] = 0
+        weight2 = most * (self.cases[:, 2] + self.cases[:, 3]) // all_cases
+        weight0 = (1 << TOTAL_BITS) - weight1 - weight2
+        self.w0, self.w1, self.w2 = weight0[self.case], weight1[self.case], weight2[self.case]
+
+    def place(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of each lane's id in the mixture."""
+        low = self.w0 * self.ends[ids] >> PLAIN_BITS
+        size = (self.w0 * self.ends[ids + 1] >> PLAIN_BITS) - low
+        low += self.w1 * (self.p1 < ids) + self.w2 * (self.p2 < ids)
+        size += self.w1 * (self.p1 == ids) + self.w2 * (self.p2 == ids)
+        return low, size
+
+    def find(self, places: np.ndarray) -> np.ndarray:
+        """The id at each lane's place in the mixture."""
+        first, second = np.minimum(self.p1, self.p2), np.maximum(self.p1, self.p2)
+        both = self.w1 + self.w2
+        w_first = np.where(self.p1 < self.p2, self.w1, self.w2)
+        begin1 = self.w0 * self.ends[first] >> PLAIN_BITS
+        end1 = (self.w0 * self.ends[first + 1] >> PLAIN_BITS) + w_first
+        begin2 = (self.w0 * self.ends[second] >> PLAIN_BITS) + w_first
+        end2 = (self.w0 * self.ends[second + 1] >> PLAIN_BITS) + both
+        ids = np.where(places < end1, first, second)
+        past1, past2 = places >= end1, places >= end2
+        at = np.flatnonzero((places < begin1) | (past1 & ((places < begin2) | past2)))
+        taken = np.where(past2, both, np.where(past1, w_first, 0))
+        place = (places - taken)[at].astype(np.uint64)
+        share = (((place + np.uint64(1)) << np.uint64(PLAIN_BITS)) - np.uint64(1)) // self.w0[at].astype(np.uint64)
+        share = share.astype(np.int64)
+        ids[at] = np.searchsorted(self.ends[:-1], share, "right") - 1
+        return ids
+
+    def learn(self, ids: np.ndarray) -> None:
+        n = len(ids)
+        hit1, hit2 = self.p1 == ids, self.p2 == ids
+        outcome = self.case * 4 + hit2 * 2 + hit1
+        self.cases += np.bincount(outcome, minlength=self.cases.size).reshape(-1, 4)
+        if self.steps % REFRESH == 0:
+            old = self.cases.sum(axis=1) > AGED
+            self.cases[old] = (self.cases[old] + 1) >> 1
+        for table, at, held, sure, hit in (
+            (self.one, self.last[:n], self.p1, self.s1, hit1),
+            (self.two, self.at2, self.p2, self.s2, hit2),
         ):
-            same = held == ids
-            sure = np.where(same, np.minimum(sure + 1, 3), np.where(sure > 1, sure - 1, 1))
-            kept = same | (sure > 1)
-            table[at] = (np.where(kept, held, ids) | (sure.astype(np.int64) << 24)).astype(np.int32)
-        at = self.base[:n] + (ids & (SLOTS - 1))
-        count = self.counts[at] + np.int16(1)
-        self.counts[at] = count
-        top = count > self.most[:n]
-        self.most[:n][top] = count[top]
-        self.common[:n][top] = ids[top]
+            kept = hit | (sure > 1)
+            sure = np.where(hit, np.minimum(sure + 1, SURE - 1), np.maximum(sure >> 1, 1))
+            table[at] = np.where(kept, held, ids) << SURE_BITS | sure
         self.before[:n] = self.last[:n]
         self.last[:n] = ids
+        self.news.append(ids)
         self.steps += 1
-        if self.steps % REFRESH == 0:
-            large = self.lead.sum(axis=1) > LIMIT
-            self.lead[large] = (self.lead[large] + 1) >> 1
-            self.ends = np.cumsum(self.lead, axis=1)
+        if self.steps & (self.steps - 1) == 0 or self.steps % REFRESH == 0:
+            self._sum()
 
 
-def _bits(vocabulary: int) -> int:
-    bits = max(1, int(vocabulary - 1).bit_length())
-    if bits > 24:
-        raise ValueError("ids of more than 24 bits are not supported")
-    return bits
+    def rest_odds(self) -> int:
+        """How probable it is that an id ends as the last id of its symbol did."""
+        return 1 + ((1 << REST_BITS) - 2) * self.same // self.rests
+
+    def learn_rest(self, symbol: np.ndarray, rest: np.ndarray, same: np.ndarray) -> None:
+        self.rest[symbol] = rest
+        self.same += int(same.sum())
+        self.rests += len(same)
 
 
-def _rest_parts(shift: int) -> list[tuple[int, int]]:
-    """(shift, bits) of the pieces of the remaining bits."""
-    parts = []
-    while shift:
-        bits = min(REST, shift)
-        shift -= bits
-        parts.append((shift, bits))
-    return parts
+def _layout(n: int, vocabulary: int) -> tuple[int, int, int, int]:
+    """Lanes, steps, symbols and bits after the symbol's of a block of ``n`` ids."""
+    bits = max(1, int(vocabulary - 1).bit_length())
+    if bits > 31:
+        raise ValueError("ids of more than 31 bits are not supported")
+    steps = min(STEPS, 1 << n.bit_length() // 2)
+    flat = max(0, bits - SYMBOL_BITS)
+    return -(-n // steps), steps, (vocabulary - 1 >> flat) + 1, flat
 
 
 def encode(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
-    """Payload of each block of at most ``BLOCK`` ids: crc32 of the ids, then the code."""
-    out: list[bytes] = []
-    for low in range(0, len(blocks), LANES):
-        out += _encode(blocks[low : low + LANES], _bits(vocabulary))
-    return out
-
-
-def _lanes(lengths: np.ndarray) -> tuple[np.ndarray, list[int]]:
-    """Lanes by falling length, and how many are still active at each step."""
-    order = np.argsort(-lengths, kind="stable")
-    falling = -lengths[order]
-    longest = -int(falling[0]) if len(lengths) else 0
-    return order, np.searchsorted(falling, -np.arange(longest), "left").tolist()
-
-
-def _encode(blocks: list[np.ndarray], bits: int) -> list[bytes]:
-    lengths = np.array([len(b) for b in blocks], np.int64)
-    order, active = _lanes(lengths)
-    lanes, steps = len(blocks), len(active)
-    ids_at = np.zeros((steps, lanes), np.int64)
-    for lane, row in enumerate(order.tolist()):
-        ids_at[: lengths[row], lane] = blocks[row]
-    model = _Model(lanes, bits)
-    digits = np.zeros((lanes, 2 * steps + 8), np.int32)
+    """Payload of each block: crc32 of its ids, words of each lane, then the lanes' words."""
+    return [_encode(np.asarray(block, np.int64), vocabulary) for block in blocks]
+
+
+def _encode(block: np.ndarray, vocabulary: int) -> bytes:
+    check = zlib.crc32(block.astype("<u4").tobytes()).to_bytes(4, "little")
+    lanes, steps, symbols, flat = _layout(len(block), vocabulary)
+    if not lanes:
+        return check
+    grid = np.zeros(lanes * steps, np.int64)
+    grid[: len(block)] = block
+    grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
+    short = len(block) - (lanes - 1) * steps  # ids of the last lane
+    model = _Model(lanes, symbols)
+    words = np.zeros((lanes, steps * (3 if flat else 1) + 1), np.uint32)
     used = np.zeros(lanes, np.int64)
-    low = np.zeros(lanes, np.int64)
-    span = np.full(lanes, 1 << 32, np.int64)
-
-    def put(at, start, size, total):
-        part = span[at] // total
-        value = low[at] + part * start
-        width = part * size
-        lane = np.arange(len(value)) if isinstance(at, slice) else at
-        over = np.flatnonzero(value >> 32)
-        if len(over):
-            digits[lane[over], used[lane[over]] - 1] += 1
-            value &= _WORD
-        short = np.flatnonzero(width < 65536)
-        if len(short):
-            digits[lane[short], used[lane[short]]] = value[short] >> 16
-            used[lane[short]] += 1
-            value[short] = (value[short] << 16) & _WORD
-            width[short] <<= 16
-        low[at], span[at] = value, width
-
-    rest = _rest_parts(model.shift)
-    for step, n in enumerate(active):
-        ids = ids_at[step, :n]
+    every = np.arange(lanes)
+    low = np.zeros(lanes, np.uint64)
+    span = np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
+
+    def put(lane, start, size, bits):
+        part = span[lane] >> np.uint64(bits)
+        low[lane] += part * start.astype(np.uint64)
+        part *= size.astype(np.uint64)
+        span[lane] = part
+        at = _short(part, lane)
+        words[at, used[at]] = _settle(low, span, at)
+        used[at] += 1
+
+    for step in range(steps):
+        n = lanes if step < short else lanes - 1
+        if not n:
+            break
+        ids = grid[step, :n]
+        symbol = ids >> flat
         model.look(n)
-        symbol = np.where(
-            ids == model.id2, 0, np.where(ids == model.id1, 1, np.where(ids == model.common[:n], 2, 3))
-        )
-        ends = np.cumsum(model.f, axis=1)
-        rows = np.arange(n)
-        size = model.f[rows, symbol]
-        put(slice(0, n), ends[rows, symbol] - size, size, ends[:, 3])
-        at = np.flatnonzero(symbol == 3)
-        if len(at):
-            plain = ids[at]
-            lead = plain >> model.shift
-            end = model.ends[at, lead]
-            start = np.where(lead > 0, model.ends[at, lead - 1], 0)
-            put(at, start, end - start, model.ends[at, -1])
-            model.lead[at, lead] += STEP
-            for shift, width in rest:
-                one = np.int64(1)
-                put(at, (plain >> shift) & ((1 << width) - 1), one, np.int64(1 << width))
-        model.learn(n, ids, symbol)
-    for word in (low >> 16, low & 0xFFFF):
-        digits[np.arange(lanes), used] = word
-        used += 1
-    while (digits >> 16).any():
-        carry = digits >> 16
-        digits &= 0xFFFF
-        digits[:, :-1] += carry[:, 1:]
-    words = digits.astype("<u2")
-    out = [b""] * lanes
-    for lane, row in enumerate(order.tolist()):
-        check = zlib.crc32(np.ascontiguousarray(blocks[row], "<u4").tobytes())
-        out[row] = check.to_bytes(4, "little") + words[lane, : used[lane]].tobytes()
-    return out
+        put(slice(n), *model.place(symbol), TOTAL_BITS)
+        if flat:
+            rest = ids & ((1 << flat) - 1)
+            same, odds = model.rest[symbol] == rest, model.rest_odds()
+            put(slice(n), np.where(same, 0, odds), np.where(same, odds, (1 << REST_BITS) - odds), REST_BITS)
+            put(every[:n][~same], rest[~same], np.ones((~same).sum(), np.int64), flat)
+            model.learn_rest(symbol, rest, same)
+        model.learn(symbol)
+    # A word that lies in the lane's span whatever is read after it.
+    words[every, used] = ((low >> _HALF) + ((low & _LOW) > 0)).astype(np.uint32)
+    used += 1
+    kept = np.arange(words.shape[1]) < used[:, None]
+    return check + used.astype("<u2").tobytes() + words[kept].astype("<u4").tobytes()
+
+
+def _short(span: np.ndarray, lane: slice | np.ndarray) -> np.ndarray:
+    """Lanes, of those given, whose span asks for another word."""
+    at = np.flatnonzero(span <= _LOW)
+    return at if isinstance(lane, slice) else lane[at]
+
+
+def _settle(low: np.ndarray, span: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Leading words of the lanes, which leave them; a span across two such words is cut."""
+    lows, spans = low[at], span[at]
+    across = (lows ^ (lows + spans - np.uint64(1))) > _LOW
+    spans = np.where(across, -lows & _LOW, spans)
+    low[at], span[at] = lows << _HALF, spans << _HALF
+    return (lows >> _HALF).astype(np.uint32)
 
 
 def decode(payloads: list[bytes], lengths: list[int], vocabulary: int) -> list[np.ndarray]:
     """Ids of each block; a block whose checksum differs raises ValueError."""
-    out: list[np.ndarray] = []
-    for low in range(0, len(payloads), LANES):
-        high = low + LANES
-        out += _decode(payloads[low:high], np.array(lengths[low:high], np.int64), _bits(vocabulary))
-    return out
-
-
-def _decode(payloads: list[bytes], lengths: np.ndarray, bits: int) -> list[np.ndarray]:
-    order, active = _lanes(lengths)
-    lanes, steps = len(payloads), len(active)
-    longest = max((len(p) for p in payloads), default=4) // 2
-    digits = np.zeros((lanes, longest + 4), np.uint16)
-    for lane, row in enumerate(order.tolist()):
-        words = np.frombuffer(payloads[row], "<u2", offset=4)
-        digits[lane, : len(words)] = words
-    model = _Model(lanes, bits)
-    used = np.full(lanes, 2, np.int64)
-    code = (digits[:, 0].astype(np.int64) << 16) | digits[:, 1]
-    span = np.full(lanes, 1 << 32, np.int64)
-    ids_at = np.zeros((steps, lanes), np.int64)
-
-    def take(at, total, find):
-        """The symbol at the code's place; ``find`` gives symbol, start and size of places."""
-        part = span[at] // total
-        value = code[at]
-        symbol, start, size = find(np.minimum(value // part, total - 1))
-        value = value - part * start
-        width = part * size
-        short = np.flatnonzero(width < 65536)
-        if len(short):
-            lane = short if isinstance(at, slice) else at[short]
-            value[short] = (value[short] << 16) | digits[lane, used[lane]]
-            used[lane] += 1
-            width[short] <<= 16
-        code[at], span[at] = value, width
-        return symbol
-
-    rest = _rest_parts(model.shift)
-    for step, n in enumerate(active):
+    return [_decode(p, int(n), vocabulary) for p, n in zip(payloads, lengths)]
+
+
+def _decode(payload: bytes, length: int, vocabulary: int) -> np.ndarray:
+    lanes, steps, symbols, flat = _layout(length, vocabulary)
+    used = np.frombuffer(payload[4 : 4 + 2 * lanes], "<u2").astype(np.int64)
+    if len(used) != lanes or len(payload) != 4 + 2 * lanes + 4 * int(used.sum()):
+        raise ValueError("a block of token ids is damaged")
+    words = np.frombuffer(payload[4 + 2 * lanes :], "<u4").astype(np.uint64)
+    at_word = np.cumsum(used) - used
+    ends = np.cumsum(used)
+    grid = np.zeros((steps, lanes), np.int64)
+    short = length - (lanes - 1) * steps
+    model = _Model(lanes, symbols)
+    low = np.zeros(lanes, np.uint64)
+    span = np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
+    code = np.zeros(lanes, np.uint64)
+
+    def read(lane):
+        """Next word of each lane; nothing but zeros after the last."""
+        at = at_word[lane]
+        found = np.where(at < ends[lane], words[np.minimum(at, len(words) - 1)], np.uint64(0))
+        at_word[lane] = at + 1
+        code[lane] = code[lane] << _HALF | found
+
+    def place(lane, bits):
+        part = span[lane] >> np.uint64(bits)
+        found = (code[lane] - low[lane]) // part
+        return part, np.minimum(found, np.uint64((1 << bits) - 1)).astype(np.int64)
+
+    def take(lane, part, start, size):
+        low[lane] += part * start.astype(np.uint64)
+        part = part * size.astype(np.uint64)
+        span[lane] = part
+        at = _short(part, lane)
+        _settle(low, span, at)
+        read(at)
+
+    every = np.arange(lanes)
+    if lanes:
+        read(every)
+        read(every)
+    for step in range(steps):
+        n = lanes if step < short else lanes - 1
+        if n < 1:
+            break
         model.look(n)
-        ends = np.cumsum(model.f, axis=1)
-        rows = np.arange(n)
-
-        def find(place):
-            symbol = (place[:, None] >= ends[:, :3]).sum(axis=1)
-            size = model.f[rows, symbol]
-            return symbol, ends[rows, symbol] - size, size
-
-        symbol = take(slice(0, n), ends[:, 3], find)
-        ids = np.where(symbol == 0, model.id2, np.where(symbol == 1, model.id1, model.common[:n]))
-        ids = ids.astype(np.int64) & _ID  # a damaged block may name a missing prediction
-        at = np.flatnonzero(symbol == 3)
-        if len(at):
-            own = model.ends[at]
-
-            def find_lead(place):
-                lead = (place[:, None] >= own).sum(axis=1)
-                end = own[np.arange(len(at)), lead]
-                start = np.where(lead > 0, own[np.arange(len(at)), lead - 1], 0)
-                return lead, start, end - start
-
-            lead = take(at, own[:, -1], find_lead)
-            model.lead[at, lead] += STEP
-            plain = lead.astype(np.int64) << model.shift
-            for shift, width in rest:
-                plain |= take(at, np.int64(1 << width), lambda p: (p, p, np.int64(1))) << shift
-            ids[at] = plain
-        ids_at[step, :n] = ids
-        model.learn(n, ids, symbol)
-    out: list[np.ndarray] = [np.zeros(0, np.uint32)] * lanes
-    for lane, row in enumerate(order.tolist()):
-        ids = ids_at[: lengths[row], lane].astype("<u4")
-        if zlib.crc32(ids.tobytes()) != int.from_bytes(payloads[row][:4], "little"):
-            raise ValueError("a block of token ids is damaged")
-        out[row] = ids
-    return out
+        part, places = place(slice(n), TOTAL_BITS)
+        symbol = model.find(places)
+        take(slice(n), part, *model.place(symbol))
+        ids = symbol
+        if flat:
+            part, places = place(slice(n), REST_BITS)
+            odds, rest = model.rest_odds(), model.rest[symbol]
+            same = places < odds
+            take(slice(n), part, np.where(same, 0, odds), np.where(same, odds, (1 << REST_BITS) - odds))
+            other = every[:n][~same]
+            part, rest[other] = place(other, flat)
+            take(other, part, rest[other], np.ones(len(other), np.int64))
+            model.learn_rest(symbol, rest, same)
+            ids = symbol << flat | rest
+        grid[step, :n] = ids
+        model.learn(symbol)
+    found = np.ascontiguousarray(grid.T).reshape(-1)[:length].astype("<u4")
+    if zlib.crc32(found.tobytes()) != int.from_bytes(payload[:4], "little"):
+        raise ValueError("a block of token ids is damaged")
+    return found

@@ -1,9 +1,10 @@
 """Files of token ids: documents in order of their id, in frames of range-coded blocks.
 
 A file is a Parquet file, written and read by Spark. Each row is a frame: whole documents
-with their ids and lengths, and the blocks their token ids are coded in. A block starts from
-an empty model and carries a checksum, so frames can be read in any order and a damaged block
-is found. ``part`` orders the files, ``first`` counts the part's ids before the frame.
+with their ids and lengths, about a block's worth of token ids, and the blocks they are coded
+in. A block starts from an empty model and carries a checksum, so frames can be read in any
+order and a damaged block is found. ``part`` orders the files, ``first`` counts the part's ids
+before the frame.
 """
 
 from __future__ import annotations
@@ -15,16 +16,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardwatch.llm.rangecoder import BLOCK, LANES, decode, encode
+from wardwatch.llm.rangecoder import BLOCK, decode, encode
 from wardwatch.llm.wordids import encoded_chunks, word_ids
 
 END = 0
-# Ids of a frame, about; a longer document has a frame of its own.
-FRAME = 16 * BLOCK
 
 
-def _blocks(ids: np.ndarray) -> list[np.ndarray]:
-    return [ids[low : low + BLOCK] for low in range(0, len(ids), BLOCK)]
+def _bounds(n: int) -> list[int]:
+    """Where a frame of ``n`` ids is cut into blocks of about ``BLOCK`` ids."""
+    blocks = max(1, round(n / BLOCK))
+    return [n * k // blocks for k in range(blocks + 1)]
 
 
 def write_tokens(
@@ -65,25 +66,22 @@ def write_tokens(
         encoder = word_ids(tokenizer)
         vocabulary = max(end + 1, encoder.source.tokenizer.get_vocab_size())
         part, number, first = TaskContext.get().partitionId(), 0, 0
-        waiting, blocks = [], 0
+        waiting, size = [], 0
 
         def flush():
-            payloads = encode([b for frame in waiting for b in frame[2]], vocabulary)
-            at, columns = 0, {name: [] for name in schema.names}
-            nonlocal number, first
-            for names, lengths, parts in waiting:
-                total = int(sum(lengths))
-                row = (part, number, first, total, vocabulary, None, lengths, payloads[at : at + len(parts)])
-                for column, value in zip(columns.values(), row):
-                    column.append(value)
-                at, number, first = at + len(parts), number + 1, first + total
-            sizes = np.cumsum([0] + [len(frame[0]) for frame in waiting]).astype(np.int32)
-            values = pa.concat_arrays([frame[0] for frame in waiting])
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), None]
-            kinds += [pa.list_(pa.int64()), pa.list_(pa.binary())]
+            names, lengths, ids = zip(*waiting)
+            names, lengths, ids = pa.concat_arrays(names), np.concatenate(lengths), np.concatenate(ids)
+            cuts = _bounds(size)
+            blocks = encode([ids[a:b] for a, b in zip(cuts, cuts[1:])], vocabulary)
             arrays = [
-                pa.ListArray.from_arrays(pa.array(sizes), values) if k is None else pa.array(v, k)
-                for v, k in zip(columns.values(), kinds)
+                pa.array([part], pa.int32()),
+                pa.array([number], pa.int32()),
+                pa.array([first], pa.int64()),
+                pa.array([size], pa.int64()),
+                pa.array([vocabulary], pa.int32()),
+                pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names),
+                pa.array([lengths], pa.list_(pa.int64())),
+                pa.array([blocks], pa.list_(pa.binary())),
             ]
             return pa.RecordBatch.from_arrays(arrays, schema.names)
 
@@ -91,17 +89,12 @@ def write_tokens(
             for low, ids, bounds in encoded_chunks(batch.column(1), encoder):
                 closed = np.insert(ids, bounds[1:], np.uint32(end))
                 lengths = np.diff(bounds) + 1
-                ends = np.cumsum(lengths)
-                group = (ends - lengths) // FRAME
-                cuts = np.flatnonzero(np.diff(group, prepend=-1))
-                for a, b in zip(cuts, [*cuts[1:], len(lengths)]):
-                    parts = _blocks(closed[ends[a] - lengths[a] : ends[b - 1]])
-                    names = batch.column(0).slice(low + a, b - a)
-                    waiting.append((names, lengths[a:b].tolist(), parts))
-                    blocks += len(parts)
-                if blocks >= LANES:
+                waiting.append((batch.column(0).slice(low, len(lengths)), lengths, closed))
+                size += len(closed)
+                if size >= BLOCK:
                     yield flush()
-                    waiting, blocks = [], 0
+                    number, first = number + 1, first + size
+                    waiting, size = [], 0
         if waiting:
             yield flush()
 
@@ -126,42 +119,27 @@ def read_tokens(spark: SparkSession, folder: str, id_column="doc_id") -> DataFra
         ]
     )
 
-    def documents(waiting, vocabulary):
-        payloads = [b for frame in waiting for b in frame[4]]
-        sizes = [
-            min(BLOCK, frame[2] - BLOCK * k) for frame in waiting for k in range(len(frame[4]))
-        ]
-        ids = decode(payloads, sizes, vocabulary)
-        flat = np.concatenate(ids) if ids else np.zeros(0, "<u4")
-        lengths = np.array([n for frame in waiting for n in frame[3]], np.int64)
-        parts = np.concatenate([np.full(len(frame[3]), frame[0], np.int32) for frame in waiting])
-        before = np.concatenate(
-            [frame[1] + np.cumsum([0, *frame[3][:-1]]) for frame in waiting]
-        ).astype(np.int64)
-        ends = np.concatenate([[0], np.cumsum(lengths * 4)]).astype(np.int32)
-        data = pa.BinaryArray.from_buffers(
-            pa.binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(flat.astype("<u4"))]
-        )
-        names = pa.concat_arrays([frame[5] for frame in waiting])
-        arrays = [names, pa.array(parts), pa.array(before), pa.array(lengths), data]
-        return pa.RecordBatch.from_arrays(arrays, schema.names)
-
     def run(batches):
         for batch in batches:
-            part, first, tokens, vocabulary = (batch.column(k).to_pylist() for k in range(4))
-            waiting, blocks = [], 0
             for row in range(batch.num_rows):
-                payloads = batch.column(6)[row].as_py()
-                lengths = batch.column(5)[row].as_py()
-                waiting.append(
-                    (part[row], first[row], tokens[row], lengths, payloads, batch.column(4)[row].values)
-                )
-                blocks += len(payloads)
-                if blocks >= LANES:
-                    yield documents(waiting, vocabulary[0])
-                    waiting, blocks = [], 0
-            if waiting:
-                yield documents(waiting, vocabulary[0])
+                part, first, tokens, vocabulary = (batch.column(k)[row].as_py() for k in range(4))
+                names = batch.column(4)[row].values
+                lengths = np.asarray(batch.column(5)[row].values).astype(np.int64)
+                ids = decode(batch.column(6)[row].as_py(), np.diff(_bounds(tokens)), vocabulary)
+                ends = np.concatenate([[0], np.cumsum(lengths)])
+                buffers = [
+                    None,
+                    pa.py_buffer((4 * ends).astype(np.int32)),
+                    pa.py_buffer(np.concatenate(ids).astype("<u4")),
+                ]
+                arrays = [
+                    names,
+                    pa.array(np.full(len(lengths), part, np.int32)),
+                    pa.array(first + ends[:-1]),
+                    pa.array(lengths),
+                    pa.BinaryArray.from_buffers(pa.binary(), len(lengths), buffers),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, schema.names)
 
     found = frames.select(
         "part", "first", "tokens", "vocabulary", "ids", "lengths", "blocks"
