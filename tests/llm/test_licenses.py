@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm.samples import LONG, awkward, empty
 
@@ -28,6 +29,69 @@ def test_query_against_plain_search(spark):
     assert all(name in licenses.TEMPLATES for _, name, _, _ in found)
 
 
+def every_alignment(text):
+    """Matches of one text by aligning every template with all of it, without an index."""
+    hashes, begins, ends, _ = licenses._words(pa.array([text]))
+    found = []
+    for name, template in licenses.TEMPLATES.items():
+        words = licenses._words(pa.array([template]))[0]
+        least, todo = licenses.COVERAGE * len(words), [(0, len(hashes))]
+        while todo:
+            a, b = todo.pop()
+            if b - a < least:
+                continue
+            matched, first, last = licenses.align(hashes[a:b], words, -len(words), b - a)
+            if matched >= least:
+                found.append((matched, matched / len(words), a + first, a + last, name))
+                todo += [(a, a + first), (a + last + 1, b)]
+    found.sort(key=lambda m: (-m[0], -m[1], m[2], m[4]))
+    taken = []
+    for m in found:
+        if all(m[3] < t[2] or m[2] > t[3] for t in taken):
+            taken.append(m)
+    return {(m[4], int(begins[m[2]]), int(ends[m[3]]), m[0]) for m in taken}
+
+
+def test_against_every_alignment(spark):
+    """Nothing but what aligning everything finds, and all of it that shares with its
+    template a run of words that winnowing cannot miss: real texts and changed notices."""
+    rng = np.random.default_rng(11)
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
+    filler = [r.text.split() for r in rows if r.text][:12]
+    texts = [r.text for r in rows[:60]]
+    for template in licenses.TEMPLATES.values():
+        words = template.split()
+        for drop in (0.0, 0.08, 0.5):
+            changed = [w for w in words if rng.random() >= drop]
+            before, behind = (filler[k] for k in rng.integers(0, len(filler), 2))
+            texts.append(" ".join([*before, *changed, *behind]))
+            texts.append(" ".join([*changed, *changed, *behind, *words, *changed]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {}
+    for r in licenses.scan(docs).collect():
+        found.setdefault(r.doc_id, set()).add((r.license, r.start, r.end, r.matched))
+    truth = {k: m for k, m in ((k, every_alignment(t)) for k, t in enumerate(texts)) if m}
+    assert len(truth) > 30
+    run = licenses.NGRAM + licenses.WINDOW - 1
+    for key in found | truth:
+        assert found.get(key, set()) <= truth.get(key, set())
+        for name, start, end, _ in truth.get(key, set()) - found.get(key, set()):
+            own = re.findall(r"[^\W_]+", texts[key][start:end].lower())
+            words = re.findall(r"[^\W_]+", licenses.TEMPLATES[name].lower())
+            known = {tuple(words[k : k + run]) for k in range(len(words) - run + 1)}
+            assert not any(tuple(own[k : k + run]) in known for k in range(len(own)))
+
+
+@pytest.mark.parametrize("change", [False, True])
+def test_very_many_notices_in_one_text(spark, change):
+    notice = licenses.TEMPLATES["MIT"]
+    if change:  # one word left out: no whole template to take at once
+        notice = " ".join(notice.split()[:-1])
+    rows = planted(spark, f"{notice}\n" * 4000)
+    assert len(rows) == 4000 and {r.license for r in rows} == {"MIT"}
+    assert len({r.end - r.start for r in rows}) == 1
+
+
 MIT = licenses.TEMPLATES["MIT-text"]
 
 

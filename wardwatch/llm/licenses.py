@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import lru_cache
@@ -196,42 +197,82 @@ def align(words: np.ndarray, template: np.ndarray, low: int, high: int):
     return matched, first, last
 
 
-def _candidates(diagonals: np.ndarray, band: int):
-    """Groups of sorted diagonals whose neighbours are at most ``band`` apart."""
-    cuts = np.flatnonzero(np.diff(diagonals) > band) + 1
-    for part in np.split(diagonals, cuts):
-        yield int(part[0]), int(part[-1])
+def _exact(hashes: np.ndarray, words: np.ndarray, diagonals: np.ndarray) -> np.ndarray:
+    """Where the template stands word for word, from the left, none overlapping."""
+    size = len(words)
+    at = diagonals[(diagonals >= 0) & (diagonals + size <= len(hashes))]
+    for k in range(size):
+        at = at[hashes[at + k] == words[k]]
+    kept, end = [], 0
+    for place in at.tolist():
+        if place >= end:
+            kept.append(place)
+            end = place + size
+    return np.array(kept, np.int64)
+
+
+def _candidates(stretch: np.ndarray, diagonals: np.ndarray, size: int, band: int):
+    """(stretch, lowest, highest diagonal) of hits in order of both, as far as one alignment
+    with a template of ``size`` words may reach.
+
+    Neighbours in a group are at most ``band`` apart. A group is seen through windows that
+    overlap by more diagonals than an alignment can cross before its gaps eat its score.
+    """
+    cuts = np.flatnonzero((np.diff(diagonals) > band) | (np.diff(stretch) > 0)) + 1
+    cross = MATCH * size + band
+    for begin, end in zip([0, *cuts], [*cuts, len(diagonals)]):
+        while begin < end:
+            stop = begin + int(np.searchsorted(diagonals[begin:end], diagonals[begin] + 2 * cross, "right"))
+            yield int(stretch[begin]), int(diagonals[begin]), int(diagonals[stop - 1])
+            if stop == end:
+                break
+            begin += int(np.searchsorted(diagonals[begin:end], diagonals[stop] - cross, "left"))
 
 
 def matches(index: Index, hashes: np.ndarray, hits: np.ndarray, least: float):
     """(template, matched, first word, last word) in one document, none overlapping.
 
-    ``hits`` are places of its n-grams that are in the index.
+    ``hits`` are places of its n-grams that are in the index. Whole templates, which no
+    alignment beats, are taken first; what is between them is aligned.
     """
     grams = _ngrams_at(hashes, hits, index.ngram)
     left = np.searchsorted(index.prints, grams, "left")
-    right = np.searchsorted(index.prints, grams, "right")
-    entry = np.concatenate([np.arange(a, b) for a, b in zip(left, right)])
-    place = np.repeat(hits, right - left)
+    sizes = np.searchsorted(index.prints, grams, "right") - left
+    ends = np.cumsum(sizes)
+    entry = np.arange(int(sizes.sum())) + np.repeat(left - (ends - sizes), sizes)
+    place = np.repeat(hits, sizes)
     template, diagonal = index.template[entry], place - index.place[entry]
+    order = np.argsort(template, kind="stable")
+    numbers, cuts = np.unique(template[order], return_index=True)
     found = []
-    for number in np.unique(template):
-        own = np.sort(diagonal[template == number])
+    for number, own in zip(numbers.tolist(), np.split(order, cuts[1:])):
         words = index.words[number]
-        for low, high in _candidates(own, BAND):
-            start = max(0, low - BAND)
-            stop = min(len(hashes), high + BAND + len(words))
+        whole = _exact(hashes, words, np.unique(diagonal[own]))
+        found += [(number, len(words), at, at + len(words) - 1) for at in whole.tolist()]
+        stretch = np.searchsorted(whole, place[own], "right")
+        begins = np.concatenate([[0], whole + len(words)])
+        free = place[own] >= begins[stretch]
+        own, stretch = own[free], stretch[free]
+        own_order = np.lexsort((diagonal[own], stretch))
+        finishes = np.append(whole, len(hashes))
+        for part, low, high in _candidates(stretch[own_order], diagonal[own][own_order], len(words), BAND):
+            start = max(int(begins[part]), low - BAND)
+            stop = min(int(finishes[part]), high + BAND + len(words))
             for matched, first, last in _all(
                 hashes[start:stop], words, low - BAND - start, high + BAND - start, least
             ):
-                found.append((int(number), matched, start + first, start + last))
+                found.append((number, matched, start + first, start + last))
     # The match with most words first; what overlaps one taken before is dropped.
     found.sort(key=lambda m: (-m[1], -m[1] / len(index.words[m[0]]), m[2], m[0]))
-    taken = []
+    # Matches taken, by their place; none overlap, so only the neighbours have to be asked.
+    firsts, taken = [], []
     for match in found:
-        if all(match[3] < other[2] or match[2] > other[3] for other in taken):
-            taken.append(match)
-    return sorted(taken, key=lambda m: m[2])
+        at = bisect_left(firsts, match[2])
+        if (at and taken[at - 1][3] >= match[2]) or (at < len(taken) and taken[at][2] <= match[3]):
+            continue
+        firsts.insert(at, match[2])
+        taken.insert(at, match)
+    return taken
 
 
 def _all(words, template, low, high, least):
@@ -265,7 +306,9 @@ def scan(
     """(id, license, start, end, coverage, matched): a row per notice found in a whole text.
 
     ``start`` and ``end`` are code points, the end exclusive; ``matched`` is the number of
-    the template's words that are there in order, ``coverage`` their share. Words are runs
+    the template's words that are there in order, ``coverage`` their share. A notice is sure
+    to be a candidate if it shares ``NGRAM + WINDOW - 1`` words in a row with its template;
+    one changed in more places may be missed. Words are runs
     of letters and digits in lower case. Matches of one text do not overlap: the one with
     more words stays. Null and empty texts, and texts without notice, give no row. Rows are
     looked at one by one, so repeated rows give repeated matches; null ids are kept. Other
@@ -296,9 +339,10 @@ def scan(
                 inside = hits + index.ngram <= first[owner + 1]
                 hits, owner = hits[inside], owner[inside]
                 rows, out = [], {name: [] for name in schema.names[1:]}
-                for row in np.unique(owner):
+                texts_hit, begin = np.unique(owner, return_index=True)
+                for row, own in zip(texts_hit, np.split(hits, begin[1:])):
                     low, high = first[row], first[row + 1]
-                    own = hits[owner == row] - low
+                    own = own - low
                     for number, matched, a, b in matches(index, hashes[low:high], own, coverage):
                         rows.append(at + row)
                         out["license"].append(index.names[number])
