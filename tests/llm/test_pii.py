@@ -1,9 +1,12 @@
 """Personal data against Python's matcher, and disclosing terms."""
 
 import hashlib
+import math
+import random
 import re
 
 from llm.samples import awkward, empty
+from pyspark.sql import functions as F
 
 from wardwatch.llm import pii
 from wardwatch.llm.queries import QUERIES
@@ -167,3 +170,111 @@ def test_sanitised_edge_cases(spark):
 def test_plan_has_no_python(spark):
     plan = pii.detect(told(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def terms_of(text):
+    """Lower-cased terms of an ASCII text without signs @ beside addresses: (term, start, end)."""
+    cover = re.sub(r"[A-Za-z0-9._%+-]+(@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+)+", lambda m: "@" * len(m[0]), text)
+    found = re.finditer(r"(?<![A-Za-z0-9])[A-Za-z0-9]+(?:-[A-Za-z0-9]+)*", cover)
+    return [
+        (m[0].lower(), m.start(), m.end())
+        for m in found
+        if len(m[0]) > 1 and re.search("[A-Za-z]", m[0])
+    ]
+
+
+def recount(docs):
+    """{id: term spans with action} by plain counts of pointwise mutual information."""
+    kept, seen_texts = [], set()
+    for key, text in docs:
+        if brute(text) and text in seen_texts:
+            continue
+        seen_texts.add(text)
+        kept.append(text)
+    total, n_term, n_entity, both, near = len(kept), {}, {}, {}, set()
+    for text in kept:
+        places = terms_of(text)
+        terms = {t for t, _, _ in places}
+        values = {(text[a:b].lower(), a, b) for _, a, b in brute(text)}
+        for term in terms:
+            n_term[term] = n_term.get(term, 0) + 1
+        for value in {v for v, _, _ in values}:
+            n_entity[value] = n_entity.get(value, 0) + 1
+            for term in terms:
+                both[value, term] = both.get((value, term), 0) + 1
+        for value, a, b in values:
+            near |= {(value, t) for t, x, y in places if x >= a - pii.WINDOW and y <= b + pii.WINDOW}
+    action = {}
+    for (value, term), n in both.items():
+        if n == 1 and (value, term) not in near:
+            continue
+        of_term = n_term[term] + (pii.UNSEEN if n == 1 else 0)
+        share = math.log2(total * n / (n_entity[value] * of_term)) / math.log2(total / n_entity[value])
+        if share >= pii.GENERALISE:
+            action[value, term] = "remove" if share >= pii.REMOVE and n > 1 else "generalise"
+    out = {}
+    for key, text in docs:
+        values = {text[a:b].lower() for _, a, b in brute(text)}
+        spans = []
+        for term, a, b in terms_of(text):
+            actions = {action[v, term] for v in values if (v, term) in action}
+            if actions:
+                spans.append((a, b, max(actions)))
+        out[key] = spans
+    return out
+
+
+def test_terms_against_a_plain_recount(spark):
+    """Random texts with addresses of one to many documents, copies, and names of some of them."""
+    rng = random.Random(5)
+    words = [f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(300)]
+    docs = []
+    for k in range(400):
+        text = [words[int(300 * rng.random() ** 3)] for _ in range(rng.randint(5, 80))]
+        if k % 3 == 0:
+            who = rng.choice([0, 0, 0, 1, 2, 3, 4, *[100 + k] * 4])
+            for _ in range(rng.randint(1, 2)):
+                text.insert(rng.randint(0, len(text)), f"p{who}@mail.org")
+            text.insert(rng.randint(0, len(text)), f"Name-{who}x")
+            if rng.random() < 0.5:
+                text.insert(rng.randint(0, len(text)), f"10.0.0.{rng.randint(1, 9)}")
+        docs += [(k, " ".join(text))] * (1 + (k % 30 == 0) * 3)
+    docs = [(k, text) for k, (_, text) in enumerate(docs)]
+    truth = recount(docs)
+    rows = pii.find(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect()
+    assert {r.doc_id: [(s.start, s.end, s.value) for s in r.terms] for r in rows} == truth
+    actions = [x[2] for spans in truth.values() for x in spans]
+    assert actions.count("remove") > 50 and actions.count("generalise") > 20
+
+
+def test_name_near_its_entity_in_one_text_only(spark):
+    """Whole texts are counted: a name of all documents of an entity goes, whatever is near it."""
+    far = " ask the team about plan" * 20
+    rows = [(k, f"note {k} qq@secret.org{far} signed Quixby") for k in range(39)]
+    rows += [(39, f"note 39 qq@secret.org Quixby{far}")]
+    rows += [(100 + k, f"please note {k} ask the team about plan {k} signed") for k in range(200)]
+    found = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, text in rows[:40]:
+        assert [(text[s.start : s.end], s.value) for s in found[k].terms] == [("Quixby", "remove")]
+    assert all(not r.terms for k, r in found.items() if k >= 100)
+
+
+def test_one_text_with_a_third_of_the_rows(spark):
+    docs = spark.createDataFrame([("ask Zorblax qq@secret.org",)] * 400 + [("ask the team",)] * 800, "text string")
+    docs = docs.withColumn("doc_id", F.monotonically_increasing_id())
+    rows = pii.find(docs).where("size(base) > 0").collect()
+    assert len(rows) == 400 and len({str(r.terms) for r in rows}) == 1
+    assert [(s.start, s.end, s.value) for s in rows[0].terms] == [(4, 11, "generalise")]
+
+
+def test_terms_are_generalised_to_a_class_of_the_corpus(spark):
+    """The longest start that enough documents hold stands for a term; none, its word class."""
+    rows = [(1, "ask Springfield or Zorblax qq@secret.org")]
+    rows += [(10 + k, f"ask of springs or the team {k}") for k in range(100)]
+    rows += [(200 + k, f"ask of sprint or the team {k}") for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.find(docs).collect()}
+    assert list(found[1].broader) == ["spring", ""]
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs).collect()}
+    assert clean[1] == "ask spring* or [NAME] [EMAIL]"
+    assert all(clean[k] == text for k, text in rows if k > 1)
