@@ -74,3 +74,19 @@ def test_another_run_only_adds(spark, tmp_path):
     alert_sink(path).for_run("second")(alerts(spark, 3), 0)
     stored = read_table(spark, path)
     assert rows(stored, "alert_id") == [("A1",), ("A2",), ("A3",)]
+
+
+def test_files_of_a_table_do_not_grow_with_the_tasks(spark, tmp_path, monkeypatch):
+    """What each of eight tasks has of three days goes into one file a day, or a few full ones."""
+    hours = [alerts(spark, *range(day * 86_400, day * 86_400 + 40)) for day in range(3)]
+    every = hours[0].union(hours[1]).union(hours[2]).repartition(8).cache()
+    path = tmp_path / "t"
+    alert_sink(str(path))(every, 0)
+    assert sorted(len(list(day.rglob("part-*"))) for day in path.glob("day=*")) == [1, 1, 1]
+    monkeypatch.setattr("wardwatch.streaming.alerts.ALERTS_PER_TASK", 20)
+    alert_sink(str(path))(every, 1)
+    assert 6 <= len(list(path.glob("day=*/run=*/batch_id=1/part-*"))) <= 9
+    for batch in (0, 1):
+        stored = read_table(spark, str(path)).filter(F.col("batch_id") == batch)
+        assert rows(stored, *ALERT_SCHEMA.names) == rows(every)
+    every.unpersist()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,9 @@ WHOLE_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 # Where Spark keeps rows without a value of the partition column.
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
+# Alerts that one task writes, and so the most in a file of the table.
+ALERTS_PER_TASK = 250_000
+
 # What an alert shows of the event that raised it.
 SHOWN = ["primary_type", "case_number", "block", "latitude", "longitude"]
 
@@ -200,8 +204,13 @@ def alert_sink(
 
 
 def _write_by_day(alerts: DataFrame, table: str, run: str, batch_id: int) -> None:
-    """Replaces the batch's part of each day that it has alerts of."""
-    if alerts.isEmpty():
+    """Replaces the batch's part of each day that it has alerts of.
+
+    The alerts are dealt by range of day first: there are about as many files as days and
+    full files, where every task of the count would otherwise add a file to every day.
+    """
+    count = alerts.count()
+    if not count:
         place = f"{table}/day={NO_DAY}/run={run}/batch_id={batch_id}"
         alerts.write.mode("overwrite").parquet(place)
         return
@@ -210,7 +219,9 @@ def _write_by_day(alerts: DataFrame, table: str, run: str, batch_id: int) -> Non
         "run": F.lit(run),
         "batch_id": F.lit(batch_id),
     }
-    writer = alerts.withColumns(own).write.mode("overwrite")
+    tasks = math.ceil(count / ALERTS_PER_TASK)
+    dealt = alerts.withColumns(own).repartitionByRange(tasks, "day", "alert_id")
+    writer = dealt.write.mode("overwrite")
     writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*own).parquet(table)
 
