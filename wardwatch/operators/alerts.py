@@ -61,9 +61,12 @@ def check_counters(threshold: int = 5) -> dict[str, Column]:
 
 
 def alert_stats(counted: DataFrame, threshold: int = 5, key: str = "routed_district") -> DataFrame:
-    """Counters of the chain: events routed, of those without a key, keys, checked, alerted."""
-    counters = route_counters(key) | check_counters(threshold)
-    return counted.agg(
-        F.count_distinct(F.col(key)).alias("active_districts"),
-        *[column.alias(name) for name, column in counters.items()],
-    )
+    """Counters of the chain: events routed, keys, events without a key, checked, alerted."""
+    routed = route_counters(key)
+    counters = {
+        "routed": routed.pop("routed"),
+        "active_districts": F.count_distinct(F.col(key)),
+        **routed,
+        **check_counters(threshold),
+    }
+    return counted.agg(*[column.alias(name) for name, column in counters.items()])
