@@ -173,3 +173,35 @@ def test_equal_rows_are_one_class(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     result = jaccard.classes(docs).agg(F.max("class_id"), F.max("n_links"), F.count("*")).first()
     assert tuple(result) == (0, 0, 50)
+
+
+def test_components_stop_at_stars(spark, monkeypatch):
+    """Stars need no round, and no table has more files than its rows and the cores need."""
+    names, files = [], []
+    store = jaccard.stored
+
+    def counted(df, name, most=None):
+        found = store(df, name, most)
+        names.append(name)
+        files.append(len(found.inputFiles()))
+        return found
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "31")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stars = [(k, k % 3) for k in range(3, 200)]
+        edges = spark.createDataFrame(stars, "a long, b long")
+        found = sorted(map(tuple, jaccard.components(edges, len(stars)).collect()))
+        assert found == sorted(stars + [(0, 0), (1, 1), (2, 2)])
+        assert names == ["edges"] and max(files) <= spark.sparkContext.defaultParallelism
+        path = [(k, k + 1) for k in range(60)] + [(70, 71), (71, 70), (80, 80)]
+        edges = spark.createDataFrame(path, "a long, b long")
+        found = sorted(map(tuple, jaccard.components(edges, len(path)).collect()))
+        assert found == [(k, 0) for k in range(61)] + [(70, 70), (71, 70)]
+        assert max(files) <= spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)

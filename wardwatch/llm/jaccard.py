@@ -37,6 +37,11 @@ STEPS = (16, 32, 64, 120, 200)
 TILE = 256
 TILE_NGRAMS = 400_000
 
+# Rows of a stored table that are one task's and file's, where their number is known.
+ROWS_PER_TASK = 20_000
+# Nodes of small buckets that one task compares.
+TILE_ROWS = 10_000
+
 _RNG = np.random.default_rng(20240501)
 _FACTORS = _RNG.integers(0, 2**31, VALUES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _MASKS = _RNG.integers(0, 2**32, VALUES, dtype=np.uint32)
@@ -135,38 +140,61 @@ def _bounds(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.flatnonzero(change)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder."""
+def stored(df: DataFrame, name: str, most: int | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder.
+
+    With ``most`` rows at most, no more tasks write it than these rows and the cores need: a
+    shuffle may have many partitions with next to nothing in them.
+    """
     path = scratch_path(df.sparkSession, name)
+    if most is not None:
+        df = df.coalesce(_tasks(df, most, ROWS_PER_TASK))
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _tasks(df: DataFrame, rows: int, per_task: int, per_core: int = 1) -> int:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(per_core * cores, math.ceil(rows / per_task))
+
+
+def components(edges: DataFrame, most: int | None = None) -> DataFrame:
     """(node, root): each node of the edges (a, b) with the least node it is connected with.
 
-    Rounds of large and small stars; each round's edges are a stored table.
+    Rounds of large and small stars until there are stars alone; each round's edges are a
+    stored table. There are ``most`` edges at most, if that is known.
     """
     larger, smaller = F.greatest("a", "b"), F.least("a", "b")
     edges = edges.where("a <> b").select(larger.alias("a"), smaller.alias("b")).distinct()
-    edges = stored(edges, "edges")
-    seen = None
+    edges = stored(edges, "edges", most)
     while True:
-        digest = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if digest[0] == 0 or digest == seen:
+        count, others = _shape(edges)
+        if not others:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
                 edges.select("b", "b").distinct()
             )
-        seen = digest
+        most = 2 * count
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         # A table, so that Spark may split a node with many edges in the join; so below.
-        least = stored(least.select("a", F.least("a", "m").alias("m")), "least")
+        least = stored(least.select("a", F.least("a", "m").alias("m")), "least", most)
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), "m").distinct()
-        large = stored(large, "large")
-        least = stored(large.groupBy("a").agg(F.min("m").alias("low")), "lowest")
+        large = stored(large, "large", most)
+        least = stored(large.groupBy("a").agg(F.min("m").alias("low")), "lowest", most)
         small = large.join(least, "a").where("m <> low").select(F.col("m").alias("a"), "low")
-        edges = stored(small.union(least).toDF("a", "b").distinct(), "edges")
+        edges = stored(small.union(least).toDF("a", "b").distinct(), "edges", most)
+
+
+def _shape(edges: DataFrame) -> tuple[int, int]:
+    """How many edges there are, and how many nodes keep them from being stars.
+
+    In stars every ``a`` has one ``b``, which is no ``a``.
+    """
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"))
+    ends = ends.union(edges.select("b", F.lit(0)))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("low"))
+    other = (F.col("up") > 1) | ((F.col("up") > 0) & (F.col("low") == 0))
+    return nodes.agg(F.coalesce(F.sum("up"), F.lit(0)), F.count_if(other)).first()
 
 
 def sketches(docs: DataFrame, id_column: str, text_column: str, width: int) -> DataFrame:
@@ -226,9 +254,11 @@ def _candidate_edges(nodes: DataFrame, threshold: float, tolerance: float) -> Da
     )
     buckets = buckets.where("n > 1").groupBy("n", "x", "y", "lead", "last")
     buckets = buckets.agg(F.min("bucket").alias("bucket"))
-    chosen = stored(buckets.select("bucket", "n", "lead"), "buckets")
+    most = BANDS * nodes.count()
+    chosen = stored(buckets.select("bucket", "n", "lead"), "buckets", most)
     members = slots.join(chosen, "bucket").join(nodes, "short")
-    members = stored(members.select("bucket", "n", "lead", "short", "sketch"), "members")
+    members = stored(members.select("bucket", "n", "lead", "short", "sketch"), "members", most)
+    few = _tasks(members, members.count(), TILE_ROWS, 4)
     fewest = fewest_matches(threshold, tolerance)
 
     def pairs(batches):
@@ -249,15 +279,15 @@ def _candidate_edges(nodes: DataFrame, threshold: float, tolerance: float) -> Da
                 [pa.array(name[out]), pa.array(name[root[out]])], ["a", "b"]
             )
 
-    def tiles(rows: DataFrame) -> DataFrame:
-        dealt = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    def tiles(dealt: DataFrame) -> DataFrame:
+        dealt = dealt.sortWithinPartitions("bucket", "i", "j")
         return dealt.select("bucket", "i", "j", "side", "short", "sketch").mapInArrow(
             pairs, "a long, b long"
         )
 
     small = members.where(F.col("n") <= TILE)
     small = small.select("*", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
-    edges = tiles(small)
+    edges = tiles(small.repartition("bucket", "i", "j").coalesce(few))
     # In a larger bucket all are held against the least first; only pairs with one that
     # does not match it are left to compare, block against block.
     large = members.where(F.col("n") > TILE)
@@ -311,7 +341,7 @@ def _candidate_edges(nodes: DataFrame, threshold: float, tolerance: float) -> Da
         "bucket", spread(lines).alias("i"), block(blocks).alias("j"), "short", "sketch"
     )
     crossed = ours.withColumn("side", F.lit(1)).unionByName(theirs.withColumn("side", F.lit(2)))
-    return edges.union(tiles(crossed))
+    return edges.union(tiles(crossed.repartition("bucket", "i", "j")))
 
 
 def _pairs_of(bounds: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -409,12 +439,14 @@ def classes(
     rows = stored(sketches(docs, id_column, text_column, width), "sketches")
     nodes = rows.where("node is not null").groupBy("node")
     nodes = nodes.agg(F.first("sketch").alias("sketch"), F.first("size").alias("size"))
-    nodes = stored(nodes.select("node", "size", "sketch", _short().alias("short")), "nodes")
+    nodes = nodes.select("node", "size", "sketch", _short().alias("short"))
+    most = rows.count()
+    nodes = stored(nodes, "nodes", most)
     texts = rows.where("node is not null").select("node", "text_key").distinct()
-    texts = stored(texts.groupBy("node").agg(F.count("*").alias("texts")), "texts")
+    texts = stored(texts.groupBy("node").agg(F.count("*").alias("texts")), "texts", most)
     edges = _candidate_edges(nodes.select("short", "sketch"), threshold, tolerance)
     grouped = components(edges).withColumnRenamed("node", "short")
-    grouped = stored(nodes.drop("sketch").join(grouped, "short"), "grouped")
+    grouped = stored(nodes.drop("sketch").join(grouped, "short"), "grouped", nodes.count())
     sizes = grouped.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("total"))
     sizes = sizes.where("n > 1").select(
         "root",
@@ -473,6 +505,7 @@ def classes(
         "node binary, links long, peer binary, whole boolean",
     )
     found = stored(found, "found")
+    most = found.count()
     links = found.groupBy("node").agg(
         F.sum("links").alias("n_links"),
         F.min("peer").alias("peer"),
@@ -480,7 +513,7 @@ def classes(
     )
     wide = found.where(~F.col("whole"))
     if not wide.isEmpty():
-        joined = components(wide.select(F.col("node").alias("a"), F.col("peer").alias("b")))
+        joined = components(wide.select(F.col("node").alias("a"), F.col("peer").alias("b")), most)
         links = links.join(joined, "node", "left").select(
             "node", "n_links", F.when(F.col("whole"), F.col("peer")).otherwise(
                 F.coalesce("root", "node")
