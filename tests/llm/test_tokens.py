@@ -11,7 +11,7 @@ import pytest
 from llm.samples import awkward, empty
 from tokenizers import Tokenizer
 
-from wardwatch.llm import bpe, packing, rangecoder, tokenfiles
+from wardwatch.llm import bpe, packing, presplit, rangecoder, tokenfiles, wordids
 from wardwatch.llm.presplit import split_words
 from wardwatch.llm.queries import QUERIES
 from wardwatch.llm.rangecoder import BLOCK, decode, encode
@@ -130,6 +130,40 @@ def test_mixture_is_a_distribution():
         model.learn(ids)
 
 
+def test_found_ids_come_with_their_places():
+    """What is found is what is placed, with the ids at both ends of the vocabulary."""
+    rng = np.random.default_rng(10)
+    for symbols in (1, 2, 17, 300, 65_536):
+        model = rangecoder._Model(500, symbols)
+        for ids in np.minimum(rng.zipf(1.3, (40, 500)), symbols) - 1:
+            ids[:2] = 0, symbols - 1
+            model.look(500)
+            start, size = model.place(ids)
+            for places in (start, start + size // 2, start + size - 1):
+                found = model.found(places)
+                assert all(np.array_equal(a, b) for a, b in zip(found, (ids, start, size)))
+            model.learn(ids)
+
+
+def test_only_pages_in_use_are_asked_for():
+    """And they are as if all were: each class is that of its own probe."""
+    classes = presplit.CharClasses(PATH)
+    kinds = classes.of(np.array([ord(c) for c in "a1 !\n\u00e9\u00b2\u00a0"], np.uint32))
+    letter, digit, space, sign = presplit.LETTER, presplit.DIGIT, presplit.SPACE, presplit.SIGN
+    assert kinds.tolist() == [letter, digit, space, sign, space, letter, digit, space]
+    asked = classes.open.sum()
+    codes = np.array([ord(c) for c in "\u0416\u4e2d\u0660\u2003\U0001f600\ue000"], np.uint32)
+    assert classes.of(codes).tolist() == [letter, letter, digit, space, sign, sign]
+    assert asked - classes.open.sum() == 6
+    assert len(classes.of(np.zeros(0, np.uint32))) == 0
+
+
+def test_words_opened_by_a_space():
+    words = [" a", " ", "  ", "a", " \u00e9", " \u2003", " \u00a0", " \t", " \x1f", " 1 ", "\u00e9"]
+    plain = [w[0] == " " and len(w) > 1 and not w[1].isspace() for w in words]
+    assert wordids._opened_by_space(words).tolist() == plain
+
+
 def test_coder_beats_zlib_on_texts(spark, folder, library):
     rows = spark.read.parquet(f"{folder}/documents.parquet").select("text").collect()
     ids = np.concatenate([[*row, 0] for row in expected(library, [r.text for r in rows])])

@@ -24,32 +24,60 @@ CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 # Text bytes handled at once; arrays of about 20 times this size are made.
 CHUNK_BYTES = 1024 * 1024
 
+# Code points that are asked for at once: those of one byte.
+PAGE = 256
+
 # Code points that may be other than signs: all planes with letters, and the tags.
 _PROBED = ((0, 0xD800), (0xE000, 0x32400), (0xE0000, 0xE0200))
 
 
-@functools.lru_cache(maxsize=2)
-def char_classes(path: str) -> np.ndarray:
-    """The class of every code point, asked from the tokenizer's own pre-tokenizer.
+class CharClasses:
+    """Classes of code points, asked page by page from the tokenizer's own pre-tokenizer.
 
-    In ``a c ! 1 c !`` a letter joins the a, a sign the first !, a digit the 1.
+    Only pages that texts use are asked, as all of them take seconds. In ``a c ! 1 c !`` a
+    letter joins the a, a sign the first !, a digit the 1.
     """
-    from tokenizers import Tokenizer
-
-    splitter = Tokenizer.from_file(path).pre_tokenizer
-    table = np.full(0x110000, SIGN, np.uint8)
-    for low, high in _PROBED:
-        for first in range(low, high, 8192):
-            codes = range(first, min(high, first + 8192))
-            probe = "".join(f"a{c}!1{c}!" for c in map(chr, codes))
-            starts = np.zeros(len(probe) + 1, bool)
-            starts[[span[0] for _, span in splitter.pre_tokenize_str(probe)]] = True
-            cut = starts[:-1].reshape(-1, 6)
-            kind = np.where(~cut[:, 1], LETTER, np.where(~cut[:, 2], SIGN, SPACE))
-            kind = np.where((kind == SPACE) & ~cut[:, 4], DIGIT, kind)
-            table[first : first + len(kind)] = kind
-    table[0x20] = SPACE
-    return table
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.splitter = Tokenizer.from_file(path).pre_tokenizer
+        self.table = np.full(0x110000, SIGN, np.uint8)
+        self.open = np.zeros(0x110000 // PAGE, bool)
+        for low, high in _PROBED:
+            self.open[low // PAGE : high // PAGE] = True
+        self._ask(0)
+        self.table[0x20] = SPACE
+        self.first = self.table[:PAGE].tobytes()
+
+    def _ask(self, page: int) -> None:
+        codes = range(page * PAGE, (page + 1) * PAGE)
+        probe = "".join(f"a{c}!1{c}!" for c in map(chr, codes))
+        starts = np.zeros(len(probe) + 1, bool)
+        starts[[span[0] for _, span in self.splitter.pre_tokenize_str(probe)]] = True
+        cut = starts[:-1].reshape(-1, 6)
+        kind = np.where(~cut[:, 1], LETTER, np.where(~cut[:, 2], SIGN, SPACE))
+        self.table[codes.start : codes.stop] = np.where((kind == SPACE) & ~cut[:, 4], DIGIT, kind)
+        self.open[page] = False
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        """The class of each code point."""
+        low = codes.astype(np.uint8).tobytes().translate(self.first)
+        kind = np.frombuffer(low, np.uint8).copy()
+        wide = np.flatnonzero(codes >= PAGE)
+        if len(wide):
+            codes = codes[wide]
+            met = np.bincount(codes // PAGE, minlength=len(self.open)) > 0
+            for page in np.flatnonzero(met & self.open):
+                self._ask(int(page))
+            kind[wide] = self.table[codes]
+        return kind
+
+
+@functools.lru_cache(maxsize=2)
+def char_classes(path: str) -> CharClasses:
+    """One per worker and tokenizer."""
+    return CharClasses(path)
 
 
 @functools.lru_cache(maxsize=2)
@@ -131,7 +159,7 @@ def split_words(texts: pa.Array, path: str) -> tuple[pa.DictionaryArray, np.ndar
                 first[[low, high]] = True
                 inside.append((low, high))
 
-    kind = char_classes(path)[codes]
+    kind = char_classes(path).of(codes)
     start = first.copy()
     start[1:-1] |= kind[1:] != kind[:-1]
     space = kind == SPACE
@@ -162,7 +190,7 @@ def split_words(texts: pa.Array, path: str) -> tuple[pa.DictionaryArray, np.ndar
 
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The stretches ``flat[start : start + length]`` one after another."""
-    total = int(lengths.sum())
     ends = np.cumsum(lengths)
-    shift = np.repeat(starts - (ends - lengths), lengths)
-    return flat[np.arange(total, dtype=np.int64) + shift]
+    places = np.repeat(starts - (ends - lengths), lengths)
+    places += np.arange(len(places), dtype=np.int64)
+    return flat.take(places)

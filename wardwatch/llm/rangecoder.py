@@ -30,6 +30,10 @@ SURE = 1 << SURE_BITS  # degrees of confidence, the first for a context not met
 GAIN = 32  # what an id met weighs against one not met
 AGED = 1 << 16  # cases after which those of a confidence are halved
 REFRESH = 16  # steps between sums of order 0, once 16 have passed
+SLOT_BITS = 4  # places of order 0 that share a slot of the guide to their ids
+
+# By 2 * confidence + hit: what is added to a context's id and confidence where the id stays.
+_CHANGE = np.array([[max(k >> 1, 1) - k, min(k + 1, SURE - 1) - k] for k in range(SURE)]).ravel()
 
 _HALF = np.uint64(32)
 _LOW = np.uint64(0xFFFFFFFF)
@@ -65,14 +69,16 @@ class _Model:
         self.ends = np.zeros(self.symbols + 1, np.int64)
         np.cumsum(shares, out=self.ends[1:])
         self.ends[-1] = 1 << PLAIN_BITS
+        self.guide = None
 
     def look(self, n: int) -> None:
         """Predictions of the first ``n`` lanes and their weights."""
         last = self.last[:n]
         self.at2 = ((last * 0x9E3779B1 + self.before[:n] * 0x85EBCA77) >> 9) & ((1 << HASH_BITS) - 1)
-        one, two = self.one[last], self.two[self.at2]
-        self.s1, self.s2 = one & (SURE - 1), two & (SURE - 1)
-        self.p1, self.p2 = one >> SURE_BITS, two >> SURE_BITS
+        self.held1 = self.one.take(last).astype(np.int64)
+        self.held2 = self.two.take(self.at2).astype(np.int64)
+        self.s1, self.s2 = self.held1 & (SURE - 1), self.held2 & (SURE - 1)
+        self.p1, self.p2 = self.held1 >> SURE_BITS, self.held2 >> SURE_BITS
         self.case = (self.s2 * SURE + self.s1) * 2 + (self.p1 == self.p2)
         most = (1 << TOTAL_BITS) - (1 << PLAIN_BITS)
         all_cases = self.cases.sum(axis=1)
@@ -81,50 +87,75 @@ class _Model:
         weight1[1::2] = 0
         weight2 = most * (self.cases[:, 2] + self.cases[:, 3]) // all_cases
         weight0 = (1 << TOTAL_BITS) - weight1 - weight2
-        self.w0, self.w1, self.w2 = weight0[self.case], weight1[self.case], weight2[self.case]
+        self.w0, self.w1, self.w2 = (w.take(self.case) for w in (weight0, weight1, weight2))
 
     def place(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and size of each lane's id in the mixture."""
-        low = self.w0 * self.ends[ids] >> PLAIN_BITS
-        size = (self.w0 * self.ends[ids + 1] >> PLAIN_BITS) - low
+        low = self.w0 * self.ends.take(ids) >> PLAIN_BITS
+        size = (self.w0 * self.ends.take(ids + 1) >> PLAIN_BITS) - low
         low += self.w1 * (self.p1 < ids) + self.w2 * (self.p2 < ids)
         size += self.w1 * (self.p1 == ids) + self.w2 * (self.p2 == ids)
         return low, size
 
     def find(self, places: np.ndarray) -> np.ndarray:
         """The id at each lane's place in the mixture."""
-        first, second = np.minimum(self.p1, self.p2), np.maximum(self.p1, self.p2)
-        both = self.w1 + self.w2
-        w_first = np.where(self.p1 < self.p2, self.w1, self.w2)
-        begin1 = self.w0 * self.ends[first] >> PLAIN_BITS
-        end1 = (self.w0 * self.ends[first + 1] >> PLAIN_BITS) + w_first
-        begin2 = (self.w0 * self.ends[second] >> PLAIN_BITS) + w_first
-        end2 = (self.w0 * self.ends[second + 1] >> PLAIN_BITS) + both
-        ids = np.where(places < end1, first, second)
+        return self.found(places)[0]
+
+    def found(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The id at each lane's place in the mixture, and the id's start and size there."""
+        p1, p2, w0, w1, w2 = self.p1, self.p2, self.w0, self.w1, self.w2
+        # Where both predictions agree, w1 is 0 and the share of the second holds the first's.
+        above = w2 * (p2 < p1)
+        low1 = (w0 * self.ends.take(p1) >> PLAIN_BITS) + above
+        end1 = (w0 * self.ends.take(p1 + 1) >> PLAIN_BITS) + above + w1
+        above = w1 * (p1 < p2)
+        low2 = (w0 * self.ends.take(p2) >> PLAIN_BITS) + above
+        end2 = (w0 * self.ends.take(p2 + 1) >> PLAIN_BITS) + above + w2
         past1, past2 = places >= end1, places >= end2
-        at = np.flatnonzero((places < begin1) | (past1 & ((places < begin2) | past2)))
-        taken = np.where(past2, both, np.where(past1, w_first, 0))
-        place = (places - taken)[at].astype(np.uint64)
-        share = (((place + np.uint64(1)) << np.uint64(PLAIN_BITS)) - np.uint64(1)) // self.w0[at].astype(np.uint64)
-        share = share.astype(np.int64)
-        ids[at] = np.searchsorted(self.ends[:-1], share, "right") - 1
-        return ids
+        second = (places >= low2) & ~past2
+        ids = np.where(second, p2, p1)
+        low = np.where(second, low2, low1)
+        size = np.where(second, end2, end1) - low
+        at = np.flatnonzero(~second & (past1 | (places < low1)))
+        w0 = w0[at]
+        taken = w1[at] * past1[at] + w2[at] * past2[at]
+        place = (places[at] - taken).astype(np.uint64)
+        share = (((place + np.uint64(1)) << np.uint64(PLAIN_BITS)) - np.uint64(1)) // w0.astype(np.uint64)
+        other = self._at(share.astype(np.int64))
+        begin = w0 * self.ends.take(other) >> PLAIN_BITS
+        ids[at], low[at] = other, begin + taken
+        size[at] = (w0 * self.ends.take(other + 1) >> PLAIN_BITS) - begin
+        return ids, low, size
+
+    def _at(self, shares: np.ndarray) -> np.ndarray:
+        """The ids at places of order 0; the guide counts the ids that start before a slot."""
+        if self.guide is None:
+            starts = np.bincount((self.ends[:-1] >> SLOT_BITS) + 1, minlength=2)
+            self.guide = np.zeros((1 << PLAIN_BITS - SLOT_BITS) + 1, np.int64)
+            np.cumsum(starts, out=self.guide[: len(starts)])
+            self.guide[len(starts) :] = self.symbols
+        # Every id has a place, so no more ids start in a slot than it has places.
+        found = self.guide.take(shares >> SLOT_BITS)
+        for step in (*(1 << bit for bit in reversed(range(SLOT_BITS))), 1):
+            found += step * (self.ends.take(found + step - 1, mode="clip") <= shares)
+        return found - 1
 
     def learn(self, ids: np.ndarray) -> None:
         n = len(ids)
         hit1, hit2 = self.p1 == ids, self.p2 == ids
-        outcome = self.case * 4 + hit2 * 2 + hit1
+        outcome = self.case * 2 + hit2
+        outcome = outcome * 2 + hit1
         self.cases += np.bincount(outcome, minlength=self.cases.size).reshape(-1, 4)
         if self.steps % REFRESH == 0:
             old = self.cases.sum(axis=1) > AGED
             self.cases[old] = (self.cases[old] + 1) >> 1
+        fresh = ids << SURE_BITS | 1
         for table, at, held, sure, hit in (
-            (self.one, self.last[:n], self.p1, self.s1, hit1),
-            (self.two, self.at2, self.p2, self.s2, hit2),
+            (self.one, self.last[:n], self.held1, self.s1, hit1),
+            (self.two, self.at2, self.held2, self.s2, hit2),
         ):
-            kept = hit | (sure > 1)
-            sure = np.where(hit, np.minimum(sure + 1, SURE - 1), np.maximum(sure >> 1, 1))
-            table[at] = np.where(kept, held, ids) << SURE_BITS | sure
+            kept = held + _CHANGE.take(sure * 2 + hit)
+            table[at] = np.where(hit | (sure > 1), kept, fresh).astype(np.int32)
         self.before[:n] = self.last[:n]
         self.last[:n] = ids
         self.news.append(ids)
@@ -155,7 +186,7 @@ def _layout(n: int, vocabulary: int) -> tuple[int, int, int, int]:
 
 def encode(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
     """Payload of each block: crc32 of its ids, words of each lane, then the lanes' words."""
-    return [_encode(np.asarray(block, np.int64), vocabulary) for block in blocks]
+    return [_encode(np.asarray(block), vocabulary) for block in blocks]
 
 
 def _encode(block: np.ndarray, vocabulary: int) -> bytes:
@@ -163,7 +194,7 @@ def _encode(block: np.ndarray, vocabulary: int) -> bytes:
     lanes, steps, symbols, flat = _layout(len(block), vocabulary)
     if not lanes:
         return check
-    grid = np.zeros(lanes * steps, np.int64)
+    grid = np.zeros(lanes * steps, np.int32)
     grid[: len(block)] = block
     grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
     short = len(block) - (lanes - 1) * steps  # ids of the last lane
@@ -187,7 +218,7 @@ def _encode(block: np.ndarray, vocabulary: int) -> bytes:
         n = lanes if step < short else lanes - 1
         if not n:
             break
-        ids = grid[step, :n]
+        ids = grid[step, :n].astype(np.int64)
         symbol = ids >> flat
         model.look(n)
         put(slice(n), *model.place(symbol), TOTAL_BITS)
@@ -233,7 +264,7 @@ def _decode(payload: bytes, length: int, vocabulary: int) -> np.ndarray:
     words = np.frombuffer(payload[4 + 2 * lanes :], "<u4").astype(np.uint64)
     at_word = np.cumsum(used) - used
     ends = np.cumsum(used)
-    grid = np.zeros((steps, lanes), np.int64)
+    grid = np.zeros((steps, lanes), np.uint32)
     short = length - (lanes - 1) * steps
     model = _Model(lanes, symbols)
     low = np.zeros(lanes, np.uint64)
@@ -270,8 +301,8 @@ def _decode(payload: bytes, length: int, vocabulary: int) -> np.ndarray:
             break
         model.look(n)
         part, places = place(slice(n), TOTAL_BITS)
-        symbol = model.find(places)
-        take(slice(n), part, *model.place(symbol))
+        symbol, start, size = model.found(places)
+        take(slice(n), part, start, size)
         ids = symbol
         if flat:
             part, places = place(slice(n), REST_BITS)
@@ -285,7 +316,7 @@ def _decode(payload: bytes, length: int, vocabulary: int) -> np.ndarray:
             ids = symbol << flat | rest
         grid[step, :n] = ids
         model.learn(symbol)
-    found = np.ascontiguousarray(grid.T).reshape(-1)[:length].astype("<u4")
+    found = np.ascontiguousarray(grid.T).reshape(-1)[:length].astype("<u4", copy=False)
     if zlib.crc32(found.tobytes()) != int.from_bytes(payload[:4], "little"):
         raise ValueError("a block of token ids is damaged")
     return found

@@ -57,15 +57,24 @@ def split_at_space(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
 
 def word_hashes(words: pa.Array, base: int = BYTE_BASE) -> np.ndarray:
     """A 64-bit hash of each word; other odd bases give other hashes."""
+    return hashes_by(words, (base,))[0]
+
+
+def hashes_by(words: pa.Array, bases: tuple[int, ...]) -> list[np.ndarray]:
+    """The hashes of each word by several bases."""
     raw, bounds = text_bytes(words)
     lengths = np.diff(bounds)
     if not len(raw):
-        return mix(lengths.astype(np.uint64))
-    powers = np.cumprod(np.full(int(lengths.max()), base, np.uint64))
+        return [mix(lengths.astype(np.uint64)) for _ in bases]
     place = np.arange(len(raw)) - np.repeat(bounds[:-1], lengths)
-    part = (raw.astype(np.uint64) + np.uint64(1)) * powers[place]
-    total = np.concatenate([[np.uint64(0)], np.cumsum(part, dtype=np.uint64)])
-    return mix(total[bounds[1:]] - total[bounds[:-1]] + lengths.astype(np.uint64))
+    values = raw.astype(np.uint64) + np.uint64(1)
+    found = []
+    for base in bases:
+        powers = np.cumprod(np.full(int(lengths.max()), base, np.uint64))
+        total = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(values * powers.take(place), out=total[1:])
+        found.append(mix(total[bounds[1:]] - total[bounds[:-1]] + lengths.astype(np.uint64)))
+    return found
 
 
 def shingle_chunks(texts: pa.Array, width: int):

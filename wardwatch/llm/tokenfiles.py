@@ -87,8 +87,11 @@ def write_tokens(
 
         for batch in batches:
             for low, ids, bounds in encoded_chunks(batch.column(1), encoder):
-                closed = np.insert(ids, bounds[1:], np.uint32(end))
                 lengths = np.diff(bounds) + 1
+                ends = np.zeros(len(ids) + len(lengths), bool)
+                ends[np.cumsum(lengths) - 1] = True
+                closed = np.full(len(ends), end, np.uint32)
+                closed[~ends] = ids
                 waiting.append((batch.column(0).slice(low, len(lengths)), lengths, closed))
                 size += len(closed)
                 if size >= BLOCK:

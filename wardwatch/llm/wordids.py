@@ -8,8 +8,11 @@ import os
 import numpy as np
 import pyarrow as pa
 
-from wardwatch.llm.presplit import chunks, gather, split_words
-from wardwatch.llm.shingles import word_hashes
+from wardwatch.llm.presplit import chunks, gather, split_words, text_bytes
+from wardwatch.llm.shingles import hashes_by
+
+# Bytes that are white space.
+_SPACES = np.array([code < 0x80 and chr(code).isspace() for code in range(256)])
 
 # Words a worker remembers; beyond it the memory is started anew.
 REMEMBERED_WORDS = 1_000_000
@@ -40,9 +43,7 @@ class Library:
         Words that open with a space are encoded many in one text: the cut before each is
         certain, and the first of its ids is the only one with a space in front.
         """
-        plain = np.fromiter(
-            (w[0] == " " and len(w) > 1 and not w[1].isspace() for w in words), bool, len(words)
-        )
+        plain = _opened_by_space(words)
         spaced, other = np.flatnonzero(plain), np.flatnonzero(~plain)
         for low in range(0, len(spaced), 20_000):
             some = spaced[low : low + 20_000]
@@ -64,6 +65,17 @@ class Library:
             yield some, np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids))
 
 
+def _opened_by_space(words: list[str]) -> np.ndarray:
+    """Which words are a space and, behind it, something else than white space."""
+    raw, bounds = text_bytes(pa.array(words, pa.string()))
+    raw = np.append(raw, np.zeros(2, np.uint8))
+    head, second = raw[bounds[:-1]], raw[bounds[:-1] + 1]
+    found = (head == 0x20) & (np.diff(bounds) > 1) & ~_SPACES[second]
+    for i in np.flatnonzero(found & (second >= 0x80)).tolist():
+        found[i] = not words[i][1].isspace()
+    return found
+
+
 class WordIds:
     """Ids of texts from the ids of their distinct words, remembered between batches.
 
@@ -94,10 +106,11 @@ class WordIds:
         found = np.full(len(hashes), -1, np.int64)
         slot, open_ = self._slots(hashes), np.arange(len(hashes))
         while len(open_):
-            held = self.table[slot[open_]]
+            held = self.table.take(slot[open_])
             full = held >= 0
             open_, held = open_[full], held[full]
-            same = (self.hashes[held] == hashes[open_]).all(axis=1)
+            match = self.hashes.take(held, axis=0) == hashes.take(open_, axis=0)
+            same = match[:, 0] & match[:, 1]
             found[open_[same]] = held[same]
             open_ = open_[~same]
             slot[open_] = (slot[open_] + 1) & ((1 << self.bits) - 1)
@@ -133,7 +146,7 @@ class WordIds:
         if len(distinct) > self.remembered:
             self.bits = (2 * len(distinct)).bit_length()
             self._forget()
-        hashes = np.stack([word_hashes(distinct, base) for base in HASH_BASES], axis=1)
+        hashes = np.stack(hashes_by(distinct, HASH_BASES), axis=1)
         place = self._find(hashes)
         new = np.flatnonzero(place < 0)
         if len(new):
@@ -142,10 +155,11 @@ class WordIds:
             ):
                 place[new[some]] = np.arange(self.words, self.words + len(some))
                 self._store(hashes[new[some]], flat, lengths)
-        chosen = place[words.indices.to_numpy(zero_copy_only=False)]
-        lengths = self.lengths[chosen].astype(np.int64)
+        # By distinct word first, as there are fewer of them.
+        index = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        lengths = self.lengths.take(place).astype(np.int64).take(index)
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        return gather(self.ids, self.starts[chosen], lengths), ends[bounds]
+        return gather(self.ids, self.starts.take(place).take(index), lengths), ends[bounds]
 
 
 def _grown(array: np.ndarray, size: int) -> np.ndarray:
